@@ -27,9 +27,8 @@ MANAGEMENT_ROLES = {
 
 
 def dim_period(snapshots: DataFrame) -> DataFrame:
-    """One row per academic year. Labels are well-formed years, so never over 10,000 rows;
-    the newest is found after the snapshots have been reduced to their labels."""
-    periods = snapshots.select("academic_year").distinct().filter(is_period("academic_year"))
+    """One row per academic year; the newest is found among the labels, not the snapshots."""
+    periods = snapshots.select("academic_year").distinct()
     newest = periods.agg(F.max("academic_year").alias("academic_year")).withColumn(
         "_newest", F.lit(1))
     return periods.join(F.broadcast(newest), "academic_year", "left").select(
@@ -41,6 +40,10 @@ def dim_period(snapshots: DataFrame) -> DataFrame:
     )
 
 
+def period_checks(periods: DataFrame) -> DataFrame:
+    return count_bad(periods, {"dim_academic_year:label": ~is_period("academic_year")})
+
+
 def dim_state(states: DataFrame) -> DataFrame:
     return states.groupBy("state_cd").agg(F.max("state_name").alias("state_name")).select(
         state_key("state_cd").alias("state_sk"), "state_cd", "state_name")

@@ -63,18 +63,16 @@ def fact_student(
 ) -> DataFrame:
     """Enrollment by school version, period and social category.
 
-    Metrics shrink to the stage measures before anything is joined. Periods (at most
-    10,000 well-formed labels) and social categories (only mapped ids) are bounded by
-    construction and broadcast; the school join is the one that shuffles.
+    Metrics shrink to the stage measures before anything is joined. Periods and social
+    categories come from small published tables, which Spark broadcasts by their size; the
+    school join is the one that shuffles.
     """
     narrow = measures.select(
         *ENROLLMENT_KEYS, *stage_measures(), "pre_primary_available", "transgender_available")
     starred = narrow.join(
-        F.broadcast(periods.select("academic_year", "academic_year_sk")), "academic_year"
+        periods.select("academic_year", "academic_year_sk"), "academic_year"
     ).join(
-        F.broadcast(social.select("item_group", "item_id", "social_category_sk")),
-        ["item_group", "item_id"],
-    )
+        social.select("item_group", "item_id", "social_category_sk"), ["item_group", "item_id"])
     versions = schools.select(
         "udise_sch_code", "valid_from", "valid_to", "school_sk", "state_sk", "district_sk",
         "category_sk", "management_sk")

@@ -214,7 +214,7 @@ def normalize_measures(raw: DataFrame, period: str | Column, lineage: Lineage) -
         _period(period), _text(c["code"]).alias("udise_sch_code"),
         _number(c["group"]).alias("item_group"), item.alias("item_id"),
         choose(item, SOCIAL_CATEGORIES).alias("social_category"),
-        *[(_number(name, "bigint") if name else F.lit(0).cast("bigint")).alias(m)
+        *[F.expr(f"try_cast(`{name}` AS bigint)" if name else "bigint(0)").alias(m)
           for m, name in metric.items()],
         F.lit(int(pre_primary)).cast("tinyint").alias("pre_primary_available"),
         F.lit(int(transgender)).cast("tinyint").alias("transgender_available"),
@@ -222,15 +222,14 @@ def normalize_measures(raw: DataFrame, period: str | Column, lineage: Lineage) -
     )
 
 
-def measures_checks(raw: DataFrame, measures: DataFrame) -> DataFrame:
-    """Metrics that are not numbers, and repeated keys (even identical ones)."""
+def metric_checks(raw: DataFrame) -> DataFrame:
+    """Metrics that are not numbers. Repeated keys, even identical ones, break the contract
+    of the stored table."""
     names = [n for m in METRICS if (n := first_present(raw.columns, Alias((m,))))]
-    unreadable = {
+    return count_bad(raw, {
         f"enrollment:{n}_number": F.col(n).isNotNull() & _number(n, "bigint").isNull()
         for n in names
-    }
-    repeated = duplicate_key_check("enrollment:unique_key", measures, ENROLLMENT_KEYS)
-    return union_checks(count_bad(raw, unreadable), repeated) if unreadable else repeated
+    })
 
 
 def normalize_counts(raw: DataFrame, period: str | Column) -> DataFrame:

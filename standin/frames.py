@@ -47,8 +47,22 @@ def year() -> Column:
     return F.col("academic_year")
 
 
+# Columns the stand-ins use, so that no job has to open files to infer them.
+SCHEMAS = {
+    "nation": "n_nationkey int, n_name string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_linenumber int, l_quantity double, "
+                "l_discount double, l_returnflag string, l_linestatus string, "
+                "l_shipdate timestamp_ntz",
+    "part": "p_name string, p_type string, p_size int",
+    "events": "ts timestamp_ntz",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def period_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -199,16 +213,18 @@ def dim_school(spark, sf_dir):
 
 
 def dim_period(spark, sf_dir):
-    return dims.dim_period(period_orders(spark, sf_dir))
+    """Labels are made from dates, one per calendar year: bounded, so safe to broadcast."""
+    return F.broadcast(dims.dim_period(period_orders(spark, sf_dir)))
 
 
 def dim_social(spark, sf_dir):
-    """From the return flags alone, so that the fact need not build its measures twice."""
+    """From the return flags alone, so that the fact need not build its measures twice.
+    At most one row per mapped item: safe to broadcast."""
     flags = table(spark, sf_dir, "lineitem").select("l_returnflag").distinct()
     item = choose(F.col("l_returnflag"), ITEMS)
-    return dims.dim_social_category(flags.select(
+    return F.broadcast(dims.dim_social_category(flags.select(
         F.lit(1).alias("item_group"), item.alias("item_id"),
-        choose(item, SOCIAL_CATEGORIES).alias("social_category")))
+        choose(item, SOCIAL_CATEGORIES).alias("social_category"))))
 
 
 def fact_student(spark, sf_dir):
