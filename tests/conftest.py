@@ -18,6 +18,9 @@ def spark():
         .config("spark.default.parallelism", "4")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "6g")
+        # tiny inputs: interpreting is faster than compiling each plan
+        .config("spark.sql.codegen.wholeStage", "false")
+        .config("spark.sql.codegen.factoryMode", "NO_CODEGEN")
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )
