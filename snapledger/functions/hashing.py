@@ -29,11 +29,6 @@ def length_prefixed_md5(columns: Sequence[str]) -> Column:
     return F.md5(F.concat(*parts))
 
 
-def value_signature(columns: Sequence[str]) -> Column:
-    """Signature that decides whether two rows of one key carry the same values."""
-    return F.sha2(F.concat_ws("||", *[_text_or_null_mark(c) for c in columns]), 256)
-
-
 def state_key(state: str) -> Column:
     return F.md5(F.col(state))
 

@@ -8,8 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapledger.functions.hashing import value_signature
-
 
 class CheckFailed(RuntimeError):
     """Raised with every failed check, not only the first."""
@@ -56,33 +54,35 @@ def duplicate_key_check(name: str, df: DataFrame, keys: Sequence[str]) -> DataFr
     return count_bad(per_key, {name: F.col("n_rows") > 1})
 
 
-def conflicting_duplicates(df: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
-    """Keys whose rows disagree on ``values``.
+def _value_spread(df: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """Per key: row count and whether the rows disagree on any of ``values``.
 
-    Comparing the smallest with the largest signature needs one pass with partial
-    aggregation, where counting distinct signatures would shuffle every row.
+    Rows differ exactly if some column has two values, or a value next to a NULL. Minimum,
+    maximum and count of each column tell, in one pass with partial aggregation; counting
+    distinct row signatures would shuffle every row.
     """
-    signed = df.select(*keys, value_signature(values).alias("_signature"))
-    return (
-        signed.groupBy(*keys)
-        .agg(
-            F.count(F.lit(1)).alias("n_rows"),
-            F.min("_signature").alias("_low"),
-            F.max("_signature").alias("_high"),
-        )
-        .filter("_low <> _high")
-        .drop("_low", "_high")
+    spread = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        *[f(v).alias(f"_{name}_{i}") for i, v in enumerate(values)
+          for name, f in (("low", F.min), ("high", F.max), ("n", F.count))],
     )
+    differs = reduce(lambda a, b: a | b, [
+        (F.col(f"_n_{i}") > 0)
+        & ((F.col(f"_low_{i}") != F.col(f"_high_{i}")) | (F.col(f"_n_{i}") < F.col("n_rows")))
+        for i in range(len(values))
+    ])
+    return spread.select(*keys, "n_rows", differs.alias("_differs"))
+
+
+def conflicting_duplicates(df: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """Keys whose rows disagree on ``values``, with their row count."""
+    return _value_spread(df, keys, values).filter("_differs").drop("_differs")
 
 
 def conflict_check(
     name: str, df: DataFrame, keys: Sequence[str], values: Sequence[str]
 ) -> DataFrame:
-    signed = df.select(*keys, value_signature(values).alias("_signature"))
-    per_key = signed.groupBy(*keys).agg(
-        F.min("_signature").alias("_low"), F.max("_signature").alias("_high")
-    )
-    return count_bad(per_key, {name: F.col("_low") != F.col("_high")})
+    return count_bad(_value_spread(df, keys, values), {name: F.col("_differs")})
 
 
 def collapse_duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:

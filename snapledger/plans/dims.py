@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from snapledger.functions.casts import readable
 from snapledger.functions.hashing import district_key, state_key
 from snapledger.functions.labels import (
     SCHOOL_CATEGORIES,
@@ -86,7 +87,7 @@ def category_source_checks(categories: DataFrame) -> DataFrame:
 def dim_management(source: DataFrame) -> DataFrame:
     """Management codes with their report group."""
     c = resolve_columns(source, MANAGEMENT_ROLES)
-    key = F.col(c["id"]).try_cast("int")
+    key = readable(source, c["id"], "int")
     name = safe_string(F.col(c["name"]))
     detail = F.col(c["detail"]).cast("string") if c["detail"] else F.lit(None).cast("string")
     return source.select(

@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from snapledger.functions.casts import readable
 from snapledger.functions.labels import SOCIAL_CATEGORIES, choose, is_blank, safe_string
 from snapledger.functions.measures import METRICS
 from snapledger.operators.checks import (
@@ -101,8 +102,14 @@ def _text(name: str | None) -> Column:
     return safe_string(F.col(name)) if name else F.lit(None).cast("string")
 
 
-def _number(name: str | None, kind: str = "int") -> Column:
-    return F.col(name).try_cast(kind) if name else F.lit(None).cast(kind)
+def _number(raw: DataFrame, name: str | None, kind: str = "int") -> Column:
+    return readable(raw, name, kind) if name else F.lit(None).cast(kind)
+
+
+def _one_each(rows: DataFrame, *keys: str) -> DataFrame:
+    """Collapse a master table. Its codes are few, so equal rows go first: that hashes, where
+    picking the greatest row has to sort, and copies of one code never travel."""
+    return collapse_duplicates(rows.distinct(), list(keys))
 
 
 def normalize_state(raw: DataFrame, period: str | Column, lineage: Lineage) -> DataFrame:
@@ -112,7 +119,7 @@ def normalize_state(raw: DataFrame, period: str | Column, lineage: Lineage) -> D
         _period(period), _text(c["code"]).alias("state_cd"),
         _text(c["name"]).alias("state_name"), *lineage.columns(),
     )
-    return collapse_duplicates(rows, ["academic_year", "state_cd"])
+    return _one_each(rows, "academic_year", "state_cd")
 
 
 def normalize_district(raw: DataFrame, period: str | Column, lineage: Lineage) -> DataFrame:
@@ -123,7 +130,7 @@ def normalize_district(raw: DataFrame, period: str | Column, lineage: Lineage) -
         _text(c["state"]).alias("state_cd"), _text(c["name"]).alias("district_name"),
         *lineage.columns(),
     )
-    return collapse_duplicates(rows, ["academic_year", "state_cd", "district_cd"])
+    return _one_each(rows, "academic_year", "state_cd", "district_cd")
 
 
 def reused_district_codes(districts: DataFrame) -> DataFrame:
@@ -138,10 +145,10 @@ def reused_district_codes(districts: DataFrame) -> DataFrame:
 def normalize_category(raw: DataFrame, period: str | Column, lineage: Lineage) -> DataFrame:
     c = resolve_columns(raw, CATEGORY_ROLES)
     rows = raw.select(
-        _period(period), _number(c["id"]).alias("sch_category_id"),
+        _period(period), _number(raw, c["id"]).alias("sch_category_id"),
         _text(c["name"]).alias("category_name"), *lineage.columns(),
     )
-    return collapse_duplicates(rows, ["academic_year", "sch_category_id"])
+    return _one_each(rows, "academic_year", "sch_category_id")
 
 
 def category_checks(categories: DataFrame) -> DataFrame:
@@ -158,9 +165,9 @@ def school_rows(raw: DataFrame, period: str | Column, lineage: Lineage) -> DataF
         _period(period), _text(c["code"]).alias("udise_sch_code"),
         _text(c["name"]).alias("school_name"), _text(c["state"]).alias("state_cd"),
         _text(c["district"]).alias("district_cd"),
-        _number(c["category"]).alias("sch_category_id"),
-        _number(c["management"]).alias("management_center_id"),
-        _number(c["status"]).alias("school_status"), *lineage.columns(),
+        _number(raw, c["category"]).alias("sch_category_id"),
+        _number(raw, c["management"]).alias("management_center_id"),
+        _number(raw, c["status"]).alias("school_status"), *lineage.columns(),
     ).filter(F.length("udise_sch_code") > 0)
 
 
@@ -186,7 +193,7 @@ def snapshot_checks(raw: DataFrame, period: str | Column, lineage: Lineage) -> D
     rules = {f"school:{n}_required": bad for n, bad in empty.items()}
     rules["school:management_center_id_required"] = F.col("management_center_id").isNull()
     numbers = {
-        f"school:{role}_number": F.col(c[role]).isNotNull() & _number(c[role]).isNull()
+        f"school:{role}_number": F.col(c[role]).isNotNull() & _number(raw, c[role]).isNull()
         for role in ("category", "status") if c[role]
     }
     parts = [
@@ -208,13 +215,13 @@ def normalize_measures(raw: DataFrame, period: str | Column, lineage: Lineage) -
     metric = {m: first_present(raw.columns, Alias((m,))) for m in METRICS}
     pre_primary = any(metric[f"pp{n}_{s}"] for n in (1, 2, 3) for s in ("b", "g"))
     transgender = any(metric[m] for m in METRICS if m.endswith("_t"))
-    item = _number(c["item"])
-    wanted = (_number(c["group"]) == 1) & item.isin(*SOCIAL_CATEGORIES)
+    item = _number(raw, c["item"])
+    wanted = (_number(raw, c["group"]) == 1) & item.isin(*SOCIAL_CATEGORIES)
     return raw.filter(wanted).select(
         _period(period), _text(c["code"]).alias("udise_sch_code"),
-        _number(c["group"]).alias("item_group"), item.alias("item_id"),
+        _number(raw, c["group"]).alias("item_group"), item.alias("item_id"),
         choose(item, SOCIAL_CATEGORIES).alias("social_category"),
-        *[F.expr(f"try_cast(`{name}` AS bigint)" if name else "bigint(0)").alias(m)
+        *[(readable(raw, name, "bigint") if name else F.expr("bigint(0)")).alias(m)
           for m, name in metric.items()],
         F.lit(int(pre_primary)).cast("tinyint").alias("pre_primary_available"),
         F.lit(int(transgender)).cast("tinyint").alias("transgender_available"),
@@ -227,7 +234,7 @@ def metric_checks(raw: DataFrame) -> DataFrame:
     of the stored table."""
     names = [n for m in METRICS if (n := first_present(raw.columns, Alias((m,))))]
     return count_bad(raw, {
-        f"enrollment:{n}_number": F.col(n).isNotNull() & _number(n, "bigint").isNull()
+        f"enrollment:{n}_number": F.col(n).isNotNull() & _number(raw, n, "bigint").isNull()
         for n in names
     })
 
@@ -237,7 +244,7 @@ def normalize_counts(raw: DataFrame, period: str | Column) -> DataFrame:
     c = resolve_columns(raw, TEACHER_ROLES)
     return raw.select(
         _period(period), _text(c["udise_sch_code"]).alias("udise_sch_code"),
-        *[_number(c[n], "bigint").alias(n) for n in TEACHER_COUNTS],
+        *[_number(raw, c[n], "bigint").alias(n) for n in TEACHER_COUNTS],
     )
 
 

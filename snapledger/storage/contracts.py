@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from snapledger.functions.casts import readable
 from snapledger.operators.checks import count_bad, duplicate_key_check, union_checks
 
 
@@ -67,7 +68,7 @@ class Contract:
     def conform(self, df: DataFrame, mark_rejects: bool = False) -> DataFrame:
         """Contract columns in contract order. A value that does not fit its type becomes
         NULL; ``mark_rejects`` adds a column naming such values so that none is lost quietly."""
-        columns = [F.col(f.name).try_cast(f.type).alias(f.name) for f in self.ordered]
+        columns = [readable(df, f.name, f.type).alias(f.name) for f in self.ordered]
         if mark_rejects:
             names = F.concat_ws(",", *[
                 F.when(bad, F.lit(name)) for name, bad in self._unreadable(df).items()])
@@ -78,7 +79,7 @@ class Contract:
         """Cast failures, for the columns whose type is not the contract's already."""
         stored = {f.name: f.dataType for f in df.schema}
         return {
-            f.name: F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.type).isNull()
+            f.name: F.col(f.name).isNotNull() & readable(df, f.name, f.type).isNull()
             for f in self.ordered if stored[f.name] != T.DataType.fromDDL(f.type)
         }
 

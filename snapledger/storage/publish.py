@@ -68,13 +68,17 @@ def ready_checks(spark: SparkSession, root: str, tables: Sequence[str]) -> DataF
 
 
 def stage(df: DataFrame, contract: Contract, path: str) -> None:
-    """Write one table. Rebalancing lets AQE size the files and split a hot partition."""
-    sized = contract.conform(df, mark_rejects=True).hint(
-        "rebalance", *[F.col(c) for c in contract.partition_by])
-    writer = sized.write.mode("overwrite")
-    if contract.partition_by:
-        writer = writer.partitionBy(*contract.partition_by)
-    writer.parquet(path)
+    """Write one table.
+
+    A partitioned table is rebalanced by its partition columns, so that a task does not
+    write a file into every partition; AQE splits a partition that holds too many rows.
+    """
+    rows = contract.conform(df, mark_rejects=True)
+    if not contract.partition_by:
+        rows.write.mode("overwrite").parquet(path)
+        return
+    spread = rows.hint("rebalance", *[F.col(c) for c in contract.partition_by])
+    spread.write.mode("overwrite").partitionBy(*contract.partition_by).parquet(path)
 
 
 def staged_table(spark: SparkSession, contract: Contract, path: str) -> DataFrame:

@@ -339,12 +339,12 @@ def fact_teacher(spark, sf_dir):
 
 @query
 def report_management(spark, sf_dir):
-    return st.student_reports(spark, sf_dir)[0]
+    return st.management_report(spark, sf_dir)
 
 
 @query
 def report_category(spark, sf_dir):
-    return st.student_reports(spark, sf_dir)[1]
+    return st.category_report(spark, sf_dir)
 
 
 @query
@@ -361,13 +361,13 @@ def teacher_report_category(spark, sf_dir):
 def report_slice(spark, sf_dir):
     """One management scope, all years."""
     return reports.report_slice(
-        st.student_reports(spark, sf_dir)[0], management=ALL_MANAGEMENT)
+        st.management_report(spark, sf_dir), management=ALL_MANAGEMENT)
 
 
 @query
 def latest_period_report(spark, sf_dir):
     return reports.report_slice(
-        reports.latest_period(st.student_reports(spark, sf_dir)[0]), management=ALL_MANAGEMENT)
+        reports.latest_period(st.management_report(spark, sf_dir)), management=ALL_MANAGEMENT)
 
 
 @query
@@ -409,10 +409,11 @@ def dq_source_preflight(spark, sf_dir):
 
 @query
 def dq_missing_labels(spark, sf_dir):
-    """Parts by brand whose name never says anything but blank after removing colors."""
-    parts = st.table(spark, sf_dir, "part")
-    label = F.when(F.col("p_size") > 25, F.col("p_type")).otherwise(F.lit(" "))
-    return checks.codes_without_label(parts.withColumn("label", label), "p_name", "label")
+    """Customers without a usable label, where only urgent orders carry one."""
+    priority = F.col("o_orderpriority")
+    label = F.when(priority.startswith("1"), F.substring(priority, 3, 100)).otherwise(" ")
+    orders = st.table(spark, sf_dir, "orders").withColumn("label", label)
+    return checks.codes_without_label(orders, "o_custkey", "label")
 
 
 @query
@@ -432,9 +433,10 @@ def dq_conflicting_duplicates(spark, sf_dir):
 @query
 def recon_full_outer(spark, sf_dir):
     """Category report against management report: every total must agree."""
-    by_management, by_category = st.student_reports(spark, sf_dir)
+    cube = st.enrollment_cube(spark, sf_dir)
     return reconcile.full_outer_totals(
-        reports.category_totals(by_category), reports.geography_totals(by_management),
+        reports.category_totals(st.category_report(spark, sf_dir, cube)),
+        reports.geography_totals(st.management_report(spark, sf_dir, cube)),
         ["ac_year", "india_state_ut"], "total")
 
 
@@ -455,7 +457,7 @@ def recon_row_math(spark, sf_dir):
 @query
 def recon_group_vs_all(spark, sf_dir):
     return reconcile.group_vs_all(
-        st.student_reports(spark, sf_dir)[0], ["ac_year", "india_state_ut"], "management",
+        st.management_report(spark, sf_dir), ["ac_year", "india_state_ut"], "management",
         ALL_MANAGEMENT, "total")
 
 
@@ -530,7 +532,7 @@ def quarantine_counts(spark, sf_dir):
 @query
 def recon_tolerance(spark, sf_dir):
     """Quantity by year of order against quantity by year of shipping."""
-    report = st.student_reports(spark, sf_dir)[0]
+    report = st.management_report(spark, sf_dir)
     observed = reports.geography_totals(report).filter(
         F.col("india_state_ut") == ALL_GEOGRAPHIES).drop("india_state_ut")
     shipped = st.table(spark, sf_dir, "lineitem").groupBy(

@@ -56,7 +56,6 @@ SCHEMAS = {
     "lineitem": "l_orderkey bigint, l_partkey bigint, l_linenumber int, l_quantity double, "
                 "l_discount double, l_returnflag string, l_linestatus string, "
                 "l_shipdate timestamp_ntz",
-    "part": "p_name string, p_type string, p_size int",
     "events": "ts timestamp_ntz",
 }
 
@@ -101,10 +100,14 @@ def raw_categories(spark, sf_dir):
     """One row per order: the many copies of a category collapse in the normalizer."""
     priority = F.col("o_orderpriority")
     return period_orders(spark, sf_dir).select(
-        "academic_year", F.substring(priority, 1, 1).alias("school_category_id"),
+        "academic_year", leading_digit(priority).alias("school_category_id"),
         F.substring(priority, 3, 100).alias("category_name"))
 
 
+def leading_digit(text: Column) -> Column:
+    return F.ascii(text) - F.ascii(F.lit("0"))
+
+
 def raw_schools(spark, sf_dir, orders: DataFrame | None = None):
     """A customer's last order of the year says how the school looked in that year."""
     orders = period_orders(spark, sf_dir) if orders is None else orders
@@ -118,7 +121,7 @@ def raw_schools(spark, sf_dir, orders: DataFrame | None = None):
         F.col("c_name").alias("sch_name"),
         state_code("c_nationkey").alias("udise_state_code"),
         district_code().alias("udise_dist_code"),
-        F.substring("last.o_orderpriority", 1, 1).alias("category_id"),
+        leading_digit(F.col("last.o_orderpriority")).alias("category_id"),
         choose(F.col("c_mktsegment"), {s: v[0] for s, v in SEGMENTS.items()})
         .alias("sch_mgmt_center_id"),
         choose(F.col("last.o_orderstatus"), STATUS).alias("sch_status"),
@@ -205,7 +208,8 @@ def dim_category(spark, sf_dir):
 
 
 def dim_management(spark, sf_dir, segments: dict = SEGMENTS):
-    return dims.dim_management(raw_management(spark, sf_dir, segments))
+    """One row per mapped segment, so at most five: safe to broadcast."""
+    return F.broadcast(dims.dim_management(raw_management(spark, sf_dir, segments)))
 
 
 def dim_school(spark, sf_dir):
@@ -244,11 +248,16 @@ def teacher_sources(spark, sf_dir, segments: dict = SEGMENTS):
     )
 
 
-def student_reports(spark, sf_dir):
-    """(by management, by category) over one shared aggregate of the fact."""
-    cube = reports.enrollment_cube(fact_student(spark, sf_dir))
-    state, management = dim_state(spark, sf_dir), dim_management(spark, sf_dir)
-    return (
-        reports.report_management(cube, state, management),
-        reports.report_category(cube, state, management, dim_category(spark, sf_dir)),
-    )
+def enrollment_cube(spark, sf_dir):
+    return reports.enrollment_cube(fact_student(spark, sf_dir))
+
+
+def management_report(spark, sf_dir, cube: DataFrame | None = None):
+    cube = enrollment_cube(spark, sf_dir) if cube is None else cube
+    return reports.report_management(cube, dim_state(spark, sf_dir), dim_management(spark, sf_dir))
+
+
+def category_report(spark, sf_dir, cube: DataFrame | None = None):
+    cube = enrollment_cube(spark, sf_dir) if cube is None else cube
+    return reports.report_category(
+        cube, dim_state(spark, sf_dir), dim_management(spark, sf_dir), dim_category(spark, sf_dir))

@@ -4,26 +4,24 @@ import sys
 from pathlib import Path
 
 import pytest
-from pyspark.sql import SparkSession
 
 ROOT = Path(__file__).resolve().parents[1]
 sys.path.insert(0, str(ROOT))
 
+from snapledger.session import build_session  # noqa: E402
+
 
 @pytest.fixture(scope="session")
 def spark():
-    session = (
-        SparkSession.builder.master("local[8]")
-        .config("spark.sql.shuffle.partitions", "4")
-        .config("spark.default.parallelism", "4")
-        .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "6g")
+    session = build_session("tests", "local[8]", **{
+        "spark__sql__shuffle__partitions": "4",
+        "spark__default__parallelism": "4",
+        "spark__ui__enabled": "false",
+        "spark__driver__memory": "6g",
         # tiny inputs: interpreting is faster than compiling each plan
-        .config("spark.sql.codegen.wholeStage", "false")
-        .config("spark.sql.codegen.factoryMode", "NO_CODEGEN")
-        .config("spark.sql.session.timeZone", "UTC")
-        .getOrCreate()
-    )
+        "spark__sql__codegen__wholeStage": "false",
+        "spark__sql__codegen__factoryMode": "NO_CODEGEN",
+    })
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
