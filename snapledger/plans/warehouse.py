@@ -41,7 +41,8 @@ class Drop:
     source_db: str
     source_schema: str
     school_table: str
-    tables: Mapping[str, DataFrame]
+    tables: dict[str, DataFrame]
+    path: str = ""
 
     def lineage(self, processed_at: str, table: str | None = None) -> normalize.Lineage:
         return normalize.Lineage(self.source_db, self.source_schema, processed_at, table)
@@ -53,8 +54,9 @@ def open_drops(
 ) -> list[Drop]:
     """Locate and read the drop of every period in ``sources`` (period -> db, schema).
 
-    Raises with every period that has no single complete drop. Brings one row per period
-    to the driver.
+    Raises with every period that has no single complete drop. Every file's schema counts,
+    so a column that only some files of a table hold is found. Brings one row per period to
+    the driver.
     """
     presence = scan.list_tables(spark, root, canonical, runs)
     wanted = presence.filter(F.col("period").isin(*sources))
@@ -70,13 +72,15 @@ def open_drops(
     for period, (db, schema) in sources.items():
         run, master = found[period]["run"], found[period]["one_of_table"]
         base = f"{root}/{canonical}" if run is None else f"{root}/{runs}/{run}"
-        names = (*STUDENT_TABLES, master)
-        drops.append(Drop(period, db, schema, master, {
-            t: scan.scan_annual(spark, base, period, t) for t in names}))
+        read = {
+            t: scan.scan_annual(spark, base, period, t, merge_schema=True)
+            for t in (*STUDENT_TABLES, master)}
         try:
-            drops[-1].tables[TEACHER_TABLE] = scan.scan_annual(spark, base, period, TEACHER_TABLE)
+            read[TEACHER_TABLE] = scan.scan_annual(
+                spark, base, period, TEACHER_TABLE, merge_schema=True)
         except scan.SourceMissing:
-            pass
+            pass  # only the teacher build needs it
+        drops.append(Drop(period, db, schema, master, read, f"{base}/{period}"))
     return drops
 
 
@@ -100,7 +104,8 @@ def drop_manifest(drops: list[Drop]) -> DataFrame:
         scan.manifest({t: (df, F.lit(drop.period)) for t, df in drop.tables.items()}).select(
             "*", F.lit(drop.source_db).alias("source_db"),
             F.lit(drop.source_schema).alias("source_schema"),
-            F.lit(drop.school_table).alias("school_master_table"))
+            F.lit(drop.school_table).alias("school_master_table"),
+            F.lit(drop.path).alias("path"))
         for drop in drops
     ]
     return scan.union_periods(parts, allow_missing=False)

@@ -7,6 +7,7 @@ run that dies leaves the previous state as it was. One pipeline publishes at a t
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
@@ -15,12 +16,14 @@ from datetime import datetime, timezone
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from snapledger.operators import history as hist
 from snapledger.operators.checks import count_bad, enforce, not_empty_check, union_checks
 from snapledger.storage.contracts import Contract
 
-COMMIT_SCHEMA = "seq bigint, run_id string, tables map<string, array<string>>"
+COMMIT_SCHEMA = (
+    "seq bigint, run_id string, tables map<string, array<string>>, schemas map<string, string>")
 Checks = Callable[[Mapping[str, DataFrame]], DataFrame]
 
 
@@ -29,6 +32,7 @@ class Commit:
     seq: int
     run_id: str
     tables: dict[str, list[str]]
+    schemas: dict[str, str]
 
 
 def commits(spark: SparkSession, root: str) -> DataFrame:
@@ -44,11 +48,17 @@ def commits(spark: SparkSession, root: str) -> DataFrame:
 def latest_commit(spark: SparkSession, root: str) -> Commit | None:
     """The newest commit record, one row."""
     row = commits(spark, root).orderBy(F.desc("seq")).limit(1).first()
-    return None if row is None else Commit(row["seq"], row["run_id"], dict(row["tables"]))
+    return None if row is None else Commit(**row.asDict())
 
 
-def _read(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    return spark.read.parquet(*paths)
+def _open(spark: SparkSession, commit: Commit, table: str) -> DataFrame:
+    """A table of a commit, read with the schema it was published under: left to itself,
+    Spark would take a partition value such as 2009-10 for a month."""
+    reader = spark.read
+    if table in commit.schemas:
+        schema = T.StructType.fromJson(json.loads(commit.schemas[table]))
+        return reader.schema(schema).parquet(*commit.tables[table]).select(*schema.names)
+    return reader.parquet(*commit.tables[table])
 
 
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
@@ -56,7 +66,7 @@ def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
     commit = latest_commit(spark, root)
     if commit is None or table not in commit.tables:
         raise LookupError(f"{table} is not published in {root}")
-    return _read(spark, commit.tables[table])
+    return _open(spark, commit, table)
 
 
 def ready_checks(spark: SparkSession, root: str, tables: Sequence[str]) -> DataFrame:
@@ -101,7 +111,7 @@ def _stage_history(
     segments = known.get(name)
     keys = list(contract.keys)
     if segments is None and contract.table in known:
-        before = _read(spark, known[contract.table]).select(*contract.columns)
+        before = _open(spark, previous, contract.table)
         opened = hist.empty_history(before, keys)
         stamp = F.lit(hist.next_stamp(opened, now))
         base = f"{root}/{name}/{run_id}-baseline"
@@ -110,7 +120,7 @@ def _stage_history(
     if segments is None:
         current = hist.empty_history(snapshot, keys)
     else:
-        current = _read(spark, [p for p in segments if p.endswith("segment=current")])
+        current = spark.read.parquet(*[p for p in segments if p.endswith("segment=current")])
         hist.guard_schema(snapshot, keys, current)
         if not hist.has_changes(current, snapshot, keys):
             return segments
@@ -118,7 +128,7 @@ def _stage_history(
     stamp = F.lit(hist.next_stamp(current, now))
     _write_segment(hist.history_delta(current, snapshot, keys, stamp), path)
     written = _segments(spark, path)
-    enforce(hist.step_checks(_read(spark, written), snapshot, keys))
+    enforce(hist.step_checks(spark.read.parquet(*written), snapshot, keys))
     return [p for p in segments or [] if p.endswith("segment=closed")] + written
 
 
@@ -184,8 +194,12 @@ def publish(
             if segments:
                 paths[f"{contract.table}_history"] = segments
 
-    tables = {**(previous.tables if previous else {}), **paths}
-    commit = Commit((previous.seq if previous else 0) + 1, run_id, tables)
-    record = spark.createDataFrame([(commit.seq, run_id, tables)], COMMIT_SCHEMA)
+    schemas = {contract.table: contract.schema.json() for contract, _ in outputs}
+    commit = Commit(
+        seq=(previous.seq if previous else 0) + 1, run_id=run_id,
+        tables={**(previous.tables if previous else {}), **paths},
+        schemas={**(previous.schemas if previous else {}), **schemas})
+    record = spark.createDataFrame(
+        [(commit.seq, run_id, commit.tables, commit.schemas)], COMMIT_SCHEMA)
     record.coalesce(1).write.mode("append").json(f"{root}/commits")
     return commit

@@ -147,3 +147,14 @@ def test_history_refuses_a_changed_schema(spark, tmp_path):
     df = _df(spark, ("1", "a", "1")).withColumn("extra", F.lit("x"))
     with pytest.raises(HistoryRefused):
         p.publish(spark, str(tmp_path), "r2", [(wider, df)], keep_history=["t"], now=NOW)
+
+
+def test_period_labels_that_look_like_months_stay_labels(spark, tmp_path):
+    df = spark.createDataFrame([("2009-10", "1", "a", "1"), ("2010-11", "1", "a", "1")], SCHEMA)
+    p.publish(spark, str(tmp_path), "r1", [(TABLE, df)])
+    p.publish(spark, str(tmp_path), "r2", [(TABLE, df.replace("a", "b"))], keep_history=["t"], now=NOW)
+    assert rows(p.read_table(spark, str(tmp_path), "t"), "year", "name") == [
+        ("2009-10", "b"), ("2010-11", "b")]
+    history = p.read_table(spark, str(tmp_path), "t_history")
+    assert rows(history, "year", "version_no") == [
+        ("2009-10", 1), ("2009-10", 2), ("2010-11", 1), ("2010-11", 2)]
