@@ -54,35 +54,27 @@ def duplicate_key_check(name: str, df: DataFrame, keys: Sequence[str]) -> DataFr
     return count_bad(per_key, {name: F.col("n_rows") > 1})
 
 
-def _value_spread(df: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
-    """Per key: row count and whether the rows disagree on any of ``values``.
+def _variants(df: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """Per key: rows and distinct value combinations, NULLs counting as values.
 
-    Rows differ exactly if some column has two values, or a value next to a NULL. Minimum,
-    maximum and count of each column tell, in one pass with partial aggregation; counting
-    distinct row signatures would shuffle every row.
+    Combinations are counted first. Both steps hash and combine on the map side, so the
+    copies of a hot key shrink before they travel; minima of text values would sort all
+    rows instead, and a hash of the values could miss a conflict.
     """
-    spread = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        *[f(v).alias(f"_{name}_{i}") for i, v in enumerate(values)
-          for name, f in (("low", F.min), ("high", F.max), ("n", F.count))],
-    )
-    differs = reduce(lambda a, b: a | b, [
-        (F.col(f"_n_{i}") > 0)
-        & ((F.col(f"_low_{i}") != F.col(f"_high_{i}")) | (F.col(f"_n_{i}") < F.col("n_rows")))
-        for i in range(len(values))
-    ])
-    return spread.select(*keys, "n_rows", differs.alias("_differs"))
+    combinations = df.groupBy(*keys, *values).agg(F.count(F.lit(1)).alias("_n"))
+    return combinations.groupBy(*keys).agg(
+        F.sum("_n").alias("n_rows"), F.count(F.lit(1)).alias("_variants"))
 
 
 def conflicting_duplicates(df: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
     """Keys whose rows disagree on ``values``, with their row count."""
-    return _value_spread(df, keys, values).filter("_differs").drop("_differs")
+    return _variants(df, keys, values).filter("_variants > 1").drop("_variants")
 
 
 def conflict_check(
     name: str, df: DataFrame, keys: Sequence[str], values: Sequence[str]
 ) -> DataFrame:
-    return count_bad(_value_spread(df, keys, values), {name: F.col("_differs")})
+    return count_bad(_variants(df, keys, values), {name: F.col("_variants") > 1})
 
 
 def collapse_duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -176,13 +176,14 @@ def normalize_snapshot(
 ) -> DataFrame:
     """School register of one period; identical duplicates collapse.
 
+    Rows of one school that differ are kept, and fail ``snapshot_checks`` and the contract.
     ``duplicates="unique"`` is for a drop known to hold one row per school: it saves the
     collapse and its shuffle.
     """
     if duplicates not in ("collapse", "unique"):
         raise ValueError(f"unknown duplicates policy: {duplicates}")
     rows = school_rows(raw, period, lineage)
-    return rows if duplicates == "unique" else collapse_duplicates(rows, SNAPSHOT_KEYS)
+    return rows if duplicates == "unique" else rows.distinct()
 
 
 def snapshot_checks(raw: DataFrame, period: str | Column, lineage: Lineage) -> DataFrame:
