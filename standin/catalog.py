@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from snapledger.functions import measures as stages
 from snapledger.functions.labels import ALL_GEOGRAPHIES, ALL_MANAGEMENT
-from snapledger.functions.measures import MEASURES, stage_measures
 from snapledger.functions.periods import period_label, period_start
 from snapledger.operators import checks, corrections, history, reconcile, scd2, totals
 from snapledger.plans import dims, facts, reports
@@ -253,11 +253,9 @@ def dim_social_category(spark, sf_dir):
 # --- facts and versions --------------------------------------------------------------------
 
 @query
-def stage_measures_rollup(spark, sf_dir):
-    return st.measures(spark, sf_dir).select(*normalize.ENROLLMENT_KEYS, *stage_measures())
-
-
-_QUERIES["stage_measures"] = _QUERIES.pop("stage_measures_rollup")
+def stage_measures(spark, sf_dir):
+    return st.measures(spark, sf_dir).select(
+        *normalize.ENROLLMENT_KEYS, *stages.stage_measures())
 
 
 @query
@@ -444,13 +442,13 @@ def recon_full_outer(spark, sf_dir):
 def recon_row_math(spark, sf_dir):
     """Two of these hold for every row, the third leaves out a stage on purpose."""
     fact = st.fact_student(spark, sf_dir)
-    stages = ["foundational", "preparatory", "middle", "secondary"]
+    parts = list(stages.STAGES)
     genders = ["total_boys", "total_girls", "total_transgender"]
     return checks.count_bad(fact, {
-        "stages": F.col("total_enrollment") != sum((F.col(c) for c in stages), F.lit(0)),
+        "stages": F.col("total_enrollment") != sum((F.col(c) for c in parts), F.lit(0)),
         "genders": F.col("total_enrollment") != sum((F.col(c) for c in genders), F.lit(0)),
         "without_secondary":
-            F.col("total_enrollment") != sum((F.col(c) for c in stages[:3]), F.lit(0)),
+            F.col("total_enrollment") != sum((F.col(c) for c in parts[:3]), F.lit(0)),
     })
 
 
@@ -482,8 +480,7 @@ def validation_summary(spark, sf_dir):
     return checks.union_checks(
         checks.not_empty_check("fact_student:not_empty", fact),
         reconcile.row_math(
-            fact, "total_enrollment", ["foundational", "preparatory", "middle", "secondary"],
-            "fact_student:row_math"),
+            fact, "total_enrollment", list(stages.STAGES), "fact_student:row_math"),
         facts.dimension_key_checks(state, management, category),
         facts.mapping_audit(fact, state, management, category),
         reports.student_report_checks(
