@@ -27,7 +27,7 @@ from public_tokenizers import PATTERN
 from snapledger.llm.bpe import encoder
 from snapledger.llm.common import pick, text_of
 
-CHUNK = 16_384
+CHUNK = 65_536  # encoded in some 25 ms; smaller texts are not worth a shuffle
 OVERLAP = 512
 _PIECES = "doc_id long, digest string, seq long, ids array<int>"
 
@@ -125,8 +125,9 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     cut = chunks(texts, chunk, overlap)
     at = seams(cut, chunk, overlap).withColumnsRenamed(
         {"doc_id": "_doc", "digest": "_digest", "seq": "_seq"})
-    same = (F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("digest") == F.col("_digest"))
-            & (F.col("seq") == F.col("_seq")))
+    # null-safe throughout: a null filter on one side only would keep Spark from reusing the shuffle
+    same = (F.col("doc_id").eqNullSafe(F.col("_doc")) & F.col("digest").eqNullSafe(F.col("_digest"))
+            & F.col("seq").eqNullSafe(F.col("_seq")))
     length = F.coalesce("stop", F.col("n_chars")) - F.col("start")
     parts = cut.join(at, same).withColumn(
         "piece", F.col("body").substr(F.col("start") - F.col("base") + 1, length))
