@@ -8,16 +8,27 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapledger.llm import bpe, encode
+from snapledger.llm import bpe, encode, fingerprint, pack
 from snapledger.llm.common import table
 
 
+def op6_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(bpe.VOCABULARY),
+                     public_tokenizers.path(bpe.RANKS), keep_ids=False)
+
+
 def op10_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(bpe.RANKS))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op6_fingerprint": op6_fingerprint,
+        "op8_pack": op8_pack,
         "op10_encode": op10_encode,
     }
 
