@@ -147,12 +147,13 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     The texts are shuffled once, by ranges of ids.
     """
+    tasks = max(32, 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     if buckets is None:
-        buckets = max(32, 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        buckets = 4 * tasks  # several to a task even out their sizes
     texts = pick(docs, doc_id=id_col, text=text_col).select(
         F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     return (
-        followed(texts, buckets).repartition(buckets, "bucket")
+        followed(texts, buckets).repartition(min(buckets, tasks), "bucket")
         .sortWithinPartitions("bucket", "guest", "key", "text")
         .select("bucket", "guest", "doc_id", "text")
         .mapInPandas(_compare, _ROWS)

@@ -8,14 +8,26 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapledger.llm import bpe, encode, fingerprint, pack
+from snapledger.llm import bpe, encode, fingerprint, jaccard, pack, quality, toxicity
 from snapledger.llm.common import table
 
 
+def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.groups(table(spark, sf_dir, "documents"))
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(bpe.VOCABULARY),
                      public_tokenizers.path(bpe.RANKS), keep_ids=False)
@@ -27,7 +39,10 @@ def op10_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op4_jaccard": op4_jaccard,
+        "op5_quality": op5_quality,
         "op6_fingerprint": op6_fingerprint,
+        "op7_toxicity": op7_toxicity,
         "op8_pack": op8_pack,
         "op10_encode": op10_encode,
     }
