@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapledger.llm import bpe, encode, fingerprint, jaccard, pack, quality, toxicity
+from snapledger.llm import bpe, encode, fingerprint, jaccard, neighbours, pack, quality, toxicity
 from snapledger.llm.common import table
 
 
@@ -33,6 +33,10 @@ def op8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
                      public_tokenizers.path(bpe.RANKS), keep_ids=False)
 
 
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"))
+
+
 def op10_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(bpe.RANKS))
 
@@ -44,6 +48,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_fingerprint": op6_fingerprint,
         "op7_toxicity": op7_toxicity,
         "op8_pack": op8_pack,
+        "op9_neighbours": op9_neighbours,
         "op10_encode": op10_encode,
     }
 
