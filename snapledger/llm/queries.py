@@ -8,10 +8,34 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapledger.llm import bpe, encode, fingerprint, jaccard, neighbours, pack, quality, toxicity
+from snapledger.llm import (
+    bpe,
+    encode,
+    fingerprint,
+    jaccard,
+    licences,
+    lm,
+    neighbours,
+    pack,
+    quality,
+    toxicity,
+    url_tree,
+)
 from snapledger.llm.common import table
 
 
+def op1_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
+def op2_url_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_tree.judge(table(spark, sf_dir, "pages"))
+
+
+def op3_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
 def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.groups(table(spark, sf_dir, "documents"))
 
@@ -43,6 +67,9 @@ def op10_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_lm": op1_lm,
+        "op2_url_tree": op2_url_tree,
+        "op3_licences": op3_licences,
         "op4_jaccard": op4_jaccard,
         "op5_quality": op5_quality,
         "op6_fingerprint": op6_fingerprint,
@@ -54,4 +81,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op2_url_tree": url_tree.oracle(),
+        "op3_licences": licences.oracle(),
+    }
