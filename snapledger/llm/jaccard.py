@@ -6,10 +6,10 @@ any two similar sets share a shingle among the first ones (the prefix), so the j
 shingles. A shingle only pairs nodes whose set sizes (length filter) and positions in the two
 orders (positional filter) still allow the similarity.
 
-Nodes first meet one partner per shared shingle, the smallest node that has it, and these pairs are
-verified. Then only nodes of different components that share a shingle are paired, so a group of
-near copies costs a few pairs per node and never all of its pairs; no link between components is
-lost. Each pair is verified once: a bound from the sizes of value ranges comes first (suffix
+Nodes first meet the smallest node that shares one of their shingles, then one of another component,
+two partners at most each time, and these pairs are verified. Only nodes that then still are in
+different components and share a shingle are paired in full, so a group of near copies costs a few
+pairs per node and never all of its pairs; no link between components is lost. Each pair is verified once: a bound from the sizes of value ranges comes first (suffix
 filter), then the exact count. Shingles are 64-bit hashes of five words' hashes.
 
 Words: A-Z lower-cased, between ASCII white spaces. A text of fewer words is one shingle; without
@@ -148,7 +148,14 @@ def shared_shingles(rows: DataFrame) -> DataFrame:
         F.col("p.at").alias("p_at"))
 
 
-def _pairs(a: str, b: str) -> list[Column]:
+def _few_pairs(met: DataFrame) -> DataFrame:
+    """Of rows (node, other), two partners per node at most: the one met most often and the smallest."""
+    counted = met.groupBy("node", "other").agg(F.count(F.lit(1)).alias("times"))
+    best = counted.groupBy("node").agg(F.max(F.struct("times", "other")).alias("most"), F.min("other").alias("least"))
+    return best.select("node", F.explode(F.array("most.other", "least")).alias("other")).select(*_ordered()).distinct()
+
+
+def _ordered(a: str = "node", b: str = "other") -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
@@ -210,29 +217,42 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
     rows = write_once(signed(texts, bucket_counts(texts)), "signed")
     with_id = rows.filter(F.col("doc_id").isNotNull())
     shared = write_once(shared_shingles(with_id), "shared")
-    first_pairs = write_once(
-        shared.filter(F.col("node") != F.col("p_node"))
-        .filter(_possible(F.col("n"), F.col("at"), F.col("p_n"), F.col("p_at")))
-        .select(*_pairs("node", "p_node")).distinct(), "pairs")
     with_id_texts = texts.filter(F.col("doc_id").isNotNull())
-    first = write_once(verified(first_pairs, with_id_texts), "links")
-    # nodes of different components under one shingle
-    roots = components(first)
-    placed = shared.select("shingle", "node", "n", "at").join(roots, "node", "left").withColumn(
-        "root", F.coalesce("root", "node"))
+    other_possible = _possible(F.col("n"), F.col("at"), F.col("o_n"), F.col("o_at"))
+    # each node with the smallest ones that share its shingles
+    met = shared.withColumnsRenamed({"p_n": "o_n", "p_at": "o_at", "p_node": "other"}).filter(
+        (F.col("node") != F.col("other")) & other_possible)
+    tried = write_once(_few_pairs(met), "pairs")
+    linked = write_once(verified(tried, with_id_texts), "links")
+    # each node with one of another component under its shingles
+    open_ = write_once(_open(shared.select("shingle", "node", "n", "at"), components(linked)), "open")
+    entry = F.struct("root", "node", "n", "at")
+    ends = open_.groupBy("shingle").agg(F.min(entry).alias("low"), F.max(entry).alias("high"))
+    far = F.when(F.col("root") != F.col("low.root"), F.col("low")).otherwise(F.col("high"))
+    met = open_.join(ends, "shingle").withColumn("o", far).select(
+        "node", "n", "at", F.col("o.node").alias("other"), F.col("o.n").alias("o_n"), F.col("o.at").alias("o_at"))
+    more = write_once(_few_pairs(met.filter(other_possible)).join(tried, ["a", "b"], "left_anti"), "pairs")
+    linked = write_once(linked.union(verified(more, with_id_texts)), "links")
+    tried = tried.union(more)
+    # all that are still in different components under one shingle
+    open_ = write_once(_open(open_.drop("root"), components(linked)), "open")
+    others = open_.select("shingle", F.col("node").alias("other"), F.col("n").alias("o_n"),
+                          F.col("at").alias("o_at"), F.col("root").alias("o_root"))
+    rest = write_once(
+        open_.join(others, "shingle")
+        .filter((F.col("node") < F.col("other")) & (F.col("root") != F.col("o_root")) & other_possible)
+        .select(*_ordered()).distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
+    if not rest.isEmpty():
+        linked = linked.union(verified(rest, with_id_texts))
+    return rows.select("doc_id", "n", "node"), linked
+
+
+def _open(placed: DataFrame, roots: DataFrame) -> DataFrame:
+    """(shingle, node, n, at, root) of the shingles whose nodes lie in several components."""
+    placed = placed.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     split = placed.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter(
         "low < high").select("shingle")
-    open_ = write_once(placed.join(split, "shingle").distinct(), "open")
-    other = open_.select("shingle", *(F.col(c).alias(f"o_{c}") for c in ("node", "n", "at", "root")))
-    second_pairs = (
-        open_.join(other, "shingle")
-        .filter((F.col("node") < F.col("o_node")) & (F.col("root") != F.col("o_root"))
-                & _possible(F.col("n"), F.col("at"), F.col("o_n"), F.col("o_at")))
-        .select(*_pairs("node", "o_node")).distinct()
-        .join(first_pairs, ["a", "b"], "left_anti")
-    )
-    second = verified(write_once(second_pairs, "pairs"), with_id_texts)
-    return rows.select("doc_id", "n", "node"), first.union(second)
+    return placed.join(split, "shingle").distinct()
 
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
