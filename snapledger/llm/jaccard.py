@@ -23,9 +23,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from snapledger.llm.common import pick, text_of, word_hashes, words, write_once
@@ -159,19 +160,23 @@ def _ordered(a: str = "node", b: str = "other") -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
+def id_mask(ids: DataFrame) -> np.ndarray:
+    """Bits of the ids that occur, modulo ``MASK_BITS``; fixed in size, so others may share their bit."""
+    bits = ids.select(F.pmod("id", F.lit(MASK_BITS)).alias("bit")).select(
+        F.shiftright("bit", 5).alias("word"), F.expr("shiftleft(1L, cast(bit % 32 as int))").alias("mask"))
+    mask = np.zeros(MASK_BITS // 32, np.uint32)
+    for r in bits.groupBy("word").agg(F.bit_or("mask").alias("mask")).toLocalIterator():
+        mask[r["word"]] = r["mask"]
+    return mask
+
+
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) of nodes that link, from the texts themselves.
 
     A filter of fixed size over the nodes that occur keeps most other texts out of the shuffle.
     """
-    spark = pairs.sparkSession
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node"))
-    bits = nodes.select(F.pmod("node", F.lit(MASK_BITS)).alias("bit")).select(
-        F.shiftright("bit", 5).alias("word"), F.expr("shiftleft(1L, cast(bit % 32 as int))").alias("mask"))
-    mask = np.zeros(MASK_BITS // 32, np.uint32)
-    for r in bits.groupBy("word").agg(F.bit_or("mask").alias("mask")).toLocalIterator():
-        mask[r["word"]] = r["mask"]
-    shared = spark.sparkContext.broadcast(mask)
+    shared = pairs.sparkSession.sparkContext.broadcast(
+        id_mask(pairs.select(F.explode(F.array("a", "b")).alias("id"))))
 
     def needed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         packer, wanted, seen = zstandard.ZstdCompressor(), shared.value, set()
@@ -272,3 +277,41 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     return named.join(merged, F.col("least") == F.col("node"), "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce(merged["root"], F.col("least"))).alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows, with all their columns, of the smallest id of each component; of its rows only one.
+
+    Rows without id stay. Only rows that may have to go travel: a filter of fixed size over the ids
+    in question tells most others apart.
+    """
+    own = "_"
+    while any(c.startswith(own) for c in docs.columns):
+        own += "_"
+    found = write_once(groups(docs, id_col, text_col), "groups")
+    going = found.filter("doc_id is not null").groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("component_id").alias("least")).filter(
+        (F.col("rows") > 1) | (F.col("least") != F.col("doc_id"))).select(
+        F.col("doc_id").alias(f"{own}id"), F.col("least").alias(f"{own}least"))
+    going = write_once(going, "going")
+    shared = docs.sparkSession.sparkContext.broadcast(id_mask(going.select(F.col(f"{own}id").alias("id"))))
+
+    def select(wanted: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                ids = batch[id_col].fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+                bit = np.mod(ids, MASK_BITS)
+                hit = (shared.value[bit >> 5] >> (bit & 31).astype(np.uint32) & 1).astype(bool)
+                hit &= batch[id_col].is_valid().to_numpy(zero_copy_only=False)
+                yield batch.filter(pa.array(hit == wanted))
+        return run
+
+    sure = docs.mapInArrow(select(False), docs.schema)
+    asked = docs.mapInArrow(select(True), docs.schema)
+    rows = Window.partitionBy(f"`{id_col}`").orderBy(f"`{text_col}`", F.xxhash64(*(f"`{c}`" for c in docs.columns)))
+    stay = (
+        asked.join(going, F.col(f"`{id_col}`") == F.col(f"{own}id"), "left")
+        .filter(F.col(f"{own}id").isNull() | (F.col(f"{own}id") == F.col(f"{own}least")))
+        .withColumn(f"{own}row", F.row_number().over(rows)).filter(F.col(f"{own}row") == 1)
+    )
+    return sure.union(stay.select(*(f"`{c}`" for c in docs.columns)))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,6 +78,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_pack": op8_pack,
         "op9_neighbours": op9_neighbours,
         "op10_encode": op10_encode,
+        "pipeline": corpus_pipeline.run,
     }
 
 
@@ -84,4 +86,4 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_url_tree": url_tree.oracle(),
         "op3_licences": licences.oracle(),
-    }
+    } | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
