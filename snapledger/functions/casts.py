@@ -21,4 +21,6 @@ def readable(df: DataFrame, name: str, kind: str) -> Column:
     cast = column.try_cast(kind)
     if isinstance(stored, T.StringType) and kind in _INTEGRAL:
         return F.when(column.rlike(r"^\s*[+-]?\d+\s*$"), cast)
+    if isinstance(stored, (T.DoubleType, T.FloatType, T.DecimalType)) and kind in _INTEGRAL:
+        return F.when(cast.cast(stored) == column, cast)  # a fraction does not fit
     return cast

@@ -7,25 +7,45 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from snapledger.functions.casts import readable
 from snapledger.operators.checks import count_bad
 
 
-def correction_status(df: DataFrame, corrections: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """How often each correction key occurs on both sides; only 1 to 1 may be applied."""
+def correction_status(
+    df: DataFrame, corrections: DataFrame, keys: Sequence[str], column: str
+) -> DataFrame:
+    """One row per correction key: counts on both sides, delta, status and reason.
+
+    A correction is refused unless it names exactly one row, once, changes its value, and both
+    the value and the result are whole numbers from zero on.
+    """
+    asked = corrections.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n_corrections"), F.max("delta").alias("delta"))
     hits = (
-        df.join(corrections.select(*keys).distinct(), list(keys), "left_semi")
-        .groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
+        df.select(*keys, readable(df, column, "bigint").alias("_value"))
+        .join(asked.select(*keys), list(keys), "left_semi")
+        .groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"), F.max("_value").alias("_value"))
     )
-    asked = corrections.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_corrections"))
     joined = asked.join(hits, list(keys), "left").withColumn(
         "n_rows", F.coalesce("n_rows", F.lit(0).cast("bigint")))
-    exact = (F.col("n_rows") == 1) & (F.col("n_corrections") == 1)
-    return joined.withColumn("status", F.when(exact, "APPLIED").otherwise("REFUSED"))
+    reason = F.concat_ws("; ", *[F.when(bad, text) for text, bad in {
+        "no row": F.col("n_rows") == 0,
+        "several rows": F.col("n_rows") > 1,
+        "several corrections": F.col("n_corrections") > 1,
+        "no change": F.coalesce(F.col("delta"), F.lit(0)) == 0,
+        "no number to correct": (F.col("n_rows") == 1) & F.col("_value").isNull(),
+        "negative result": F.col("_value") + F.col("delta") < 0,
+    }.items()])
+    status = F.when(reason == "", "APPLIED").otherwise("REFUSED")
+    return joined.select(
+        *keys, "n_corrections", "n_rows", "delta", status.alias("status"), reason.alias("reason"))
 
 
-def correction_check(df: DataFrame, corrections: DataFrame, keys: Sequence[str]) -> DataFrame:
-    status = correction_status(df, corrections, keys)
-    return count_bad(status, {"corrections:one_row_each": F.col("status") == "REFUSED"})
+def correction_check(
+    df: DataFrame, corrections: DataFrame, keys: Sequence[str], column: str
+) -> DataFrame:
+    status = correction_status(df, corrections, keys, column)
+    return count_bad(status, {"corrections:all_applied": F.col("status") == "REFUSED"})
 
 
 def apply_corrections(
@@ -33,16 +53,15 @@ def apply_corrections(
 ) -> DataFrame:
     """Add ``delta`` to one column of the rows that ``corrections`` (keys, delta) names.
 
-    Sources stay untouched: dropping the overlay restores the original. A correction that
-    does not name exactly one row is refused (see ``correction_check``), the column keeps
-    its type, and ``corrected`` marks the rows that changed.
+    Sources stay untouched: dropping the overlay restores the original. A refused correction
+    (see ``correction_status``) changes nothing, the column keeps its type, and ``corrected``
+    marks the rows that changed.
     """
-    status = correction_status(df, corrections, keys).filter("status = 'APPLIED'")
-    usable = corrections.join(status.select(*keys), list(keys), "left_semi").select(
+    usable = correction_status(df, corrections, keys, column).filter("status = 'APPLIED'").select(
         *keys, F.col("delta").alias("_delta"))
     kind = df.schema[column].dataType
     value = F.when(
-        F.col("_delta").isNotNull(), (F.col(column).cast("bigint") + F.col("_delta")).cast(kind)
+        F.col("_delta").isNotNull(), (readable(df, column, "bigint") + F.col("_delta")).cast(kind)
     ).otherwise(F.col(column))
     joined = df.join(usable, list(keys), "left")
     return joined.select(

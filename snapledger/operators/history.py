@@ -8,7 +8,7 @@ gets another live one. See ``scd2`` for the convention by valid date.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -163,9 +163,15 @@ def history_delta(
 
 def history_step(
     history: DataFrame, snapshot: DataFrame, keys: Sequence[str], stamp: Column,
-    ignored: Sequence[str] = IGNORED,
+    ignored: Sequence[str] = IGNORED, checked: bool = False,
 ) -> DataFrame:
-    """The whole history after one more complete snapshot."""
+    """The whole history after one more complete snapshot.
+
+    Repeated or incomplete keys on either side are refused before anything is compared;
+    ``checked`` is for callers that have done so.
+    """
+    if not checked:
+        enforce(input_checks(history.filter("is_current = 1"), snapshot, keys))
     delta = history_delta(history.filter("is_current = 1"), snapshot, keys, stamp, ignored)
     return history.filter("is_current = 0").unionByName(delta)
 
@@ -181,21 +187,39 @@ def history_baseline(
 
 
 def next_stamp(current: DataFrame, now: datetime) -> datetime:
-    """Observation time of a step: now, but always after every stored version."""
-    if now.tzinfo is not None:
-        now = now.astimezone().replace(tzinfo=None)
-    last = current.agg(F.max("valid_from").alias("last")).first()["last"]
-    return now if last is None else max(now, last + timedelta(microseconds=1))
+    """Observation time of a step in UTC: now, but always after every stored version.
+
+    A time without zone is the machine's local time.
+    """
+    now = now.astimezone(timezone.utc)
+    last = current.agg(F.unix_micros(F.max("valid_from")).alias("last")).first()["last"]
+    if last is None:
+        return now
+    return max(now, datetime(1970, 1, 1, tzinfo=timezone.utc) + timedelta(microseconds=last + 1))
 
 
-def step_checks(delta: DataFrame, snapshot: DataFrame, keys: Sequence[str]) -> DataFrame:
+def step_checks(
+    delta: DataFrame, snapshot: DataFrame, keys: Sequence[str], before: DataFrame | None = None,
+) -> DataFrame:
     """What must hold after a step, before it is published: live current rows are as many
-    as the snapshot's rows, and every key has one current row."""
+    as the snapshot's rows, every key has one current row, and, given the current rows
+    ``before``, each of these is still there and each row more is a version just opened."""
     live = delta.filter("is_current = 1 AND is_deleted = 0").select(F.lit(1).alias("_side"))
     wanted = snapshot.select(F.lit(-1).alias("_side"))
     balance = live.unionAll(wanted).agg(
         F.count_if(F.col("_side") == 1).alias("n_checked"), F.abs(F.sum("_side")).alias("n_bad"))
+    more = []
+    if before is not None:
+        latest = delta.agg(F.count(F.lit(1)).alias("n"), F.max("valid_from").alias("at"))
+        opened = delta.join(F.broadcast(latest.select("at")), F.col("valid_from") == F.col("at"))
+        side = before.select(F.lit(1).alias("_side")).unionAll(opened.select(F.lit(1))).unionAll(
+            delta.select(F.lit(-1)))
+        more.append(side.agg(
+            F.count_if(F.col("_side") == -1).alias("n_checked"),
+            F.coalesce(F.abs(F.sum("_side")), F.lit(0)).cast("bigint").alias("n_bad"),
+        ).select(F.lit("history:rows_equal_old_and_opened").alias("check"), "n_checked", "n_bad"))
     return union_checks(
+        *more,
         balance.select(
             F.lit("history:live_rows_equal_snapshot").alias("check"), "n_checked",
             F.coalesce("n_bad", F.lit(0)).cast("bigint").alias("n_bad"),
@@ -233,8 +257,10 @@ def history_chain(
         F.lag("_hash").over(by_run).alias("_hash_before"),
         F.lead("_run").over(by_run).alias("_run_after"),
     )
+    twice = F.raise_error(F.concat(F.lit("a key occurs twice in run "), F.col("_run"))).cast("string")
     own = (
         F.when(F.col("_run_before").isNull(), "INITIAL")
+        .when(F.col("_run") == F.col("_run_before"), twice)
         .when(F.col("_run") > F.col("_run_before") + 1, "REACTIVATED")
         .when(F.col("_hash") != F.col("_hash_before"), "CHANGE")
     )
@@ -295,4 +321,4 @@ def run_history(
     if not has_changes(current, snapshot, keys, ignored):
         return history, False
     stamp = next_stamp(current, now)
-    return history_step(history, snapshot, keys, F.lit(stamp), ignored), True
+    return history_step(history, snapshot, keys, F.lit(stamp), ignored, checked=True), True

@@ -13,8 +13,10 @@ from snapledger.operators.checks import count_bad
 
 
 def row_math(df: DataFrame, total: str, parts: Sequence[str], name: str) -> DataFrame:
-    """Rows whose total is not the sum of its parts."""
-    return count_bad(df, {name: F.col(total) != reduce(add, [F.col(p) for p in parts])})
+    """Rows whose total is not the sum of its parts; a NULL among them does not pass."""
+    whole = reduce(add, [F.col(p) for p in parts])
+    agrees = F.col(total).isNotNull() & F.col(total).eqNullSafe(whole)
+    return count_bad(df, {name: ~agrees})
 
 
 def group_vs_all(

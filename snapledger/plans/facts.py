@@ -14,7 +14,7 @@ from snapledger.functions.labels import (
     is_blank,
     teacher_category,
 )
-from snapledger.functions.measures import MEASURES, STAGES, stage_measures
+from snapledger.functions.measures import MEASURES, STAGES, with_stage_measures
 from snapledger.functions.periods import period_start
 from snapledger.operators.checks import count_bad, duplicate_key_check, union_checks
 from snapledger.operators.reconcile import row_math
@@ -67,8 +67,8 @@ def fact_student(
     categories come from small published tables, which Spark broadcasts by their size; the
     school join is the one that shuffles.
     """
-    narrow = measures.select(
-        *ENROLLMENT_KEYS, *stage_measures(), "pre_primary_available", "transgender_available")
+    narrow = with_stage_measures(
+        measures, [*ENROLLMENT_KEYS, "pre_primary_available", "transgender_available"])
     starred = narrow.join(
         periods.select("academic_year", "academic_year_sk"), "academic_year"
     ).join(

@@ -51,7 +51,7 @@ ENROLLMENT = Contract(
     keys=("academic_year", "udise_sch_code", "item_group", "item_id"),
     partition_by=("academic_year",))
 TEACHERS = Contract(
-    "teacher_structure_snapshot",
+    "staff_snapshot",
     (YEAR, SCHOOL, *[_number(n, "bigint") for n in ("male_tch", "female_tch", "transgen_tch")]),
     keys=("academic_year", "udise_sch_code"), partition_by=("academic_year",))
 
@@ -102,14 +102,14 @@ SCHOOL_AUDIT = Contract(
      _text("changed_columns", 500)),
     keys=("udise_sch_code", "version_no"))
 FACT_STUDENT = Contract(
-    "fact_student_structure",
+    "fact_enrollment",
     (_number("academic_year_sk"), _text("school_sk", 32), _number("social_category_sk"), STATE_SK,
      DISTRICT_SK, _number("category_sk", nullable=True), _number("management_sk"), YEAR, SCHOOL,
      _number("item_group"), _number("item_id"), *[_number(m, "bigint") for m in MEASURES], *FLAGS),
     keys=("academic_year", "udise_sch_code", "item_group", "item_id"),
     partition_by=("academic_year",))
 FACT_TEACHER = Contract(
-    "fact_teacher_structure",
+    "fact_staff",
     (YEAR, SCHOOL, STATE, _text("state_name", 160), _number("management_center_id"),
      _text("management_group", 64), _number("sch_category_id"), _text("category", 128),
      *[_number(n, "bigint")
@@ -128,9 +128,9 @@ def _report(table: str, scope: Field, measures: tuple[str, ...]) -> Contract:
 _GROUP_SPLIT = (
     "total", "government", "government_aided", "private_unaided_recognized", "others")
 REPORT_MANAGEMENT = _report(
-    "student_structure_management", _text("management", 64), ("total", *STAGES))
-REPORT_CATEGORY = _report("student_structure_category", _text("category", 128), _GROUP_SPLIT)
+    "enrollment_by_management", _text("management", 64), ("total", *STAGES))
+REPORT_CATEGORY = _report("enrollment_by_category", _text("category", 128), _GROUP_SPLIT)
 TEACHER_MANAGEMENT = _report(
-    "teacher_structure_management", _text("management", 64),
+    "staff_by_management", _text("management", 64),
     ("total", "foundational_preparatory", "middle", "secondary", *GRADE_BANDS))
-TEACHER_CATEGORY = _report("teacher_structure_category", _text("category", 128), _GROUP_SPLIT)
+TEACHER_CATEGORY = _report("staff_by_category", _text("category", 128), _GROUP_SPLIT)

@@ -22,8 +22,9 @@ from snapledger.operators.checks import (
 from snapledger.operators.scd2 import scd2_invariants
 from snapledger.plans import dims, facts, reports, tables
 from snapledger.sources import normalize, scan
-from snapledger.sources.columns import schema_checks, schema_report
+from snapledger.sources.columns import schema_checks, schema_rules
 from snapledger.storage.publish import Commit, latest_commit, publish, read_table, ready_checks
+from snapledger.storage.workdir import write_once
 
 # Source tables of a complete drop.
 STUDENT_TABLES = ("mst_state", "mst_district", "mst_sch_category", "sch_enr_fresh")
@@ -50,18 +51,19 @@ class Drop:
 
 def open_drops(
     spark: SparkSession, root: str, sources: Mapping[str, tuple[str, str]],
-    canonical: str = "bronze", runs: str = "bronze_runs",
+    canonical: str = "bronze", runs: str = "bronze_runs", teachers: bool = False,
 ) -> list[Drop]:
     """Locate and read the drop of every period in ``sources`` (period -> db, schema).
 
     Raises with every period that has no single complete drop. Every file's schema counts,
-    so a column that only some files of a table hold is found. Brings one row per period to
+    so a column that only some files of a table hold is found. For a teacher build,
+    ``teachers`` makes the teacher table part of a complete drop. Brings one row per period to
     the driver.
     """
     presence = scan.list_tables(spark, root, canonical, runs)
     wanted = presence.filter(F.col("period").isin(*sources))
     found = {row["period"]: row for row in scan.complete_runs(
-        wanted, STUDENT_TABLES, SCHOOL_MASTERS).collect()}
+        wanted, (*STUDENT_TABLES, *([TEACHER_TABLE] if teachers else [])), SCHOOL_MASTERS).collect()}
     problems = [
         f"{p}: {found[p]['status'] if p in found else 'NONE'}" for p in sources
         if p not in found or found[p]["one_of_table"] is None
@@ -88,14 +90,11 @@ def drop_checks(drop: Drop) -> DataFrame:
     """Source schema rules of one drop."""
     school = {r: a for r, a in normalize.SCHOOL_ROLES.items() if a.required}
     enrollment = {**normalize.ENROLLMENT_ROLES, **normalize.REQUIRED_METRICS}
-    found = [
-        schema_report(f"{drop.period}/{drop.school_table}", drop.tables[drop.school_table], school),
-        schema_report(f"{drop.period}/sch_enr_fresh", drop.tables["sch_enr_fresh"], enrollment),
-    ]
+    found = [(drop.school_table, school), ("sch_enr_fresh", enrollment)]
     if TEACHER_TABLE in drop.tables:
-        found.append(schema_report(
-            f"{drop.period}/{TEACHER_TABLE}", drop.tables[TEACHER_TABLE], normalize.TEACHER_ROLES))
-    return schema_checks(found)
+        found.append((TEACHER_TABLE, normalize.TEACHER_ROLES))
+    return schema_checks([
+        schema_rules(f"{drop.period}/{table}", drop.tables[table], roles) for table, roles in found])
 
 
 def drop_manifest(drops: list[Drop]) -> DataFrame:
@@ -196,6 +195,8 @@ def publish_dimensions(
 def publish_student_fact(
     spark: SparkSession, root: str, run_id: str, now: datetime | None = None
 ) -> Commit:
+    enforce(ready_checks(spark, root, [
+        "enrollment_social_category", "dim_academic_year", "dim_social_category", "dim_school_scd2"]))
     enrollment = read_table(spark, root, "enrollment_social_category")
     fact = facts.fact_student(
         enrollment, read_table(spark, root, "dim_academic_year"),
@@ -204,18 +205,22 @@ def publish_student_fact(
         spark, root, f"{run_id}-student-fact", [(tables.FACT_STUDENT, fact)],
         keep_history=[tables.FACT_STUDENT.table], now=now,
         checks=lambda staged: facts.fact_student_checks(
-            enrollment, staged["fact_student_structure"]))
+            enrollment, staged["fact_enrollment"]))
 
 
 def publish_student_reports(spark: SparkSession, root: str, run_id: str) -> Commit:
-    """Both student reports, reconciled with each other, in one commit."""
-    fact = read_table(spark, root, "fact_student_structure")
+    """Both student reports, reconciled with each other, in one commit.
+
+    The cube is stored first, so the fact is read once for both.
+    """
+    enforce(ready_checks(spark, root, ["fact_enrollment", "dim_state", "dim_management", "dim_category"]))
+    fact = read_table(spark, root, "fact_enrollment")
     state, management, category = (
         read_table(spark, root, t) for t in ("dim_state", "dim_management", "dim_category"))
     enforce(union_checks(
         facts.dimension_key_checks(state, management, category),
         facts.mapping_audit(fact, state, management, category)))
-    cube = reports.enrollment_cube(fact)
+    cube = write_once(reports.enrollment_cube(fact), "cube")
     outputs = [
         (tables.REPORT_MANAGEMENT, reports.report_management(cube, state, management)),
         (tables.REPORT_CATEGORY, reports.report_category(cube, state, management, category)),
@@ -223,7 +228,7 @@ def publish_student_reports(spark: SparkSession, root: str, run_id: str) -> Comm
     return publish(
         spark, root, f"{run_id}-student-reports", outputs,
         checks=lambda staged: reports.student_report_checks(
-            staged["student_structure_management"], staged["student_structure_category"]))
+            staged["enrollment_by_management"], staged["enrollment_by_category"]))
 
 
 def build_student(
@@ -241,22 +246,27 @@ def build_teacher(
     spark: SparkSession, root: str, run_id: str, drops: list[Drop], now: datetime | None = None,
 ) -> Commit:
     """Teacher snapshot, fact and reports; uses the published student snapshots."""
+    without = [d.period for d in drops if TEACHER_TABLE not in d.tables]
+    if without:
+        raise scan.SourceMissing(f"no {TEACHER_TABLE} in the drops of {without}")
+    enforce(ready_checks(spark, root, [
+        "school_master_snapshot", "state_master", "school_category_master", "dim_management"]))
     counts = scan.union_periods(
         [normalize.normalize_counts(d.tables[TEACHER_TABLE], d.period) for d in drops],
         allow_missing=False)
     publish(spark, root, f"{run_id}-teachers", [(tables.TEACHERS, counts)],
             keep_history=[tables.TEACHERS.table], now=now,
-            checks=lambda staged: normalize.counts_checks(staged["teacher_structure_snapshot"]))
+            checks=lambda staged: normalize.counts_checks(staged["staff_snapshot"]))
     sources = [read_table(spark, root, t) for t in (
-        "teacher_structure_snapshot", "school_master_snapshot", "state_master",
+        "staff_snapshot", "school_master_snapshot", "state_master",
         "school_category_master", "dim_management")]
     enforce(facts.source_preflight(*sources))
     publish(spark, root, f"{run_id}-teacher-fact",
             [(tables.FACT_TEACHER, facts.fact_teacher(*sources))],
             keep_history=[tables.FACT_TEACHER.table], now=now,
             checks=lambda staged: facts.fact_teacher_checks(
-                sources[0], staged["fact_teacher_structure"]))
-    fact = read_table(spark, root, "fact_teacher_structure")
+                sources[0], staged["fact_staff"]))
+    fact = read_table(spark, root, "fact_staff")
     outputs = [
         (tables.TEACHER_MANAGEMENT, reports.teacher_report_management(fact)),
         (tables.TEACHER_CATEGORY, reports.teacher_report_category(fact)),
@@ -264,4 +274,4 @@ def build_teacher(
     return publish(
         spark, root, f"{run_id}-teacher-reports", outputs,
         checks=lambda staged: reports.teacher_report_checks(
-            fact, staged["teacher_structure_management"], staged["teacher_structure_category"]))
+            fact, staged["staff_by_management"], staged["staff_by_category"]))

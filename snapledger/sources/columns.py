@@ -66,6 +66,17 @@ def schema_report(table: str, df: DataFrame, roles: Mapping[str, Alias]) -> Data
     return totals.select(F.inline(F.array(*rows)))
 
 
+def schema_rules(table: str, df: DataFrame, roles: Mapping[str, Alias]) -> DataFrame:
+    """(source_table, role, column_name, status) from the frame's schema alone: no data is read."""
+    found = {role: first_present(df.columns, alias) for role, alias in roles.items()}
+    rows = [
+        (table, role, name, "OK" if name else "MISSING" if roles[role].required else "ABSENT")
+        for role, name in found.items()
+    ]
+    return df.sparkSession.createDataFrame(
+        rows, "source_table string, role string, column_name string, status string")
+
+
 def schema_checks(reports: Sequence[DataFrame]) -> DataFrame:
     """Schema reports as checks: one finding per required role without a column."""
     parts = [

@@ -231,15 +231,33 @@ def normalize_measures(raw: DataFrame, period: str | Column, lineage: Lineage) -
 
 
 def metric_checks(raw: DataFrame) -> DataFrame:
-    """Metrics that are not numbers. Repeated keys, even identical ones, break the contract
-    of the stored table."""
+    """Metrics, groups and items that are not whole numbers: a row with such a group or item
+    would be left out as of another kind. Repeated keys, even identical ones, break the
+    contract of the stored table."""
+    c = resolve_columns(raw, ENROLLMENT_ROLES)
     names = [n for m in METRICS if (n := first_present(raw.columns, Alias((m,))))]
+    kinds = {**{n: "bigint" for n in names}, c["group"]: "int", c["item"]: "int"}
     return count_bad(raw, {
-        f"enrollment:{n}_number": F.col(n).isNotNull() & _number(raw, n, "bigint").isNull()
-        for n in names
+        f"enrollment:{n}_number": F.col(n).isNotNull() & _number(raw, n, kind).isNull()
+        for n, kind in kinds.items()
     })
 
 
+def blank_codes(raw: DataFrame) -> DataFrame:
+    """Rows of the register without a school code, which the snapshot leaves out, as a count."""
+    code = _text(resolve_columns(raw, SCHOOL_ROLES)["code"])
+    return count_bad(raw, {"school:blank_code_left_out": F.coalesce(F.length(code), F.lit(0)) == 0})
+
+
+def shared_state_names(states: DataFrame) -> DataFrame:
+    """State names that more than one code bears within a period; such states meet in a report."""
+    return (
+        states.groupBy("academic_year", "state_name")
+        .agg(F.min("state_cd").alias("first_state"), F.max("state_cd").alias("last_state"))
+        .filter("first_state <> last_state")
+    )
+
+
 def normalize_counts(raw: DataFrame, period: str | Column) -> DataFrame:
     """Teacher counts by school. Duplicates are never summed; see ``counts_checks``."""
     c = resolve_columns(raw, TEACHER_ROLES)

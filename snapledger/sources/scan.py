@@ -67,12 +67,24 @@ def list_tables(spark: SparkSession, root: str, canonical: str, runs: str) -> Da
     ``<run>/<period>/<table>``; ``run`` is NULL for canonical drops. Only file names are
     listed, no file is opened.
     """
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.parquet").load(root).select("path")
-    )
-    inside = rf"/{re.escape(canonical)}/([^/]+)/([^/]+)/"
-    in_run = rf"/{re.escape(runs)}/([^/]+)/([^/]+)/([^/]+)/"
+    def below(folder: str) -> DataFrame | None:
+        reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option(
+            "pathGlobFilter", "*.parquet")
+        try:
+            return reader.load(f"{root}/{folder}").select("path")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+
+    found = [df for df in (below(canonical), below(runs)) if df is not None]
+    if not found:
+        return spark.createDataFrame([], PRESENCE)
+    files = union_periods(found)
+    # the root may itself hold folders of these names: only what follows it counts
+    bare = re.escape(re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", root).rstrip("/"))
+    inside = rf"{bare}/{re.escape(canonical)}/([^/]+)/([^/]+)/"
+    in_run = rf"{bare}/{re.escape(runs)}/([^/]+)/([^/]+)/([^/]+)/"
     path = F.col("path")
     from_run = path.rlike(in_run)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,6 +38,9 @@ class Contract:
 
     def __post_init__(self):
         names = [f.name for f in self.fields]
+        # a row without its key could never meet its history
+        required = tuple(replace(f, nullable=False) if f.name in self.keys else f for f in self.fields)
+        object.__setattr__(self, "fields", required)
         missing = [c for c in (*self.keys, *self.partition_by) if c not in names]
         if missing or len(set(names)) != len(names):
             raise ValueError(f"{self.table}: bad contract, unknown or repeated columns {missing}")

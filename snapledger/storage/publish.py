@@ -128,7 +128,7 @@ def _stage_history(
     stamp = F.lit(hist.next_stamp(current, now))
     _write_segment(hist.history_delta(current, snapshot, keys, stamp), path)
     written = _segments(spark, path)
-    enforce(hist.step_checks(spark.read.parquet(*written), snapshot, keys))
+    enforce(hist.step_checks(spark.read.parquet(*written), snapshot, keys, current))
     return [p for p in segments or [] if p.endswith("segment=closed")] + written
 
 

@@ -79,7 +79,7 @@ def src_complete_runs(spark, sf_dir):
     """customer = period, year = run, order status = table; the last year is canonical."""
     seen = st.period_orders(spark, sf_dir).select(
         F.col("o_custkey").cast("string").alias("period"),
-        F.when(st.year() != st.PERIODS[-1], st.year()).alias("run"),
+        F.when(st.year() != st.periods(spark, sf_dir)[-1], st.year()).alias("run"),
         F.col("o_orderstatus").alias("table"),
     )
     return scan.complete_runs(seen, required=["F"], one_of=["O", "P"])
@@ -254,8 +254,7 @@ def dim_social_category(spark, sf_dir):
 
 @query
 def stage_measures(spark, sf_dir):
-    return st.measures(spark, sf_dir).select(
-        *normalize.ENROLLMENT_KEYS, *stages.stage_measures())
+    return stages.with_stage_measures(st.measures(spark, sf_dir), normalize.ENROLLMENT_KEYS)
 
 
 @query
@@ -291,13 +290,13 @@ def _chain(spark, sf_dir, runs):
 
 @query
 def history_chain(spark, sf_dir):
-    return history.history_chain(_register(spark, sf_dir), KEY, "academic_year", st.RUNS)
+    return history.history_chain(_register(spark, sf_dir), KEY, "academic_year", st.runs(spark, sf_dir))
 
 
 @query
 def history_step(spark, sf_dir):
     """All years but the last as history, then one step with the last year's register."""
-    *before, (last, stamp) = st.RUNS
+    *before, (last, stamp) = st.runs(spark, sf_dir)
     latest = _register(spark, sf_dir).filter(st.year() == last).drop("academic_year")
     return history.history_step(_chain(spark, sf_dir, before), latest, KEY, F.lit(stamp))
 
@@ -316,7 +315,7 @@ def history_baseline(spark, sf_dir):
 @query
 def history_lookup(spark, sf_dir):
     """Every revision of the schools that were once deleted and came back."""
-    stored = history.history_chain(_register(spark, sf_dir), KEY, "academic_year", st.RUNS)
+    stored = history.history_chain(_register(spark, sf_dir), KEY, "academic_year", st.runs(spark, sf_dir))
     returned = stored.filter(F.col("change_type") == "REACTIVATED")
     return history.history_lookup(stored, returned, KEY).select(
         "udise_sch_code", "version_no", "valid_from", "valid_to", "is_current", "is_deleted",
@@ -409,11 +408,16 @@ def dq_source_preflight(spark, sf_dir):
 def dq_missing_labels(spark, sf_dir):
     """Customers without a usable label, where only urgent orders carry one."""
     priority = F.col("o_orderpriority")
-    label = F.when(priority.startswith("1"), F.substring(priority, 3, 100)).otherwise(" ")
+    label = F.when(priority.startswith("1"), st.priority_label(priority)).otherwise(" ")
     orders = st.table(spark, sf_dir, "orders").withColumn("label", label)
     return checks.codes_without_label(orders, "o_custkey", "label")
 
 
+@query
+def dq_unmapped_values(spark, sf_dir):
+    return st.unmapped_checks(spark, sf_dir)
+
+
 @query
 def dq_duplicate_keys(spark, sf_dir):
     return checks.duplicate_keys(
@@ -431,7 +435,7 @@ def dq_conflicting_duplicates(spark, sf_dir):
 @query
 def recon_full_outer(spark, sf_dir):
     """Category report against management report: every total must agree."""
-    cube = st.enrollment_cube(spark, sf_dir)
+    cube = workdir.write_once(st.enrollment_cube(spark, sf_dir), "cube")
     return reconcile.full_outer_totals(
         reports.category_totals(st.category_report(spark, sf_dir, cube)),
         reports.geography_totals(st.management_report(spark, sf_dir, cube)),
@@ -476,16 +480,16 @@ def validation_summary(spark, sf_dir):
     fact = workdir.write_once(st.fact_student(spark, sf_dir), "fact")
     state, management = st.dim_state(spark, sf_dir), st.dim_management(spark, sf_dir)
     category = st.dim_category(spark, sf_dir)
-    cube = reports.enrollment_cube(fact)
+    cube = workdir.write_once(reports.enrollment_cube(fact), "cube")
+    by_management = workdir.write_once(reports.report_management(cube, state, management), "report")
+    by_category = workdir.write_once(reports.report_category(cube, state, management, category), "report")
     return checks.union_checks(
         checks.not_empty_check("fact_student:not_empty", fact),
         reconcile.row_math(
             fact, "total_enrollment", list(stages.STAGES), "fact_student:row_math"),
         facts.dimension_key_checks(state, management, category),
         facts.mapping_audit(fact, state, management, category),
-        reports.student_report_checks(
-            reports.report_management(cube, state, management),
-            reports.report_category(cube, state, management, category)),
+        reports.student_report_checks(by_management, by_category),
     )
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from snapledger.functions.labels import SOCIAL_CATEGORIES, choose
 from snapledger.functions.measures import SUFFIXES
 from snapledger.functions.periods import period_label
+from snapledger.operators.checks import count_bad, union_checks
 from snapledger.plans import dims, facts, reports
 from snapledger.sources.normalize import (
     Lineage,
@@ -23,9 +24,6 @@ from snapledger.sources.normalize import (
     normalize_state,
 )
 
-PERIODS = ("1994-95", "1995-96", "1996-97", "1997-98", "1998-99", "1999-00", "2000-01", "2001-02")
-# One observation per period, in the year after it began.
-RUNS = [(p, f"{1995 + i}-04-01 00:00:00") for i, p in enumerate(PERIODS)]
 LINEAGE = Lineage("standin", "standin", "2002-01-01 00:00:00")
 SCHOOL_LINEAGE = Lineage("standin", "standin", "2002-01-01 00:00:00", "orders")
 
@@ -77,12 +75,24 @@ def district_code() -> Column:
     return F.concat(state_code("c_nationkey"), F.lit("-"), third)
 
 
-def _each_period(df: DataFrame) -> DataFrame:
-    return df.withColumn("academic_year", F.explode(F.array(*[F.lit(p) for p in PERIODS])))
+def periods(spark: SparkSession, sf_dir: str) -> list[str]:
+    """Labels that occur among the orders, oldest first: one row per calendar year is brought here."""
+    labels = period_orders(spark, sf_dir).select("academic_year").distinct().dropna().collect()
+    return sorted((row["academic_year"] for row in labels))
+
+
+def runs(spark: SparkSession, sf_dir: str) -> list[tuple[str, str]]:
+    """One observation per period, in the year after it began."""
+    return [(p, f"{int(p[:4]) + 1}-04-01 00:00:00") for p in periods(spark, sf_dir)]
+
+
+def _each_period(df: DataFrame, sf_dir: str) -> DataFrame:
+    labels = F.array(*[F.lit(p) for p in periods(df.sparkSession, sf_dir)]).cast("array<string>")
+    return df.withColumn("academic_year", F.explode(labels))
 
 
 def raw_states(spark, sf_dir):
-    return _each_period(table(spark, sf_dir, "nation")).select(
+    return _each_period(table(spark, sf_dir, "nation"), sf_dir).select(
         "academic_year", state_code("n_nationkey").alias("State_Cd"),
         F.col("n_name").alias("state_name_english"))
 
@@ -92,7 +102,7 @@ def raw_districts(spark, sf_dir):
     found = customers.select(
         state_code("c_nationkey").alias("udise_state_code"),
         district_code().alias("district_code")).distinct()
-    return _each_period(found).withColumn(
+    return _each_period(found, sf_dir).withColumn(
         "district_name", F.concat(F.lit("District "), "district_code"))
 
 
@@ -100,12 +110,17 @@ def raw_categories(spark, sf_dir):
     """One row per order: the many copies of a category collapse in the normalizer."""
     priority = F.col("o_orderpriority")
     return period_orders(spark, sf_dir).select(
-        "academic_year", leading_digit(priority).alias("school_category_id"),
-        F.substring(priority, 3, 100).alias("category_name"))
+        "academic_year", priority_number(priority).alias("school_category_id"),
+        priority_label(priority).alias("category_name"))
+
 
+def priority_number(text: Column) -> Column:
+    """The number before the dash; NULL where there is none."""
+    return F.nullif(F.regexp_extract(text, r"^(\d{1,9})-", 1), F.lit("")).cast("int")
 
-def leading_digit(text: Column) -> Column:
-    return F.ascii(text) - F.ascii(F.lit("0"))
+
+def priority_label(text: Column) -> Column:
+    return F.regexp_replace(text, r"^\d{1,9}-", "")
 
 
 def raw_schools(spark, sf_dir, orders: DataFrame | None = None):
@@ -121,7 +136,7 @@ def raw_schools(spark, sf_dir, orders: DataFrame | None = None):
         F.col("c_name").alias("sch_name"),
         state_code("c_nationkey").alias("udise_state_code"),
         district_code().alias("udise_dist_code"),
-        leading_digit(F.col("last.o_orderpriority")).alias("category_id"),
+        priority_number(F.col("last.o_orderpriority")).alias("category_id"),
         choose(F.col("c_mktsegment"), {s: v[0] for s, v in SEGMENTS.items()})
         .alias("sch_mgmt_center_id"),
         choose(F.col("last.o_orderstatus"), STATUS).alias("sch_status"),
@@ -140,11 +155,16 @@ def raw_enrollment(spark, sf_dir):
         )).alias(f"{level}_{s}")
         for line, level in LINE_LEVELS.items() for s in SUFFIXES if s in LINE_SUFFIX
     ]
-    joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    return joined.groupBy("o_custkey", "academic_year", "l_returnflag").agg(*cells).select(
+    names = [f"{level}_{s}" for level in LINE_LEVELS.values() for s in LINE_SUFFIX]
+    # summed per order before the join, so a hot order arrives as one row per flag and task
+    per_order = lines.groupBy("l_orderkey", "l_returnflag").agg(*cells)
+    joined = per_order.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    summed = joined.groupBy("o_custkey", "academic_year", "l_returnflag").agg(
+        *[F.sum(name).alias(name) for name in names])
+    return summed.select(
         "academic_year", F.col("o_custkey").cast("string").alias("school_code"),
         F.lit(1).alias("item_group_id"), choose(F.col("l_returnflag"), ITEMS).alias("itemid"),
-        *[f"{level}_{s}" for level in LINE_LEVELS.values() for s in LINE_SUFFIX])
+        *names)
 
 
 def raw_teachers(spark, sf_dir):
@@ -166,6 +186,23 @@ def raw_management(spark, sf_dir, segments: dict = SEGMENTS):
         F.col("c_mktsegment").alias("management_description"))
 
 
+def unmapped_checks(spark, sf_dir):
+    """Values of the order tables that no mapping here knows: they would be in no report."""
+    lines = table(spark, sf_dir, "lineitem")
+    return union_checks(
+        count_bad(table(spark, sf_dir, "customer"), {
+            "customer:segment": ~F.coalesce(F.col("c_mktsegment").isin(*SEGMENTS), F.lit(False))}),
+        count_bad(table(spark, sf_dir, "orders"), {
+            "orders:status": ~F.coalesce(F.col("o_orderstatus").isin(*STATUS), F.lit(False)),
+            "orders:priority": priority_number(F.col("o_orderpriority")).isNull()}),
+        count_bad(lines, {
+            "lineitem:flag": ~F.coalesce(F.col("l_returnflag").isin(*ITEMS), F.lit(False)),
+            "lineitem:number": ~F.coalesce(F.col("l_linenumber").isin(*LINE_LEVELS), F.lit(False)),
+            "lineitem:status": ~F.coalesce(F.col("l_linestatus").isin(*LINE_SUFFIX.values()), F.lit(False)),
+            "lineitem:quantity": F.col("l_quantity") != F.floor("l_quantity")}),
+    )
+
+
 def states(spark, sf_dir):
     return normalize_state(raw_states(spark, sf_dir), year(), LINEAGE)
 

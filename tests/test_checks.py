@@ -79,15 +79,28 @@ def test_corrections_that_do_not_hit_one_row_are_refused(spark):
     df = spark.createDataFrame([("A", "1", 1), ("A", "2", 1), ("B", "3", 1), ("C", "4", 1)], COUNTS)
     fix = spark.createDataFrame([("A", 1), ("B", 1), ("B", 2), ("C", 5), ("X", 1)],
                                 "udise_sch_code string, delta bigint")
-    assert rows(corrections.correction_status(df, fix, ["udise_sch_code"])) == [
-        ("A", 1, 2, "REFUSED"), ("B", 2, 1, "REFUSED"), ("C", 1, 1, "APPLIED"),
-        ("X", 1, 0, "REFUSED")]
+    status = corrections.correction_status(df, fix, ["udise_sch_code"], "male_tch")
+    assert rows(status, "udise_sch_code", "n_corrections", "n_rows", "status", "reason") == [
+        ("A", 1, 2, "REFUSED", "several rows"), ("B", 2, 1, "REFUSED", "several corrections"),
+        ("C", 1, 1, "APPLIED", ""), ("X", 1, 0, "REFUSED", "no row")]
     with pytest.raises(checks.CheckFailed):
-        checks.enforce(corrections.correction_check(df, fix, ["udise_sch_code"]))
+        checks.enforce(corrections.correction_check(df, fix, ["udise_sch_code"], "male_tch"))
     out = corrections.apply_corrections(df, fix, ["udise_sch_code"], "male_tch")
     assert rows(out, "udise_sch_code", "male_tch") == [("A", "1"), ("A", "2"), ("B", "3"), ("C", "9")]
 
 
+def test_corrections_need_a_number_a_change_and_no_negative_result(spark):
+    df = spark.createDataFrame([("A", None, 1), ("B", "3", 1), ("C", "4", 1), ("D", "x", 1), ("E", "2", 1)], COUNTS)
+    fix = spark.createDataFrame([("A", 1), ("B", -9), ("C", 0), ("D", 1), ("E", None)],
+                                "udise_sch_code string, delta bigint")
+    status = corrections.correction_status(df, fix, ["udise_sch_code"], "male_tch")
+    assert rows(status, "udise_sch_code", "reason") == [
+        ("A", "no number to correct"), ("B", "negative result"), ("C", "no change"),
+        ("D", "no number to correct"), ("E", "no change")]
+    out = corrections.apply_corrections(df, fix, ["udise_sch_code"], "male_tch")
+    assert bag(out.drop("corrected")) == bag(df) and out.filter("corrected = 1").isEmpty()
+
+
 def test_quarantine_splits_without_losing_rows(spark):
     df = spark.createDataFrame([(1, "a"), (None, ""), (3, None), (4, "b")], "n int, t string")
     rules = {"no n": F.col("n").isNull(), "no t": F.coalesce(F.col("t"), F.lit("")) == ""}

@@ -82,7 +82,7 @@ def test_stage_measures_add_up_and_treat_null_as_zero(spark):
     values["c1_b"] = None
     df = spark.createDataFrame([tuple(values[m] for m in measures.METRICS)],
                                ", ".join(f"{m} bigint" for m in measures.METRICS))
-    out = df.select(*measures.stage_measures())
+    out = measures.with_stage_measures(df, [])
     assert out.columns == list(measures.MEASURES)
     got = out.first().asDict()
 

@@ -153,3 +153,25 @@ def test_lookup_lists_versions_in_order(spark):
     wanted = spark.createDataFrame([("c1",), ("c1",)], "code string")
     got = [r["version_no"] for r in h.history_lookup(chain, wanted, ["code"]).collect()]
     assert got == list(range(1, len(got) + 1)) and got
+
+
+def test_repeated_and_incomplete_keys_are_refused(spark):
+    twice = _snap(spark, ("1", 1, "g", "t"), ("1", 2, "g", "t"))
+    empty = h.empty_history(twice, KEYS)
+    with pytest.raises(CheckFailed):
+        h.history_step(empty, twice, KEYS, F.lit(CLOCK))
+    with pytest.raises(CheckFailed):
+        h.history_step(empty, _snap(spark, (None, 1, "g", "t")), KEYS, F.lit(CLOCK))
+    runs = [("r1", CLOCK), ("r2", CLOCK + timedelta(1))]
+    chained = twice.withColumn("run", F.lit("r1"))
+    with pytest.raises(Exception, match="occurs twice"):
+        h.history_chain(chained, KEYS, "run", runs).collect()
+
+
+def test_rows_after_a_step_are_the_old_and_the_opened_ones(spark):
+    stored, _ = h.run_history(None, _snap(spark, ("1", 1, "g", "t"), ("2", 1, "g", "t")), KEYS, CLOCK)
+    snapshot = _snap(spark, ("1", 5, "g", "t"), ("3", 1, "g", "t"))
+    delta = h.history_delta(stored, snapshot, KEYS, F.lit(CLOCK + timedelta(1)))
+    name = "history:rows_equal_old_and_opened"
+    assert findings(h.step_checks(delta, snapshot, KEYS, stored))[name] == 0
+    assert findings(h.step_checks(delta.filter("is_current = 1"), snapshot, KEYS, stored))[name] == 2

@@ -95,7 +95,8 @@ def test_measure_flags_and_unreadable_metrics(spark):
     out = n.normalize_measures(raw, "p", LINEAGE)
     assert rows(out, "pre_primary_available", "transgender_available", "pp1_g", "c9_t") == [(1, 1, None, 3)]
     assert findings(n.metric_checks(raw)) == {
-        "enrollment:pp1_g_number": 1, "enrollment:c9_t_number": 0}
+        "enrollment:pp1_g_number": 1, "enrollment:c9_t_number": 0,
+        "enrollment:item_group_number": 0, "enrollment:item_id_number": 0}
 
 
 def test_pre_primary_flag_ignores_transgender_columns(spark):
@@ -119,3 +120,22 @@ def test_one_frame_may_hold_several_periods(spark):
     raw = spark.createDataFrame([("p1", "1"), ("p2", "1")], "y string, state_cd string")
     out = n.normalize_state(raw, F.col("y"), LINEAGE)
     assert rows(out, "academic_year", "state_cd") == [("p1", "1"), ("p2", "1")]
+
+
+def test_unreadable_items_and_fractions_are_findings(spark):
+    raw = spark.createDataFrame([("S", "1", "general", 5.0), ("S", "x", "1", 1.7), ("S", "1", "1", 2.0)],
+                                "school_code string, item_group string, itemid string, c3_b double")
+    assert findings(n.metric_checks(raw)) == {
+        "enrollment:c3_b_number": 1, "enrollment:item_group_number": 1, "enrollment:itemid_number": 1}
+    kind = "udise_sch_code string, male_tch double, female_tch int, transgen_tch int"
+    with pytest.raises(CheckFailed):
+        enforce(n.counts_checks(n.normalize_counts(spark.createDataFrame([("S", 2.5, 1, 1)], kind), "p")))
+
+
+def test_blank_codes_and_shared_names_are_counted(spark):
+    raw = _schools(spark, [(" ", "n", "1", "1", "1", "1", "1"), (None, "n", "1", "1", "1", "1", "1"),
+                           ("S", "n", "1", "1", "1", "1", "1")])
+    assert findings(n.blank_codes(raw)) == {"school:blank_code_left_out": 2}
+    states = spark.createDataFrame([("p", "1", "A"), ("p", "2", "A"), ("p", "3", "B")],
+                                   "academic_year string, state_cd string, state_name string")
+    assert rows(n.shared_state_names(states)) == [("p", "A", "1", "2")]

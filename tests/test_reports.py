@@ -239,3 +239,8 @@ def test_management_is_seeded_once(spark):
     assert dims.seed_once(seeded, other) is seeded
     assert rows(dims.seed_once(seeded, other, force=True), "management_sk") == [(6,)]
     assert rows(dims.seed_once(seeded.limit(0), other), "management_sk") == [(6,)]
+
+
+def test_null_parts_do_not_pass_row_math(spark):
+    df = spark.createDataFrame([(3, 1, 2), (3, None, 2), (None, None, None)], "total int, a int, b int")
+    assert findings(reconcile.row_math(df, "total", ["a", "b"], "m")) == {"m": 2}

@@ -6,7 +6,7 @@ import pytest
 from snapledger.operators.checks import CheckFailed, enforce
 from snapledger.sources import columns, scan
 from snapledger.sources.columns import Alias
-from tests.helpers import rows
+from tests.helpers import findings, rows
 
 
 def _drop(spark, path, value=1, name="x"):
@@ -98,3 +98,20 @@ def test_schema_report_sees_drift_in_later_files(spark, tmp_path):
     bad = columns.schema_report("t", df.drop("school_code"), ROLES)
     with pytest.raises(CheckFailed, match="t:schema"):
         enforce(columns.schema_checks([bad]))
+
+
+def test_list_tables_counts_only_what_follows_the_root(spark, tmp_path):
+    root = tmp_path / "bronze" / "prod" / "raw"
+    _drop(spark, root / "bronze" / "2024-25" / "mst_state")
+    for name in (str(root), f"file://{root}/"):
+        assert rows(scan.list_tables(spark, name, "bronze", "bronze_runs")) == [("2024-25", None, "mst_state")]
+    assert scan.list_tables(spark, str(tmp_path / "none"), "bronze", "bronze_runs").isEmpty()
+
+
+def test_schema_rules_read_no_data(spark, tmp_path):
+    from snapledger.sources.columns import Alias, schema_checks, schema_rules
+    df = spark.createDataFrame([(1,)], "Code int")
+    rules = schema_rules("t", df, {"code": Alias(("code",)), "name": Alias(("name",)), "x": Alias(("x",), required=False)})
+    assert rows(rules, "role", "column_name", "status") == [
+        ("code", "Code", "OK"), ("name", None, "MISSING"), ("x", None, "ABSENT")]
+    assert findings(schema_checks([rules])) == {"t:schema": 1}

@@ -61,13 +61,13 @@ def built(spark, tmp_path_factory):
 
 
 def test_student_reports(spark, built):
-    report = read_table(spark, built[0], "student_structure_management")
+    report = read_table(spark, built[0], "enrollment_by_management")
     assert rows(report.filter("india_state_ut = 'Available Source Total'"),
                 "ac_year", "management", "total", "foundational", "middle", "secondary") == [
         ("2024-25", "All Management", 31, 13, 7, 11), ("2024-25", "Government", 21, 3, 7, 11),
         ("2024-25", "Government Aided", 10, 10, 0, 0), ("2025-26", "All Management", 18, 6, 6, 6),
         ("2025-26", "Government Aided", 18, 6, 6, 6)]
-    by_category = read_table(spark, built[0], "student_structure_category")
+    by_category = read_table(spark, built[0], "enrollment_by_category")
     assert rows(by_category.filter("ac_year = '2025-26'"), "india_state_ut", "category", "total") == [
         ("Available Source Total", "Foundational + Preparatory School", 12),
         ("Available Source Total", "Middle School", 6),
@@ -90,14 +90,14 @@ def test_second_identical_run_adds_no_history(spark, built):
 
 def test_reports_keep_no_history(spark, built):
     stored = latest_commit(spark, built[0]).tables
-    assert "fact_student_structure_history" in stored
-    assert "student_structure_management_history" not in stored
-    assert "student_structure_category_history" not in stored
+    assert "fact_enrollment_history" in stored
+    assert "enrollment_by_management_history" not in stored
+    assert "enrollment_by_category_history" not in stored
 
 
 def test_teacher_reports_and_history_of_a_change(spark, built):
     root, drops, _ = built
-    report = read_table(spark, root, "teacher_structure_management")
+    report = read_table(spark, root, "staff_by_management")
     assert rows(report.filter("management = 'All Management' AND india_state_ut = 'Maharashtra'"),
                 "ac_year", "total", "grades_1_5", "grades_1_8") == [
         ("2024-25", 7, 3, 4), ("2025-26", 9, 4, 5)]
@@ -105,7 +105,7 @@ def test_teacher_reports_and_history_of_a_change(spark, built):
     raw = changed[1].tables["tch_summary"]
     changed[1].tables["tch_summary"] = raw.replace(3, 13, subset=["male_tch"])
     w.build_teacher(spark, root, "changed", changed, now=datetime(2026, 1, 4))
-    history = read_table(spark, root, "fact_teacher_structure_history")
+    history = read_table(spark, root, "fact_staff_history")
     assert rows(history.filter("udise_sch_code = 'B' AND academic_year = '2025-26'"),
                 "version_no", "total_teachers", "change_type", "is_current") == [
         (1, 5, "INITIAL", 0), (2, 15, "CHANGE", 1)]
