@@ -15,6 +15,7 @@ from __future__ import annotations
 import numpy as np
 
 HIDDEN, STEPS, LANES, WORD_CLASSES = 16, 32, 512, 47
+PART, BATCH = 2_048, 16_384
 RATE, CLIP = 0.08, 5.0
 
 
@@ -102,36 +103,67 @@ class Gru:
         self.sums = {k: np.full(v.shape, 1e-3, "f4") for k, v in params.items()}
 
     def run(self, docs: list[np.ndarray], learn: bool = False) -> np.ndarray:
-        """Natural log-likelihood of each document, given as ids that end with 0."""
+        """Natural log-likelihood of each document, given as ids that end with 0.
+
+        To learn, documents are cut into parts of ``PART`` tokens, so that a few very long ones
+        don't leave most lanes empty; the state starts anew with a part, the token before it is
+        known. Likelihoods are of whole documents.
+        """
         out = np.zeros(len(docs))
         if not docs:
             return out
-        lanes = lay_out([len(d) for d in docs])
-        lengths = np.array([sum(len(docs[d]) for d in lane) for lane in lanes])
-        total = int(lengths.sum())
+        step = PART if learn else max(map(len, docs))
+        parts = [(d, at) for d, doc in enumerate(docs) for at in range(0, len(doc), step)]
+        lanes = lay_out([min(step, len(docs[d]) - at) for d, at in parts])
+        order = [parts[k] for lane in lanes for k in lane]
+        sizes = np.array([min(step, len(docs[d]) - at) for d, at in order])
+        ends = np.cumsum(sizes)
+        lengths = np.add.reduceat(sizes, np.cumsum([0, *map(len, lanes)])[:-1])
         # lanes end to end: token, the one before it, document
-        target = np.concatenate([docs[d] for lane in lanes for d in lane])
-        owner = np.repeat(np.concatenate([np.array(lane) for lane in lanes]),
-                          [len(docs[d]) for lane in lanes for d in lane])
-        fresh = np.concatenate([[True], owner[1:] != owner[:-1]])
-        before = np.where(fresh, 0, np.concatenate([[0], target[:-1]]))
+        target = np.concatenate([docs[d][at:at + step] for d, at in order]).astype(np.int32)
+        owner = np.repeat(np.array([d for d, _ in order], np.int32), sizes)
+        fresh = np.zeros(len(target), bool)
+        fresh[ends - sizes] = True
+        before = np.empty_like(target)
+        before[1:] = target[:-1]
+        before[ends - sizes] = [docs[d][at - 1] if at else 0 for d, at in order]
         offset = np.concatenate([[0], np.cumsum(lengths)])[:-1]
         state = np.zeros((len(lanes), HIDDEN), "f4")
-        assert total == len(target)
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        n_held = 0
+
+        def settle() -> None:
+            hidden = np.concatenate([x for x, _ in held])
+            where = np.concatenate([x for _, x in held])
+            np.add.at(out, owner[where], self._output(hidden, target[where], False)[0])
+
         for start in range(0, int(lengths[0]), STEPS):
             active = int(np.searchsorted(-lengths, -start, side="left"))  # lanes longer than start
             steps = min(STEPS, int(lengths[0]) - start)
             at = offset[:active, None] + start + np.arange(steps)
             inside = start + np.arange(steps) < lengths[:active, None]
-            at = np.where(inside, at, offset[:active, None])
             # time first
-            at, inside = at.T, inside.T
-            logs, last = self._window(before[at], target[at], fresh[at], inside, state[:active], learn)
-            state[:active] = last
-            np.add.at(out, owner[at[inside]], logs)
+            at, inside = np.where(inside, at, offset[:active, None]).T, inside.T
+            states, kept = self._states(before[at], fresh[at], state[:active])
+            state[:active] = states[-1]
+            if learn:
+                logs, d_hidden, grads = self._output(states[inside], target[at[inside]], True)
+                np.add.at(out, owner[at[inside]], logs)
+                d_states = np.zeros_like(states)
+                d_states[inside] = d_hidden
+                self._learn(before[at], *kept, d_states, grads, len(logs))
+                continue
+            held.append((states[inside], at[inside]))
+            n_held += len(held[-1][1])
+            if n_held >= BATCH:
+                settle()
+                held, n_held = [], 0
+        if held:
+            settle()
         return out
 
-    def _window(self, before, target, fresh, inside, state, learn):
+    def _states(self, before, fresh, state):
+        """States after each token of a window, and what learning needs of the way there."""
         p, h = self.p, HIDDEN
         steps, lanes = before.shape
         keep = (~fresh).astype("f4")[:, :, None]
@@ -154,14 +186,7 @@ class Gru:
             state = np.subtract(old, new, out=states[t])
             state *= g[:, :h]
             state += new
-        goal = target[inside]
-        hidden = states[inside]
-        logs, d_hidden, grads = self._output(hidden, goal, learn)
-        if learn:
-            d_states = np.zeros((steps, lanes, h), "f4")
-            d_states[inside] = d_hidden
-            self._learn(before, olds, gates, news, keep, d_states, grads, len(goal))
-        return logs, state
+        return states, (olds, gates, news, keep)
 
     def _output(self, hidden, goal, learn):
         p, shape = self.p, self.shape

@@ -35,7 +35,7 @@ SMOOTH = 0.1
 ROUNDS = (0.1, 0.4, 1.0)  # a round ends at this share of the training texts
 _PART = 4_096
 _SHARES = 1_000
-_FLUSH = 500_000
+_FLUSH = 200_000
 
 
 def tail_class(word: bytes) -> int:
@@ -99,7 +99,7 @@ class Corpus:
     def ids(self, tokens: list[bytes], places: np.ndarray) -> np.ndarray:
         """The model's ids, with the end."""
         first_tail = 1 + self.modelled
-        out = np.zeros(len(tokens) + 1, np.int64)
+        out = np.zeros(len(tokens) + 1, np.int32)
         inner = places + 1
         if len(self.tail_of):
             inner = np.where(places >= self.modelled, first_tail + self.tail_of[places], inner)
