@@ -17,7 +17,9 @@ from pyspark.sql import functions as F
 from snapledger.llm.common import pick, text_of
 
 # Every pattern below holds one of these words.
-KEYWORDS = "[Ll][Ii][Cc][Ee][Nn]|[Cc][Oo][Pp][Yy]|[Ww][Aa][Rr][Rr][Aa][Nn]|[Pp][Ee][Rr][Mm][Ii][Ss]|[Rr][Ee][Dd][Ii][Ss][Tt]|[Nn][Ee][Ii][Tt][Hh][Ee][Rr]|CC|[Pp][Uu][Bb][Ll][Ii][Cc]"
+KEYWORDS = "|".join(
+    "".join(f"[{letter.upper()}{letter}]" for letter in word) for word in (
+        "licen", "copy", "warran", "permis", "redist", "neither", "public", "rights", "under", "provided"))
 SENTENCE_END = "[.!?;]+[ \\t\\r]+|[.!?;]*[\\r\\n]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 

@@ -44,9 +44,15 @@ def learn(texts: list[str], marks: list[int], epochs: int = EPOCHS) -> dict[int,
     """Weights other than zero, and the bias under ``BIAS``."""
     size = 1 << BITS
     z, n = np.zeros(size + 1), np.zeros(size + 1)
-    rows = [np.unique(features(text)).astype(np.int32) for text in texts]
-    common = np.bincount(np.concatenate([*rows, [0]]), minlength=size) >= max(2, len(rows) // ROWS_BY_DOC)
-    rows = [np.append(at[common[at]], size) for at in rows]
+    held_by = np.zeros(size, np.int32)
+    for text in texts:
+        held_by[np.unique(features(text))] += 1
+    # only common features are kept, so hash once more rather than hold all
+    common = held_by >= max(2, len(texts) // ROWS_BY_DOC)
+    rows = []
+    for text in texts:
+        found = features(text)
+        rows.append(np.append(np.unique(found[common[found]]), size).astype(np.int32))
     l1 = L1_BY_ROOT * np.sqrt(len(rows))
 
     def weights(at: np.ndarray) -> np.ndarray:
