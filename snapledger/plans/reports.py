@@ -48,8 +48,8 @@ CATEGORY_LEVELS = (("ac_year", "india_state_ut", "category"), ("ac_year", "categ
 def enrollment_cube(fact: DataFrame) -> DataFrame:
     """The fact summed to the key combinations both student reports need.
 
-    Dimensions are joined to this small result instead of the fact. Both reports use the
-    same aggregate, so one plan holding both runs it once.
+    Dimensions are joined to this small result instead of the fact. The reports prune it
+    differently, so Spark would compute it for each: store it to have both read it once.
     """
     return fact.groupBy("academic_year", "state_sk", "management_sk", "category_sk").agg(
         F.sum("total_enrollment").cast("bigint").alias("total"), *sums(STAGES))

@@ -155,8 +155,8 @@ def publish(
     """Publish several tables and their histories with one commit.
 
     ``checks`` sees the staged tables by name and yields findings next to the contracts'
-    own. A failed check raises before anything becomes visible. Repeating the run id of a
-    committed run changes nothing; repeating one that failed overwrites its own folders.
+    own. A failed run raises before anything becomes visible, and what it staged is deleted.
+    Repeating the run id of a committed run changes nothing.
     """
     if not re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9_.-]*", run_id):
         raise ValueError(f"unsafe run id: {run_id!r}")
@@ -168,6 +168,41 @@ def publish(
         return previous
     now = now or datetime.now(timezone.utc)
 
+    try:
+        paths = _write_checked(
+            spark, root, run_id, outputs, keep_history, checks, expected_rows or {}, may_be_empty,
+            previous, now)
+    except Exception:
+        for contract, _ in outputs:
+            for folder in (contract.table, f"{contract.table}_history"):
+                _discard(spark, f"{root}/{folder}/{run_id}")
+                _discard(spark, f"{root}/{folder}/{run_id}-baseline")
+        raise
+
+    schemas = {contract.table: contract.schema.json() for contract, _ in outputs}
+    commit = Commit(
+        seq=(previous.seq if previous else 0) + 1, run_id=run_id,
+        tables={**(previous.tables if previous else {}), **paths},
+        schemas={**(previous.schemas if previous else {}), **schemas})
+    record = spark.createDataFrame(
+        [(commit.seq, run_id, commit.tables, commit.schemas)], COMMIT_SCHEMA)
+    record.coalesce(1).write.mode("append").json(f"{root}/commits")
+    return commit
+
+
+def _discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder of a run that failed; nothing refers to it."""
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _write_checked(
+    spark: SparkSession, root: str, run_id: str, outputs: Sequence[tuple[Contract, DataFrame]],
+    keep_history: Sequence[str], checks: Checks | None, expected_rows: Mapping[str, int],
+    may_be_empty: Sequence[str], previous: Commit | None, now: datetime,
+) -> dict[str, list[str]]:
+    """Stage all tables, check them, step their histories; the folders by table."""
     paths, staged, findings = {}, {}, []
     for contract, df in outputs:
         path = f"{root}/{contract.table}/{run_id}"
@@ -178,7 +213,7 @@ def publish(
         findings.append(contract.violations(written))
         if contract.table not in may_be_empty:
             findings.append(not_empty_check(f"{contract.table}:not_empty", written))
-        wanted = (expected_rows or {}).get(contract.table)
+        wanted = expected_rows.get(contract.table)
         if wanted is not None:
             total = written.agg(F.count(F.lit(1)).alias("n"))
             findings.append(count_bad(
@@ -193,13 +228,4 @@ def publish(
                 spark, contract, staged[contract.table], previous, root, run_id, now)
             if segments:
                 paths[f"{contract.table}_history"] = segments
-
-    schemas = {contract.table: contract.schema.json() for contract, _ in outputs}
-    commit = Commit(
-        seq=(previous.seq if previous else 0) + 1, run_id=run_id,
-        tables={**(previous.tables if previous else {}), **paths},
-        schemas={**(previous.schemas if previous else {}), **schemas})
-    record = spark.createDataFrame(
-        [(commit.seq, run_id, commit.tables, commit.schemas)], COMMIT_SCHEMA)
-    record.coalesce(1).write.mode("append").json(f"{root}/commits")
-    return commit
+    return paths

@@ -363,8 +363,11 @@ def report_slice(spark, sf_dir):
 
 @query
 def latest_period_report(spark, sf_dir):
+    """The newest label is known from the periods, so only its part of the fact is computed."""
+    newest = st.periods(spark, sf_dir)[-1:]
+    cube = st.enrollment_cube(spark, sf_dir).filter(st.year().isin(*newest))
     return reports.report_slice(
-        reports.latest_period(st.management_report(spark, sf_dir)), management=ALL_MANAGEMENT)
+        st.management_report(spark, sf_dir, cube), management=ALL_MANAGEMENT)
 
 
 @query
@@ -401,7 +404,9 @@ def dq_mapping_audit(spark, sf_dir):
 
 @query
 def dq_source_preflight(spark, sf_dir):
-    return facts.source_preflight(*st.teacher_sources(spark, sf_dir, KNOWN_SEGMENTS))
+    """Each source is computed once: joins and key checks read it as stored."""
+    sources = st.teacher_sources(spark, sf_dir, KNOWN_SEGMENTS)
+    return facts.source_preflight(*[workdir.write_once(df, "source") for df in sources])
 
 
 @query

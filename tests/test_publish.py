@@ -114,6 +114,7 @@ def test_crash_before_the_commit_changes_nothing(spark, tmp_path, monkeypatch):
         patch.setattr(p.hist, "step_checks", crash)
         with pytest.raises(OSError):
             _publish(spark, tmp_path, "r2", ("1", "a", "2"))
+    assert not (tmp_path / "t" / "r2").exists() and not (tmp_path / "t_history" / "r2").exists()
     assert rows(p.read_table(spark, str(tmp_path), "t"), "n") == [(1,)]
     assert p.read_table(spark, str(tmp_path), "t_history").count() == 1
     _publish(spark, tmp_path, "r2", ("1", "a", "2"))
