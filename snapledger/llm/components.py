@@ -19,6 +19,8 @@ def components(edges: DataFrame) -> DataFrame:
         edges.filter(F.col("a") != F.col("b"))
         .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     seen = None
+    if now.isEmpty():
+        return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
     while True:
         state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == seen:
