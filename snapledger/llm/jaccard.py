@@ -6,10 +6,11 @@ any two similar sets share a shingle among the first ones (the prefix), so the j
 shingles. A shingle only pairs nodes whose set sizes (length filter) and positions in the two
 orders (positional filter) still allow the similarity.
 
-Nodes first meet the smallest node that shares one of their shingles, then one of another component,
-two partners at most each time, and these pairs are verified. Only nodes that then still are in
-different components and share a shingle are paired in full, so a group of near copies costs a few
-pairs per node and never all of its pairs; no link between components is lost. Each pair is verified once: a bound from the sizes of value ranges comes first (suffix
+Nodes first meet, under each of their shared shingles, the node that shares most of its own with
+others; of near copies that is the least edited one. Two such partners per node are verified. Only
+nodes that then still are in different components and share a shingle are paired in full, so a group
+of near copies costs a few pairs per node and never all of its pairs; no link between components is
+lost. Each pair is verified once: a bound from the sizes of value ranges comes first (suffix
 filter), then the exact count. Shingles are 64-bit hashes of five words' hashes.
 
 Words: A-Z lower-cased, between ASCII white spaces. A text of fewer words is one shingle; without
@@ -138,22 +139,22 @@ def _possible(n: Column, at: Column, other_n: Column, other_at: Column) -> Colum
 
 
 def shared_shingles(rows: DataFrame) -> DataFrame:
-    """(shingle, node, n, at, p_node, p_n, p_at): prefix shingles of several nodes, with the smallest one."""
+    """(shingle, node, n, at, size): prefix shingles of several nodes, and how often each occurs."""
     postings = rows.filter(F.col("prefix").isNotNull()).select(
         "node", "n", F.posexplode("prefix").alias("at", "shingle"))
-    pivots = postings.groupBy("shingle").agg(
-        F.min("node").alias("low"), F.max("node").alias("high"),
-        F.min(F.struct("node", "n", "at")).alias("p")).filter("low < high")
-    return postings.join(pivots, "shingle").select(
-        "shingle", "node", "n", "at", F.col("p.node").alias("p_node"), F.col("p.n").alias("p_n"),
-        F.col("p.at").alias("p_at"))
+    several = postings.groupBy("shingle").agg(
+        F.min("node").alias("low"), F.max("node").alias("high"), F.count(F.lit(1)).alias("size")).filter(
+        "low < high").select("shingle", "size")
+    return postings.join(several, "shingle").select("shingle", "node", "n", "at", "size")
 
 
 def _few_pairs(met: DataFrame) -> DataFrame:
-    """Of rows (node, other), two partners per node at most: the one met most often and the smallest."""
-    counted = met.groupBy("node", "other").agg(F.count(F.lit(1)).alias("times"))
-    best = counted.groupBy("node").agg(F.max(F.struct("times", "other")).alias("most"), F.min("other").alias("least"))
-    return best.select("node", F.explode(F.array("most.other", "least")).alias("other")).select(*_ordered()).distinct()
+    """Of rows (node, other, o_weight), two partners per node at most: the one met most often and the heaviest."""
+    counted = met.groupBy("node", "other", "o_weight").agg(F.count(F.lit(1)).alias("times"))
+    best = counted.groupBy("node").agg(
+        F.max(F.struct("times", "other")).alias("most"), F.max(F.struct("o_weight", "other")).alias("heavy"))
+    return best.select("node", F.explode(F.array("most.other", "heavy.other")).alias("other")).select(
+        *_ordered()).distinct()
 
 
 def _ordered(a: str = "node", b: str = "other") -> list[Column]:
@@ -224,23 +225,17 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
     shared = write_once(shared_shingles(with_id), "shared")
     with_id_texts = texts.filter(F.col("doc_id").isNotNull())
     other_possible = _possible(F.col("n"), F.col("at"), F.col("o_n"), F.col("o_at"))
-    # each node with the smallest ones that share its shingles
-    met = shared.withColumnsRenamed({"p_n": "o_n", "p_at": "o_at", "p_node": "other"}).filter(
-        (F.col("node") != F.col("other")) & other_possible)
-    tried = write_once(_few_pairs(met), "pairs")
+    # each node with the ones that share most shingles with others: of near copies, the least edited
+    weights = shared.groupBy("node").agg(F.sum("size").alias("weight"))
+    top = shared.join(weights, "node").groupBy("shingle").agg(
+        F.max(F.struct("weight", "node", "n", "at")).alias("p"))
+    met = shared.join(top, "shingle").select(
+        "node", "n", "at", F.col("p.node").alias("other"), F.col("p.weight").alias("o_weight"),
+        F.col("p.n").alias("o_n"), F.col("p.at").alias("o_at"))
+    tried = write_once(_few_pairs(met.filter((F.col("node") != F.col("other")) & other_possible)), "pairs")
     linked = write_once(verified(tried, with_id_texts), "links")
-    # each node with one of another component under its shingles
-    open_ = write_once(_open(shared.select("shingle", "node", "n", "at"), components(linked)), "open")
-    entry = F.struct("root", "node", "n", "at")
-    ends = open_.groupBy("shingle").agg(F.min(entry).alias("low"), F.max(entry).alias("high"))
-    far = F.when(F.col("root") != F.col("low.root"), F.col("low")).otherwise(F.col("high"))
-    met = open_.join(ends, "shingle").withColumn("o", far).select(
-        "node", "n", "at", F.col("o.node").alias("other"), F.col("o.n").alias("o_n"), F.col("o.at").alias("o_at"))
-    more = write_once(_few_pairs(met.filter(other_possible)).join(tried, ["a", "b"], "left_anti"), "pairs")
-    linked = write_once(linked.union(verified(more, with_id_texts)), "links")
-    tried = tried.union(more)
     # all that are still in different components under one shingle
-    open_ = write_once(_open(open_.drop("root"), components(linked)), "open")
+    open_ = write_once(_open(shared.select("shingle", "node", "n", "at"), components(linked)), "open")
     others = open_.select("shingle", F.col("node").alias("other"), F.col("n").alias("o_n"),
                           F.col("at").alias("o_at"), F.col("root").alias("o_root"))
     rest = write_once(
