@@ -118,7 +118,11 @@ def publish_snapshots(
     spark: SparkSession, root: str, run_id: str, drops: list[Drop], processed_at: str,
     now: datetime | None = None,
 ) -> Commit:
-    """Normalize all drops and publish the five snapshot tables with their histories."""
+    """Normalize all drops and publish the five snapshot tables with their histories.
+
+    Next to the tables go the row counts of the sources (``manifests``) and the number of
+    register rows without a school code, which no snapshot holds (``left_out``).
+    """
     enforce(union_checks(*[drop_checks(d) for d in drops]))
     enforce(union_checks(*[
         normalize.snapshot_checks(
@@ -150,8 +154,14 @@ def publish_snapshots(
                 staged["school_master_snapshot"], normalize.SNAPSHOT_KEYS),
         )
 
-    return publish(spark, root, f"{run_id}-snapshots", outputs,
-                   keep_history=[c.table for c, _ in outputs], checks=cross_checks, now=now)
+    commit = publish(spark, root, f"{run_id}-snapshots", outputs,
+                     keep_history=[c.table for c, _ in outputs], checks=cross_checks, now=now)
+    scan.write_manifest(drop_manifest(drops), f"{root}/manifests/{run_id}")
+    left_out = union_checks(*[
+        normalize.blank_codes(d.tables[d.school_table]).withColumn(
+            "check", F.concat(F.lit(f"{d.period}/"), "check")) for d in drops])
+    scan.write_manifest(left_out, f"{root}/left_out/{run_id}")
+    return commit
 
 
 def publish_dimensions(

@@ -61,6 +61,9 @@ def built(spark, tmp_path_factory):
 
 
 def test_student_reports(spark, built):
+    counts = spark.read.json(f"{built[0]}/manifests/*")
+    assert {"mst_state", "sch_enr_fresh"} <= {r["table"] for r in counts.collect()}
+    assert all(r["n_bad"] == 0 for r in spark.read.json(f"{built[0]}/left_out/*").collect())
     report = read_table(spark, built[0], "enrollment_by_management")
     assert rows(report.filter("india_state_ut = 'Available Source Total'"),
                 "ac_year", "management", "total", "foundational", "middle", "secondary") == [
