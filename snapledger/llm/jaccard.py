@@ -139,12 +139,14 @@ def _possible(n: Column, at: Column, other_n: Column, other_at: Column) -> Colum
 
 
 def shared_shingles(rows: DataFrame) -> DataFrame:
-    """(shingle, node, n, at, size): prefix shingles of several nodes, and how often each occurs."""
+    """(shingle, node, n, at, size): prefix shingles that occur more than once, and how often.
+
+    Copies in different tasks count apart. That lets some shingles of a single node through, which
+    pair with nothing, and keeps nodes out of the larger of the two shuffles.
+    """
     postings = rows.filter(F.col("prefix").isNotNull()).select(
         "node", "n", F.posexplode("prefix").alias("at", "shingle"))
-    several = postings.groupBy("shingle").agg(
-        F.min("node").alias("low"), F.max("node").alias("high"), F.count(F.lit(1)).alias("size")).filter(
-        "low < high").select("shingle", "size")
+    several = postings.groupBy("shingle").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     return postings.join(several, "shingle").select("shingle", "node", "n", "at", "size")
 
 
