@@ -135,7 +135,7 @@ class Gru:
         def settle() -> None:
             hidden = np.concatenate([x for x, _ in held])
             where = np.concatenate([x for _, x in held])
-            np.add.at(out, owner[where], self._output(hidden, target[where], False)[0])
+            out[:] += np.bincount(owner[where], self._output(hidden, target[where], False)[0], len(docs))
 
         for start in range(0, int(lengths[0]), STEPS):
             active = int(np.searchsorted(-lengths, -start, side="left"))  # lanes longer than start
@@ -148,7 +148,7 @@ class Gru:
             state[:active] = states[-1]
             if learn:
                 logs, d_hidden, grads = self._output(states[inside], target[at[inside]], True)
-                np.add.at(out, owner[at[inside]], logs)
+                out += np.bincount(owner[at[inside]], logs, len(docs))
                 d_states = np.zeros_like(states)
                 d_states[inside] = d_hidden
                 self._learn(before[at], *kept, d_states, grads, len(logs))

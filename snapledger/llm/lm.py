@@ -6,8 +6,8 @@ where each task goes through its texts from the round's parameters and the resul
 token. The frequent words are modelled one by one; every other word belongs to one of ``TAILS``
 classes by its last bytes, where it has its smoothed share of the class, as has one unknown word.
 
-Only tables of fixed size are broadcast: the counts of the ``KNOWN`` most frequent words and the
-parameters. Rarer words meet their counts in a join of the (document, word) pairs that have them.
+Only tables of fixed size are broadcast: the counts of at most ``KNOWN`` of the most frequent words
+and the parameters. Rarer words meet their counts in a join of the (document, word) pairs that have them.
 
 Null texts count as empty: the end alone. Rows with equal id and text have equal results, each is
 returned. Without training text the counts are zero and the scores finite.
@@ -19,6 +19,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import filterfalse, repeat
 
 import numpy as np
 import pandas as pd
@@ -36,6 +37,7 @@ ROUNDS = (0.1, 0.4, 1.0)  # a round ends at this share of the training texts
 _PART = 4_096
 _SHARES = 1_000
 _FLUSH = 200_000
+_STEPS = 16  # to each doubling of a count
 
 
 def tail_class(word: bytes) -> int:
@@ -94,7 +96,7 @@ class Corpus:
 
     def places(self, tokens: list[bytes]) -> np.ndarray:
         """Of each word its place, or -1."""
-        return np.fromiter((self.known.get(w, -1) for w in tokens), np.int64, len(tokens))
+        return np.fromiter(map(self.known.get, tokens, repeat(-1)), np.int64, len(tokens))
 
     def ids(self, tokens: list[bytes], places: np.ndarray) -> np.ndarray:
         """The model's ids, with the end."""
@@ -112,7 +114,16 @@ class Corpus:
 def describe(texts: DataFrame, counted: DataFrame) -> Corpus:
     ends = texts.filter(~F.col("held_out")).count()
     total = counted.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
-    top = counted.filter(F.length("word") <= LONGEST).orderBy(F.desc("c"), "word").limit(KNOWN).collect()
+    # a sort's first rows would come from every task: find the least count by its logarithm's steps instead
+    short = counted.filter(F.length("word") <= LONGEST).withColumn("step", F.floor(F.log2("c") * _STEPS))
+    least, held = None, 0
+    for r in sorted(short.groupBy("step").count().collect(), key=lambda r: -r["step"]):
+        held += r["count"]
+        if held > KNOWN:
+            break
+        least = r["step"]
+    top = [] if least is None else short.filter(F.col("step") >= least).select("word", "tail", "c").collect()
+    top.sort(key=lambda r: (-r["c"], bytes(r["word"])))
     sums = {r["tail"]: r["mass"] for r in counted.groupBy("tail").agg(
         (F.sum("c") + SMOOTH * F.count(F.lit(1))).alias("mass")).collect()}
     masses = np.array([sums.get(k, 0.0) + SMOOTH for k in range(TAILS)])
@@ -220,7 +231,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         for df in frames:
             out: list[tuple] = []
             for text in df.text:
-                found = Counter(w for w in words(text) if w not in known)
+                found = Counter(filterfalse(known.__contains__, words(text)))
                 if found:
                     digest = _digest(text)
                     out += [(digest, w, n) for w, n in found.items()]
