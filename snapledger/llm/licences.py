@@ -1,10 +1,13 @@
 """Licence recognition by known sentences and ordered rules over their sequence, in SQL functions only.
 
-A text is cut into sentences (at line ends, and behind ``.``, ``!``, ``?`` or ``;`` with white
-space). Those with a word that licences use are normalised: A-Z lower-cased, everything but letters,
-digits and ``.+-`` made one blank. A table of sentence patterns gives each known sentence an
-identifier. Rules, the most specific first, look for their identifier sequence and consume it, so a
-weaker rule only sees what is left. No row meets another, so nothing is shuffled or exploded.
+A text is cut into sentences (at lines without letters and digits, and behind ``.``, ``!``, ``?`` or
+``;`` with white space; not at a ``;`` within the GPL's first sentence). Those with a word that
+licences use are normalised: A-Z lower-cased, everything but letters, digits and ``.+-`` made one
+blank. A single line break is a blank too, so hard-wrapped sentences stay whole; but lines that are
+a reference or notice by themselves are sentences of their own, and a line that is known by itself
+starts one. A table of sentence patterns gives each known sentence an identifier. Rules, the most
+specific first, look for their identifier sequence and consume it, so a weaker rule only sees what
+is left. No row meets another, so nothing is shuffled or exploded.
 
 Null and empty texts have no sentences. Repeated rows come back repeated.
 """
@@ -20,7 +23,11 @@ from snapledger.llm.common import pick, text_of
 KEYWORDS = "|".join(
     "".join(f"[{letter.upper()}{letter}]" for letter in word) for word in (
         "licen", "copy", "warran", "permis", "redist", "neither", "public", "rights", "under", "provided"))
-SENTENCE_END = "[.!?;]+[ \\t\\r]+|[.!?;]*[\\r\\n]+"
+SENTENCE_END = "[.!?;]+[ \\t\\r]+|[.!?;]*[\\r\\n]+"  # of the SQL counterpart, which knows no wrapped sentences
+# Line ends are a line feed here.
+WRAPPED_END = ("(?!;[^A-Za-z0-9]+([Yy]ou[^A-Za-z0-9]+can[^A-Za-z0-9]+redistribute|[Ee]ither[^A-Za-z0-9]+version))"
+               "[.!?;]+[ \\t\\n]+"
+               "|\\n[^A-Za-z0-9\\n]*\\n")
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 # Names that a one-sentence reference can hold (fixed values: public licence names), by identifier.
@@ -70,6 +77,12 @@ SENTENCES = {
 } | {name: f"{_SUBJECT}{_VERB}({phrase}){_TAIL}|spdx-licen[sc]e-identifier ({phrase})"
      for name, phrase in REFERENCES.items()}
 
+# Patterns of whole lines; references may span lines. All others hold for a line that starts a sentence.
+_WHOLE = [*REFERENCES, "ApacheNotUse", "AllRights", "Copyright"]
+_WHOLE_LINES = "(?m)^(" + "|".join(
+    f"({SENTENCES[name]})".replace(" ", "[ \\n]" if name in REFERENCES else " ") for name in _WHOLE) + ")$"
+_FIRST_LINES = "(?m)^(?=(" + "|".join(f"({SENTENCES[name]})" for name in SENTENCES if name not in _WHOLE) + ")$)"
+
 # Rules in order: the licence, and the identifiers that follow each other.
 RULES = [
     ("BSD-3-Clause", ("BSDSource", "BSDBinary", "BSDName")),
@@ -111,12 +124,16 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
     ``n_unknown`` counts sentences that speak of a licence without being known.
     """
-    text = text_of()
-    sentences = F.when(text.rlike(KEYWORDS), F.split(text, SENTENCE_END)).otherwise(F.array().cast("array<string>"))
+    text = F.regexp_replace(text_of(), "\\r\\n?", "\n")
+    sentences = F.when(text.rlike(KEYWORDS), F.split(text, WRAPPED_END)).otherwise(F.array().cast("array<string>"))
 
     def clean(sentence):
-        lower = F.translate(sentence, _UPPER, _LOWER)
-        return F.regexp_replace(F.regexp_replace(lower, "[^a-z0-9.+-]+", " "), "^[ .]+|[ .]+$", "")
+        """Its sentences: apart from itself, the lines that are known alone."""
+        lower = F.regexp_replace(F.translate(sentence, _UPPER, _LOWER), "[^a-z0-9.+\\n-]+", " ")
+        lines = F.regexp_replace(lower, "(?m)^[ .]+|[ .]+$", "")
+        apart = F.regexp_replace(F.regexp_replace(lines, _WHOLE_LINES, "|$1|"), _FIRST_LINES, "|")
+        cut = F.when(F.contains(lines, F.lit("\n")), F.split(apart, "[|]")).otherwise(F.array(lines))
+        return F.transform(cut, lambda s: F.trim(F.translate(s, "\n", " ")))
 
     def known(sentence):
         out = F.when(F.lit(False), "")
@@ -126,7 +143,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
     found = (
         pick(docs, doc_id=id_col, text=text_col)
-        .select("doc_id", F.transform(F.filter(sentences, lambda s: s.rlike(KEYWORDS)), clean).alias("s"))
+        .select("doc_id", F.flatten(F.transform(F.filter(sentences, lambda s: s.rlike(KEYWORDS)), clean)).alias("s"))
+        .select("doc_id", F.filter("s", lambda s: s.rlike(KEYWORDS)).alias("s"))
         .select("doc_id", F.filter(F.transform("s", known), lambda x: x.isNotNull()).alias("ids"))
     )
     rules = F.array(*(F.struct(F.lit(licence).alias("licence"), F.lit("," + ",,".join(ids) + ",").alias("wanted"))
@@ -149,7 +167,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
 
 def oracle(table: str = "documents") -> str:
-    """The same scan as DuckDB SQL."""
+    """The scan as DuckDB SQL, but with a sentence's end at every line break: wrapped texts differ."""
     def quoted(text: str) -> str:
         return "'" + text.replace("'", "''") + "'"
 
