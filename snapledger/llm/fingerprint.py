@@ -6,7 +6,7 @@ order their lines differently, get equal fingerprints; inserting or deleting a p
 subtracts its vector. The vector has two blocks:
 
 * 16 lanes modulo 2**64 of a cryptographic hash of the paragraph, for equality;
-* 256 lanes modulo 2**16 where each of the paragraph's three-word shingles adds or subtracts one,
+* 256 lanes modulo 2**32, more than a text can hold shingles, where each of the paragraph's three-word shingles adds or subtracts one,
   so that the cosine between two sums estimates how much text two documents share.
 
 Null texts count as empty (one empty paragraph). Rows are ordered by id, null first, then by text;
@@ -65,7 +65,7 @@ def of_paragraphs(paragraphs: Iterable[bytes]) -> Fingerprint:
     mixed ^= mixed >> np.uint64(29)
     signs = 1.0 - 2.0 * ((mixed >> np.uint64(8)) & np.uint64(1))
     lanes = np.bincount((mixed & np.uint64(SHARED - 1)).astype(np.int64), signs, SHARED)
-    return Fingerprint(wide, lanes.astype(np.int64).astype("<i2"))
+    return Fingerprint(wide, lanes.astype(np.int64).astype("<i4"))
 
 
 def of_text(text: str) -> Fingerprint:

@@ -56,3 +56,11 @@ def test_likeness_follows_shared_text():
     half = fp.of_text(fp.edited(*texts))
     assert fp.likeness(a, a) == 1 and fp.likeness(a, b) < 0.25
     assert 0.35 < fp.likeness(a, half) < 0.65
+
+
+def test_very_many_equal_shingles_do_not_wrap(spark):
+    for text in ("word " * 60_000, "the same line\n" * 60_000):
+        a, b = fp.of_text(text), fp.of_text(fp.edited(text, "another short text"))
+        assert abs(a.shared.astype(int)).max() > 2 ** 15 and fp.likeness(a, b) > 0.99
+    rows = [(1, "word " * 60_000), (2, "another short text")]
+    assert run(spark, rows, 2) == Counter(brute(rows))
