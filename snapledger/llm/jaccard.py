@@ -103,19 +103,19 @@ def bucket_counts(texts: DataFrame) -> np.ndarray:
 
 
 def signed(texts: DataFrame, counts: np.ndarray) -> DataFrame:
-    """(doc_id, n, node, prefix), the prefix rarest first and only with a node's first row in a task."""
+    """(doc_id, n, node, prefix), the prefix rarest first and only with a node's first row with an id in a task."""
     shared = texts.sparkSession.sparkContext.broadcast(counts)
 
     def sign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set[int] = set()
         for df in frames:
             sizes, nodes, prefixes = [], [], []
-            for text in df.text:
+            for without_id, text in zip(df.doc_id.isna(), df.text, strict=True):
                 found = shingles(text)
                 node = node_of(found)
                 sizes.append(len(found))
                 nodes.append(node if len(found) else None)
-                if not len(found) or node in seen:
+                if without_id or not len(found) or node in seen:
                     prefixes.append(None)
                     continue
                 if len(seen) >= _SEEN:

@@ -91,3 +91,11 @@ def test_components_of_a_long_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(60)] + [(500 + i, 500) for i in range(80)] + [(7, 7), (3, 2)]
     got = dict(components(spark.createDataFrame(edges, "a long, b long")).collect())
     assert got == {i: 0 for i in range(1, 61)} | {500 + i: 500 for i in range(1, 80)}
+
+
+def test_row_without_id_before_its_copy(spark):
+    base = [f"w{i}" for i in range(200)]
+    rows = [(None, " ".join(base)), (1, " ".join(base)), (2, " ".join([*base[:-1], "other"]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.groups(df).collect()), key=str)
+    assert got == brute(rows) and {c for d, _, c in got if d} == {1}
