@@ -268,8 +268,11 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     # an id with several texts joins their components
     joined = with_id.join(by_root, "root", "left").select(
         "doc_id", F.coalesce("least", "doc_id").alias("least"))
-    ties = joined.groupBy("doc_id").agg(F.min("least").alias("a"), F.max("least").alias("b"))
-    merged = components(ties.filter("a < b").select("a", "b"))
+    several = write_once(joined.groupBy("doc_id").agg(F.min("least").alias("a"), F.max("least").alias("b")).filter(
+        "a < b"), "several")
+    ties = several if several.isEmpty() else joined.join(several.select("doc_id", "a"), "doc_id").filter(
+        "a < least").withColumn("b", F.col("least"))
+    merged = components(ties.select("a", "b"))
     named = placed.join(by_root, "root", "left").withColumn("least", F.coalesce("least", "doc_id"))
     return named.join(merged, F.col("least") == F.col("node"), "left").select(
         "doc_id", F.col("n").alias("n_shingles"),

@@ -99,3 +99,10 @@ def test_row_without_id_before_its_copy(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
     got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.groups(df).collect()), key=str)
     assert got == brute(rows) and {c for d, _, c in got if d} == {1}
+
+
+def test_id_with_several_texts_joins_all_their_components(spark):
+    texts = [" ".join(f"{c}{i}" for i in range(50)) for c in "abcd"]
+    rows = [(i + 1, t) for i, t in enumerate(texts)] + [(10, t) for t in texts] + [(10, "short"), (11, "short")]
+    got = run(spark, rows)
+    assert got == brute(rows) and {c for *_, c in got} == {1}
