@@ -10,7 +10,8 @@ Nodes first meet, under each of their shared shingles, the node that shares most
 others; of near copies that is the least edited one. Two such partners per node are verified. Only
 nodes that then still are in different components and share a shingle are paired in full, so a group
 of near copies costs a few pairs per node and never all of its pairs; no link between components is
-lost. Each pair is verified once: a bound from the sizes of value ranges comes first (suffix
+lost. These links give the components. The number of links of each document comes after, from all
+pairs within a component, compared block by block. Each pair is verified once: a bound from the sizes of value ranges comes first (suffix
 filter), then the exact count. Shingles are 64-bit hashes of five words' hashes.
 
 Words: A-Z lower-cased, between ASCII white spaces. A text of fewer words is one shingle; without
@@ -36,6 +37,8 @@ from snapledger.llm.components import components
 WORDS, PERCENT = 5, 75
 BUCKETS = 1 << 16
 MASK_BITS = 1 << 25  # of the filter for nodes in pairs: 4 MB
+BLOCK_NODES, BLOCK_SHINGLES = 256, 1 << 21  # of a component, compared with another block at a time
+_COLUMNS = 4096
 _SEEN = 200_000
 _PRIMES = [np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
                                   0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)]
@@ -173,13 +176,16 @@ def id_mask(ids: DataFrame) -> np.ndarray:
     return mask
 
 
-def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) of nodes that link, from the texts themselves.
+def _read(packed: bytes) -> np.ndarray:
+    return shingles(zstandard.decompress(packed).decode("utf-8", "surrogatepass"))
+
+
+def packed_texts(ids: DataFrame, texts: DataFrame) -> DataFrame:
+    """(node, n, packed): a text of each node in ``ids`` (id) with its number of shingles.
 
     A filter of fixed size over the nodes that occur keeps most other texts out of the shuffle.
     """
-    shared = pairs.sparkSession.sparkContext.broadcast(
-        id_mask(pairs.select(F.explode(F.array("a", "b")).alias("id"))))
+    shared = ids.sparkSession.sparkContext.broadcast(id_mask(ids))
 
     def needed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         packer, wanted, seen = zstandard.ZstdCompressor(), shared.value, set()
@@ -194,30 +200,145 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                 if len(seen) >= _SEEN:
                     seen.clear()
                 seen.add(node)
-                out.append((node, packer.compress(text.encode("utf-8", "surrogatepass"))))
-            yield pd.DataFrame(out, columns=["node", "packed"])
+                out.append((node, len(found), packer.compress(text.encode("utf-8", "surrogatepass"))))
+            yield pd.DataFrame(out, columns=["node", "n", "packed"])
+
+    # a node's texts differ at most in white space and case, one of them will do
+    own = texts.select("text").mapInPandas(needed, "node long, n long, packed binary")
+    return own.groupBy("node").agg(F.first("n").alias("n"), F.min("packed").alias("packed"))
 
-    def read(packed: bytes) -> np.ndarray:
-        return shingles(zstandard.decompress(packed).decode("utf-8", "surrogatepass"))
 
+def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) of nodes that link, from the texts themselves."""
     def verify(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         last, left = None, None
         for df in frames:
             linked = []
             for a, packed_a, packed_b in zip(df.a, df.packed_a, df.packed_b, strict=True):
                 if a != last:
-                    last, left = a, read(packed_a)
-                linked.append(similar(left, read(packed_b)))
+                    last, left = a, _read(packed_a)
+                linked.append(similar(left, _read(packed_b)))
             yield df.loc[linked, ["a", "b"]]
 
-    # a node's texts differ at most in white space and case, one of them will do
-    own = texts.select("text").mapInPandas(needed, "node long, packed binary")
-    one = own.groupBy("node").agg(F.min("packed").alias("packed"))
+    one = packed_texts(pairs.select(F.explode(F.array("a", "b")).alias("id")), texts).drop("n")
     left = pairs.join(one.withColumnsRenamed({"node": "b", "packed": "packed_b"}), "b")
     both = left.join(one.withColumnsRenamed({"node": "a", "packed": "packed_a"}), "a")
     return both.select("a", "b", "packed_a", "packed_b").mapInPandas(verify, "a long, b long")
 
 
+def link_matrix(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Which sets of ``left`` link with which of ``right``."""
+    if len(left) * len(right) <= 64:
+        return np.array([[similar(a, b) for b in right] for a in left], bool).reshape(len(left), len(right))
+    sizes = np.array([len(x) for x in left + right], np.int64)
+    _, column, often = np.unique(np.concatenate(left + right), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    renumbered = np.cumsum(often > 1) - 1  # a shingle of one set only is in no intersection
+    row, column = row[often[column] > 1], renumbered[column[often[column] > 1]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    both = np.zeros((len(left), len(right)), np.int64)
+    for low in range(0, int(renumbered[-1]) + 1, _COLUMNS):
+        at = slice(*np.searchsorted(column, [low, low + _COLUMNS]))
+        has = np.zeros((len(sizes), _COLUMNS), np.float32)
+        has[row[at], column[at] - low] = 1
+        both += np.rint(has[:len(left)] @ has[len(left):].T).astype(np.int64)
+    total = sizes[:len(left), None] + sizes[None, len(left):]
+    return (100 + PERCENT) * both >= PERCENT * total
+
+
+def counted_links(members: DataFrame) -> DataFrame:
+    """(a, b, n) of all linked pairs of nodes in both directions, from (root, node, n, single, special, packed).
+
+    Where one of the two is special the pair is a row, without ``n``. Besides, for each node and block
+    a row without ``b``: the sum of the linked nodes' ``single``. A component is dealt to blocks of
+    bounded size by a hash of the node; each pair of blocks is one unit of work.
+    """
+    blocks = members.groupBy("root").agg(F.count(F.lit(1)).alias("nodes"), F.sum("n").alias("total")).select(
+        "root", F.greatest(F.ceil(F.col("nodes") / BLOCK_NODES), F.ceil(F.col("total") / BLOCK_SHINGLES)).alias("blocks"))
+    several = write_once(blocks.filter("blocks > 1"), "blocks")
+    dealt = members.join(several, "root", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn(
+        "own", F.pmod(F.xxhash64("node"), F.col("blocks"))).withColumn(
+        "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    units = dealt.select(
+        "root", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+        (F.col("own") > F.col("other")).alias("second"), "node", "single", "special", "packed")
+
+    def unit(rows: list[tuple]) -> Iterator[tuple]:
+        i, j = rows[0][1:3]
+        first = [r for r in rows if not r[3]]
+        second = first if i == j else [r for r in rows if r[3]]
+        if not first or not second:
+            return
+        left = [_read(r[7]) for r in first]
+        linked = link_matrix(left, left if i == j else [_read(r[7]) for r in second])
+        if i == j:
+            np.fill_diagonal(linked, False)
+        for mine, others, hit in [(first, second, linked)] + ([(second, first, linked.T)] if i != j else []):
+            sums = hit @ np.array([r[5] for r in others], np.int64)
+            special = np.array([r[6] for r in others], bool)
+            for k, r in enumerate(mine):
+                if sums[k]:
+                    yield r[4], None, int(sums[k])
+                for m in np.flatnonzero(hit[k] & (special | bool(r[6]))):
+                    yield r[4], others[m][4], None
+
+    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def frame(found):
+            return pd.DataFrame({"a": pd.array([f[0] for f in found], "Int64"),
+                                 "b": pd.array([f[1] for f in found], "Int64"),
+                                 "n": pd.array([f[2] for f in found], "Int64")})
+
+        waiting: list[tuple] = []
+        for df in frames:
+            found = []
+            for r in df.itertuples(index=False, name=None):
+                if waiting and waiting[0][:3] != r[:3]:
+                    found += unit(waiting)
+                    waiting = []
+                waiting.append(r)
+            yield frame(found)
+        if waiting:
+            yield frame(list(unit(waiting)))
+
+    return units.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j").mapInPandas(
+        count, "a long, b long, n long")
+
+
+def link_counts(rows: DataFrame, roots: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(node, by_node) and (doc_id, by_id): how many other documents a document links with.
+
+    ``rows`` are (doc_id, node) with both set. The latter table holds the ids with several nodes, which
+    the sums over nodes would count once for each; the former goes for all other ids.
+    """
+    ids = rows.groupBy("doc_id").agg(F.min("node").alias("node"), F.max("node").alias("high"))
+    ids = write_once(ids, "ids")
+    single = ids.filter("node = high").groupBy("node").agg(F.count(F.lit(1)).alias("single"))
+    several = write_once(rows.join(ids.filter("node < high").select("doc_id"), "doc_id").select(
+        "doc_id", "node").distinct(), "several")
+    special = several.select("node").distinct().withColumn("special", F.lit(True))
+    sizes = write_once(single.join(special, "node", "full_outer").select(
+        "node", F.coalesce("single", F.lit(0)).alias("single"), F.coalesce("special", F.lit(False)).alias("special")),
+        "sizes")
+    placed = roots.union(roots.select(F.col("root").alias("node"), "root").distinct())
+    packed = packed_texts(placed.select(F.col("node").alias("id")), texts)
+    members = write_once(placed.join(packed, "node").join(sizes, "node"), "members")
+    found = write_once(counted_links(members), "counted")
+    near = found.filter("b is not null").select(F.col("a").alias("node"), F.col("b").alias("other")).union(
+        special.select("node", F.col("node").alias("other")))
+    sums = found.filter("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("links"))
+    holders = several.select(F.col("node").alias("other"), F.col("doc_id").alias("o_id"))
+    shared = near.join(holders, "other").groupBy("node").agg(F.count_distinct("o_id").alias("shared"))
+    by_node = sizes.filter("single > 0").join(sums, "node", "left").join(shared, "node", "left").select(
+        "node", (F.col("single") - 1 + F.coalesce("links", F.lit(0)) + F.coalesce("shared", F.lit(0))).alias("by_node"))
+    reach = several.join(near, "node").select("doc_id", "other").distinct()
+    alone = reach.join(sizes.withColumnRenamed("node", "other"), "other").groupBy("doc_id").agg(
+        F.sum("single").alias("alone"))
+    others = reach.join(holders, "other").groupBy("doc_id").agg(F.count_distinct("o_id").alias("others"))
+    by_id = alone.join(others, "doc_id").select("doc_id", (F.col("alone") + F.col("others") - 1).alias("by_id"))
+    return by_node.filter("by_node > 0"), by_id
+
+
 def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(doc_id, n, node) by row, and verified links (a, b) that connect the nodes as all links do."""
     texts = pick(docs, doc_id=id_col, text=text_col).select(
@@ -257,12 +378,18 @@ def _open(placed: DataFrame, roots: DataFrame) -> DataFrame:
     return placed.join(split, "shingle").distinct()
 
 
-def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id (the smallest id reachable by links) of every row."""
+def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", count_links: bool = True) -> DataFrame:
+    """doc_id, n_shingles, component_id (the smallest id reachable by links), n_links of every row.
+
+    ``n_links`` is the number of other ids with a text that links with one of the id's texts, 0 for
+    rows without id; without ``count_links`` it is neither found nor returned.
+    """
     rows, linked = links(docs, id_col, text_col)
     roots = components(linked)
+    if count_links:
+        roots = write_once(roots, "roots")
     placed = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    placed = write_once(placed.select("doc_id", "n", "root"), "placed")
+    placed = write_once(placed.select("doc_id", "n", "node", "root"), "placed")
     with_id = placed.filter(F.col("doc_id").isNotNull())
     by_root = with_id.filter(F.col("root").isNotNull()).groupBy("root").agg(F.min("doc_id").alias("least"))
     # an id with several texts joins their components
@@ -274,9 +401,17 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         "a < least").withColumn("b", F.col("least"))
     merged = components(ties.select("a", "b"))
     named = placed.join(by_root, "root", "left").withColumn("least", F.coalesce("least", "doc_id"))
-    return named.join(merged, F.col("least") == F.col("node"), "left").select(
+    named = named.withColumnsRenamed({"node": "own_node", "root": "own_root"})
+    out = named.join(merged, F.col("least") == F.col("node"), "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
-        F.when(F.col("doc_id").isNotNull(), F.coalesce(merged["root"], F.col("least"))).alias("component_id"))
+        F.when(F.col("doc_id").isNotNull(), F.coalesce(merged["root"], F.col("least"))).alias("component_id"), "own_node")
+    if not count_links:
+        return out.drop("own_node")
+    texts = pick(docs, doc_id=id_col, text=text_col).filter(F.col("doc_id").isNotNull()).select(text_of().alias("text"))
+    by_node, by_id = link_counts(with_id.filter(F.col("node").isNotNull()).select("doc_id", "node"), roots, texts)
+    return out.join(by_node.withColumnRenamed("node", "own_node"), "own_node", "left").join(by_id, "doc_id", "left").select(
+        "doc_id", "n_shingles", "component_id",
+        F.when(F.col("doc_id").isNull(), 0).otherwise(F.coalesce("by_id", "by_node", F.lit(0))).alias("n_links"))
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -288,7 +423,7 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     own = "_"
     while any(c.startswith(own) for c in docs.columns):
         own += "_"
-    found = write_once(groups(docs, id_col, text_col), "groups")
+    found = write_once(groups(docs, id_col, text_col, count_links=False), "groups")
     going = found.filter("doc_id is not null").groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("rows"), F.min("component_id").alias("least")).filter(
         (F.col("rows") > 1) | (F.col("least") != F.col("doc_id"))).select(

@@ -106,3 +106,32 @@ def test_id_with_several_texts_joins_all_their_components(spark):
     rows = [(i + 1, t) for i, t in enumerate(texts)] + [(10, t) for t in texts] + [(10, "short"), (11, "short")]
     got = run(spark, rows)
     assert got == brute(rows) and {c for *_, c in got} == {1}
+
+
+def brute_links(rows):
+    """n_links by id: the other ids with a text that links with one of its texts."""
+    sets = []
+    for doc_id, text in rows:
+        w = (text or "").lower().split()
+        sets.append((doc_id, {tuple(w[i:i + 5]) for i in range(len(w) - 4)} or ({tuple(w)} if w else set())))
+    near = {}
+    for a, x in sets:
+        for b, y in sets:
+            both = len(x & y)
+            if None not in (a, b) and a != b and both and 100 * both >= 75 * len(x | y):
+                near.setdefault(a, set()).add(b)
+    return sorted(((a, len(near.get(a, ()))) for a, _ in rows), key=str)
+
+
+def test_numbers_of_links(spark, monkeypatch):
+    rng = random.Random(8)
+    monkeypatch.setattr(jaccard, "BLOCK_NODES", 20)
+    monkeypatch.setattr(jaccard, "_COLUMNS", 64)
+    base = [str(i) for i in range(100)]
+    rows = [(i, " ".join(edit(rng, base, rng.randint(0, 4)))) for i in range(90)]
+    rows += [(200 + i, f"pair {i // 2} of a few words {i // 2} here and there {i // 2}") for i in range(8)]
+    rows += [(300, rows[3][1]), (301, rows[-1][1]), (301, rows[5][1]), (301, rows[6][1]), (302, rows[5][1]),
+             (302, "alone here"), (303, "alone  HERE"), (303, rows[7][1]), (None, rows[3][1]), (304, ""), (305, None),
+             (306, "single"), (307, rows[3][1]), (307, rows[3][1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted(((r.doc_id, r.n_links) for r in jaccard.groups(df).collect()), key=str) == brute_links(rows)
