@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from snapledger.llm import (
     bpe,
     encode,
+    exact,
     fingerprint,
     jaccard,
     licences,
@@ -66,6 +67,10 @@ def op10_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(bpe.RANKS))
 
 
+def op11_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.groups(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_lm": op1_lm,
@@ -78,6 +83,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_pack": op8_pack,
         "op9_neighbours": op9_neighbours,
         "op10_encode": op10_encode,
+        "op11_exact": op11_exact,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -86,4 +92,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_url_tree": url_tree.oracle(),
         "op3_licences": licences.oracle(),
+        "op11_exact": exact.oracle(),
     } | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
