@@ -19,8 +19,10 @@ from snapledger.llm import (
     lm,
     neighbours,
     pack,
+    phrases,
     quality,
     toxicity,
+    trie,
     url_tree,
 )
 from snapledger.llm.common import table
@@ -71,6 +73,14 @@ def op11_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.groups(table(spark, sf_dir, "documents"))
 
 
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine(table(spark, sf_dir, "documents"))
+
+
+def op13_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.build(table(spark, sf_dir, "conversations"), trie.rebuilt)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_lm": op1_lm,
@@ -84,6 +94,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_neighbours": op9_neighbours,
         "op10_encode": op10_encode,
         "op11_exact": op11_exact,
+        "op12_phrases": op12_phrases,
+        "op13_trie": op13_trie,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -93,4 +105,6 @@ def oracle_sql() -> dict[str, str]:
         "op2_url_tree": url_tree.oracle(),
         "op3_licences": licences.oracle(),
         "op11_exact": exact.oracle(),
+        "op12_phrases": phrases.oracle(),
+        "op13_trie": trie.oracle(),
     } | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
