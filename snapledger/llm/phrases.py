@@ -6,10 +6,10 @@ every phrase of up to four words lies within the chunk its first word belongs to
 cut alike wherever they stand, so the distinct chunks with their frequencies are a dictionary of the
 corpus, and phrases are counted inside it, weighted, each at the chunk that owns its first word.
 
-Counting is exact. Phrases are first counted by 64-bit hashes; a hash that is met too seldom can't be
-a frequent phrase's, nor part of one's. The hashes left set bits of a map of fixed size, and only
-phrases whose bit is set are counted by their words. A full map would let more phrases pass to the
-exact count and lose none.
+Phrases travel as 96-bit hashes with one chunk that holds them, and only those that are met often enough
+are looked up there. (Two of 10^12 phrases share a hash with a chance below 10^-5.) Phrases of three
+and four words are counted only where each two neighbouring words form a frequent phrase, by a map of
+fixed size; a full map would let more of them be counted and lose none. The counts themselves are exact.
 
 Defined results: a null text counts as empty, a null language as ``und``; ids are not read. Equal
 scores are ordered by count, then by the phrase's bytes. Repeated rows count as often as they stand.
@@ -20,7 +20,6 @@ columns are never read. Empty tables give no rows.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from snapledger.llm.common import pick, text_of, word_hashes, write_once
+from snapledger.llm.common import pick, text_of, write_once
 
 LONGEST = 4  # words of a phrase
 LEAST = 30  # occurrences of a phrase
@@ -38,19 +37,21 @@ TRIGGER = 16  # one of so many words is a trigger
 SCALE = 2_000_000
 MAP_BITS = 26
 
-_SLICE = 4_000_000  # bytes parsed at once
-_PENDING = 1_500_000  # entries a task combines before it passes them on
+_SLICE = 1_000_000  # bytes parsed at once
+_PENDING = 1_000_000  # entries a task combines before it passes them on
 # What separates pieces, what separates words, and A-Z, as bytes.
 _BREAKS = b".,;:!?\x0a\x0b\x0c\x0d"
 _PLAIN = bytes.maketrans(
     _BREAKS + b"\t" + bytes(range(65, 91)), b"\n" * len(_BREAKS) + b" " + bytes(range(97, 123)))
-_TOKEN = re.compile(rb"\n|[^ \n]+")
-_MIX = np.uint64(0x9E3779B97F4A7C15)
-_STEP = np.uint64(0xD6E8FEB86659FD93)
+# Odd 64-bit numbers: the bases of two polynomial hashes, and multipliers that mix.
+_BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
+_MIX = np.uint64(0xBF58476D1CE4E5B9)
+_STEP = np.uint64(0x94D049BB133111EB)
 
 
 def _slices(texts: list[bytes]) -> Iterator[bytes]:
-    """The plain bytes of texts joined by line ends, cut at line ends into bounded slices."""
+    """Texts joined by line ends, in bounded parts cut at line ends: words with one blank between
+    them, pieces with one line end."""
     held, size = [], 0
     for text in texts:
         text = text.translate(_PLAIN)
@@ -60,58 +61,71 @@ def _slices(texts: list[bytes]) -> Iterator[bytes]:
             cut = text.find(b"\n", at + _SLICE) if cut <= at else cut
             if cut < 0:
                 break
-            yield text[at:cut]
+            yield _tidy(text[at:cut])
             at = cut
         held.append(text[at:] if at else text)
         size += len(held[-1])
         if size > _SLICE:
-            yield b"\n".join(held)
+            yield _tidy(b"\n".join(held))
             held, size = [], 0
-    if held:
-        yield b"\n".join(held)
-
-
-def _words(plain: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """The words, their hashes, and the number of the line each stands in."""
-    tokens = _TOKEN.findall(plain)
-    ends = np.fromiter((t == b"\n" for t in tokens), bool, len(tokens))
-    line = np.cumsum(ends)[~ends]
-    words = [t for t in tokens if t != b"\n"]
-    return words, word_hashes(words, len(words)), line
-
-
-def _chunks(plain: bytes, trigger: int) -> Iterator[tuple[bytes, int]]:
-    """(words of a chunk, how many of them it owns) in the pieces of one slice."""
-    words, hashes, piece = _words(plain)
-    n = len(words)
-    if not n:
-        return
-    first = np.ones(n, bool)
-    first[1:] = piece[1:] != piece[:-1]
-    starts = np.flatnonzero(first | (hashes % np.uint64(trigger) == 0))
-    ends = np.append(starts[1:], n)
+    yield _tidy(b"\n".join(held))
+
+
+def _tidy(plain: bytes) -> bytes:
+    plain = re.sub(rb"  +", b" ", plain).replace(b" \n", b"\n").replace(b"\n ", b"\n")
+    return re.sub(rb"\n\n+", b"\n", plain).strip(b" \n")
+
+
+class _Powers:
+    """Powers of a base and of its inverse modulo 2**64, as many as were needed so far."""
+
+    def __init__(self, base: int):
+        self.base, self.inverse = base, pow(base, -1, 2 ** 64)
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def of(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.up) < n:
+            size = max(n, 2 * len(self.up))
+            self.up, self.down = (
+                np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(size - 1, b, np.uint64)]))
+                for b in (self.base, self.inverse))
+        return self.up[:n], self.down
+
+
+_POWERS = tuple(map(_Powers, _BASES))
+
+
+def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lane: int) -> np.ndarray:
+    """64-bit hashes of the spans: differences of one running polynomial, moved to its origin."""
+    up, down = _POWERS[lane].of(len(data) + 1)
+    running = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:-1], out=running[1:])
+    found = (running[ends] - running[starts]) * down[starts]
+    found = (found ^ (found >> np.uint64(31))) * _MIX
+    return (found ^ (found >> np.uint64(29))) * _STEP
+
+
+def _chunks(plain: bytes, trigger: int) -> tuple[list[bytes], np.ndarray]:
+    """The chunks of one slice, and how many words each owns."""
+    if not plain:
+        return [], np.zeros(0, np.int64)
+    data = np.frombuffer(plain, np.uint8)
+    gaps = np.flatnonzero((data == 32) | (data == 10))
+    starts, ends = np.append(0, gaps + 1), np.append(gaps, len(data))
+    first = np.append(True, data[gaps] == 10)
+    n = len(starts)
+    opens = np.flatnonzero(first | (_hashes(data, starts, ends, 0) % np.uint64(trigger) == 0))
+    closes = np.append(opens[1:], n)
     piece_ends = np.append(np.flatnonzero(first)[1:], n)
-    within = piece_ends[np.cumsum(first)[starts] - 1]
-    reach = np.minimum(ends + LONGEST - 1, within)
-    for start, end, last in zip(starts.tolist(), ends.tolist(), reach.tolist(), strict=True):
-        yield b" ".join(words[start:last]), end - start
+    within = piece_ends[np.cumsum(first)[opens] - 1]
+    reach = np.minimum(closes + LONGEST - 1, within)
+    spans = zip(starts[opens].tolist(), ends[reach - 1].tolist(), strict=True)
+    return [plain[a:b] for a, b in spans], closes - opens
 
 
 def parse(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", trigger: int = TRIGGER) -> DataFrame:
     """The dictionary: lang, chunk, own (words it owns, from its first on), n (its frequency)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, schema = Counter(), pa.schema([
-            ("lang", pa.string()), ("chunk", pa.string()), ("own", pa.int32()), ("n", pa.int64())])
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            for part in _parts(list(counts.items()), 50_000):
-                yield pa.record_batch([
-                    pa.array([k[0] for k, _ in part], pa.string()),
-                    pa.array([k[1] for k, _ in part], pa.binary()).cast(pa.string()),
-                    pa.array([k[2] for k, _ in part], pa.int32()),
-                    pa.array([n for _, n in part], pa.int64())], schema=schema)
-            counts.clear()
-
         for batch in batches:
             by_lang: dict[str, list[bytes]] = {}
             texts = batch["text"].cast(pa.binary()).to_pylist()
@@ -119,62 +133,61 @@ def parse(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", trigg
                 by_lang.setdefault(lang, []).append(text)
             for lang, texts in by_lang.items():
                 for plain in _slices(texts):
-                    counts.update((lang, chunk, own) for chunk, own in _chunks(plain, trigger))
-                    if len(counts) > _PENDING // 5:
-                        yield from flush()
-        yield from flush()
+                    chunks, own = _chunks(plain, trigger)
+                    yield pa.record_batch([
+                        pa.array([lang], pa.string()).take(pa.array(np.zeros(len(chunks), np.int32))),
+                        pa.array(chunks, pa.binary()).cast(pa.string()), pa.array(own.astype(np.int32)),
+                    ], names=["lang", "chunk", "own"])
 
     texts = pick(docs, lang=lang_col, text=text_col).select(
         F.coalesce("lang", F.lit("und")).alias("lang"), text_of().alias("text"))
     return (
-        texts.mapInArrow(run, "lang string, chunk string, own int, n long")
-        .groupBy("lang", "chunk", "own").agg(F.sum("n").alias("n")))
-
-
-def _parts(items: list, size: int) -> Iterator[list]:
-    for at in range(0, len(items), size):
-        yield items[at:at + size]
+        texts.mapInArrow(run, "lang string, chunk string, own int")
+        .groupBy("lang", "chunk", "own").agg(F.count(F.lit(1)).alias("n")))
 
 
 class _Phrases:
-    """The phrases of some dictionary rows by number of words: where they start, hashes, weights."""
+    """The phrases of some dictionary rows by number of words: where they start, and their hashes."""
 
     def __init__(self, batch: pa.RecordBatch):
-        chunks = batch["chunk"].cast(pa.binary()).to_pylist()
-        self.words, self.hashes, self.row = _words(b"\n".join(chunks))
-        self.n = batch["n"].to_numpy(zero_copy_only=False)
-        langs = batch["lang"].to_pylist()
-        names = sorted(set(langs))
-        salts = dict(zip(names, word_hashes([x.encode() for x in names], len(names)), strict=True))
-        self.salt = np.array([salts[x] for x in langs], np.uint64)
-        self.langs = langs
-        at = np.arange(len(self.row))
-        first = np.zeros(len(self.row), np.int64)
-        if len(self.row):
-            first[1:] = np.maximum.accumulate(np.where(self.row[1:] != self.row[:-1], at[1:], 0))
-        own = batch["own"].to_numpy(zero_copy_only=False)
-        self.owned = at - first < own[self.row]
-
-    def of(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(k, starts, hashes) of the owned phrases of k words, for k from 1 on."""
-        key = self.hashes * _MIX + self.salt[self.row] if len(self.row) else self.hashes
-        start = np.flatnonzero(self.owned)
-        key = key[start]
+        chunks = batch["chunk"].cast(pa.binary())
+        bounds = np.frombuffer(chunks.buffers()[1], np.int32)[chunks.offset:chunks.offset + len(chunks) + 1]
+        whole = np.frombuffer(chunks.buffers()[2] or b"", np.uint8)
+        self.data = whole[bounds[0]:bounds[-1]]
+        bounds = (bounds - bounds[0]).astype(np.int64)
+        blanks = np.flatnonzero(self.data == 32)
+        self.starts = np.sort(np.concatenate([bounds[:-1], blanks + 1]), kind="stable")
+        self.ends = np.sort(np.concatenate([bounds[1:], blanks]), kind="stable")
+        heads = np.searchsorted(self.starts, bounds[:-1])
+        marks = np.zeros(len(self.starts), np.int64)
+        marks[heads[1:]] = 1
+        self.row = np.cumsum(marks)
+        self.owned = np.arange(len(self.row)) - heads[self.row] < batch["own"].to_numpy()[self.row]
+        langs = batch["lang"].dictionary_encode()
+        names = [x.encode() for x in langs.dictionary.to_pylist()]
+        ends = np.cumsum([len(x) for x in names])
+        data = np.frombuffer(b"".join(names), np.uint8)
+        self.words = [
+            _hashes(self.data, self.starts, self.ends, lane)
+            + _hashes(data, ends - [len(x) for x in names], ends, lane)[langs.indices.to_numpy()][self.row] * _MIX
+            for lane in (0, 1)]
+
+    def of(self, start: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """(k, starts, key, check) of the phrases of k words from these words on, for k from 1 on."""
+        keys = [w[start] for w in self.words]
         for k in range(1, LONGEST + 1):
             if k > 1:
                 fits = start + (k - 1) < len(self.row)
                 fits[fits] = self.row[start[fits] + (k - 1)] == self.row[start[fits]]
-                start, key = start[fits], key[fits]
-                key = (key ^ (key >> np.uint64(29))) * _STEP + self.hashes[start + (k - 1)] * _MIX
-            yield k, start, key ^ (key >> np.uint64(32))
+                start = start[fits]
+                last = start + (k - 1)
+                keys = [(x[fits] ^ (x[fits] >> np.uint64(32))) * _STEP + w[last] * _MIX
+                        for x, w in zip(keys, self.words, strict=True)]
+            key, check = ((x ^ (x >> np.uint64(30))) * _MIX for x in keys)
+            yield k, start, key, (check >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
-
-def _sums(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    all_keys, all_counts = np.concatenate(keys), np.concatenate(counts)
-    order = np.argsort(all_keys, kind="stable")
-    all_keys = all_keys[order]
-    at = np.flatnonzero(np.append(True, all_keys[1:] != all_keys[:-1])) if len(all_keys) else order
-    return all_keys[at], np.add.reduceat(all_counts[order], at) if len(at) else all_counts
+    def text(self, start: int, k: int) -> str:
+        return self.data[self.starts[start]:self.ends[start + k - 1]].tobytes().decode("utf-8", "surrogatepass")
 
 
 def _slot(keys: np.ndarray, bits: int) -> np.ndarray:
@@ -188,59 +201,57 @@ def _met(bitmap: np.ndarray, keys: np.ndarray, bits: int) -> np.ndarray:
 
 def hash_counts(dictionary: DataFrame, lengths: tuple[int, ...], least: int, pairs=None, bits: int = MAP_BITS
                 ) -> DataFrame:
-    """(key): hashes of phrases of these lengths that are met ``least`` times or more.
+    """key, check, a, id: phrases of these lengths that are met ``least`` times or more, by their
+    hashes, with the id of a dictionary row that holds them.
 
     With ``pairs``, a broadcast bitmap of frequent phrases, only phrases all of whose neighbouring
     words form one of them are counted: no other phrase can be frequent.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts, held = [], [], 0
+        held, size = [], 0
 
         def flush() -> pa.RecordBatch:
-            some, sums = _sums(keys, counts)
-            keys.clear()
-            counts.clear()
-            return pa.record_batch([pa.array(some.view(np.int64)), pa.array(sums)], names=["key", "n"])
+            key, check, n, row = (np.concatenate(x) for x in zip(*held, strict=True))
+            order = np.argsort(key, kind="stable")
+            key, check = key[order], check[order]
+            new = np.append(True, (key[1:] != key[:-1]) | (check[1:] != check[:-1]))[:len(key)]
+            at = np.flatnonzero(new)
+            sums = np.add.reduceat(n[order], at) if len(at) else n
+            held.clear()
+            return pa.record_batch(
+                [pa.array(key[at].view(np.int64)), pa.array(check[at]), pa.array(sums), pa.array(row[order][at])],
+                names=["key", "check", "a", "id"])
 
         for batch in batches:
             phrases = _Phrases(batch)
-            linked = np.zeros(0, bool)
-            for k, start, key in phrases.of():
-                if k == 2 and pairs is not None:
-                    linked = np.zeros(len(phrases.row) + LONGEST, bool)
-                    linked[start[_met(pairs.value, key, bits)]] = True
-                    # the last pairs of a chunk start at words that its successor owns
-                    linked |= _tail_pairs(phrases, pairs.value, bits)
+            n, ids = batch["n"].to_numpy(), batch["id"].to_numpy()
+            linked = None
+            if pairs is not None:
+                # also from words that a chunk doesn't own: a phrase may end there
+                linked = np.zeros(len(phrases.row) + LONGEST, bool)
+                for k, start, key, _ in phrases.of(np.arange(len(phrases.row))):
+                    if k == 2:
+                        linked[start[_met(pairs.value, key, bits)]] = True
+                        break
+            first = np.flatnonzero(phrases.owned if linked is None else phrases.owned & linked[:len(phrases.row)])
+            for k, start, key, check in phrases.of(first):
                 if k not in lengths:
                     continue
-                if pairs is not None:
+                if linked is not None:
                     whole = np.logical_and.reduce([linked[start + i] for i in range(k - 1)])
-                    start, key = start[whole], key[whole]
-                some, sums = _sums([key], [phrases.n[phrases.row[start]]])
-                keys.append(some)
-                counts.append(sums)
-                held += len(some)
-            if held > _PENDING:
+                    start, key, check = start[whole], key[whole], check[whole]
+                row = phrases.row[start]
+                held.append((key, check, n[row], ids[row]))
+                size += len(key)
+            if size > _PENDING:
                 yield flush()
-                held = 0
-        if keys:
+                size = 0
+        if held:
             yield flush()
 
-    counted = dictionary.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    return counted.filter(F.col("n") >= least).select("key")
-
-
-def _tail_pairs(phrases: _Phrases, bitmap: np.ndarray, bits: int) -> np.ndarray:
-    """Starts of known pairs among the words a chunk does not own."""
-    linked = np.zeros(len(phrases.row) + LONGEST, bool)
-    at = np.flatnonzero(~phrases.owned)
-    at = at[at + 1 < len(phrases.row)]
-    at = at[phrases.row[at] == phrases.row[at + 1]]
-    key = phrases.hashes[at] * _MIX + phrases.salt[phrases.row[at]]
-    key = (key ^ (key >> np.uint64(29))) * _STEP + phrases.hashes[at + 1] * _MIX
-    key ^= key >> np.uint64(32)
-    linked[at[_met(bitmap, key, bits)]] = True
-    return linked
+    counted = dictionary.mapInArrow(run, "key long, check int, a long, id long").groupBy("key", "check").agg(
+        F.sum("a").alias("a"), F.min("id").alias("id"))
+    return counted.filter(F.col("a") >= least)
 
 
 def bitmap(keys: DataFrame, bits: int = MAP_BITS):
@@ -254,37 +265,46 @@ def bitmap(keys: DataFrame, bits: int = MAP_BITS):
 
 
 def frequencies(dictionary: DataFrame, least: int = LEAST, bits: int = MAP_BITS) -> DataFrame:
-    """lang, phrase, k, a: exact counts of all phrases met ``least`` times or more."""
+    """lang, phrase, k, a: exact counts of all phrases met ``least`` times or more.
+
+    ``dictionary`` must be stored, with an ``id`` for each row.
+    """
     short = write_once(hash_counts(dictionary, (1, 2), least), "phrase-hashes")
     pairs = bitmap(short, bits)
     long = write_once(hash_counts(dictionary, tuple(range(3, LONGEST + 1)), least, pairs, bits), "phrase-hashes")
-    known = bitmap(short.unionByName(long), bits)
+    found = short.unionByName(long)
+    # few rows of the dictionary hold a phrase to be looked up: the others need not travel
+    wanted = bitmap(found.select(F.xxhash64("id").alias("key")), bits)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = Counter()
+    def holders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            phrases = _Phrases(batch)
-            for k, start, key in phrases.of():
-                start = start[_met(known.value, key, bits)]
-                rows = phrases.row[start]
-                for at, row, n in zip(start.tolist(), rows.tolist(), phrases.n[rows].tolist(), strict=True):
-                    counts[phrases.langs[row], b" ".join(phrases.words[at:at + k]), k] += n
-            if len(counts) > _PENDING // 5:
-                yield from flush(counts)
-        yield from flush(counts)
-
-    def flush(counts: Counter) -> Iterator[pa.RecordBatch]:
-        for part in _parts(list(counts.items()), 50_000):
-            yield pa.record_batch([
-                pa.array([key[0] for key, _ in part], pa.string()),
-                pa.array([key[1] for key, _ in part], pa.binary()).cast(pa.string()),
-                pa.array([key[2] for key, _ in part], pa.int32()),
-                pa.array([n for _, n in part], pa.int64())], names=["lang", "phrase", "k", "a"])
-        counts.clear()
+            met = _met(wanted.value, batch["slot"].to_numpy().view(np.uint64), bits)
+            yield batch.drop_columns(["slot"]).filter(pa.array(met))
 
-    return (
-        dictionary.mapInArrow(run, "lang string, phrase string, k int, a long")
-        .groupBy("lang", "phrase", "k").agg(F.sum("a").alias("a")).filter(F.col("a") >= least))
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            phrases, out = _Phrases(batch), []
+            langs, sought = batch["lang"].to_pylist(), batch["sought"].to_pylist()
+            left = {(row, x["key"], x["check"]): x["a"] for row, some in enumerate(sought) for x in some}
+            keys = np.unique(np.fromiter((key for _, key, _ in left), np.int64, len(left))).view(np.uint64)
+            for k, start, key, check in phrases.of(np.flatnonzero(phrases.owned)):
+                some = np.flatnonzero(np.isin(key, keys))
+                for at, row, x, y in zip(start[some].tolist(), phrases.row[start[some]].tolist(),
+                                         key[some].view(np.int64).tolist(), check[some].tolist(), strict=True):
+                    n = left.pop((row, x, y), None)
+                    if n is not None:
+                        out.append((langs[row], phrases.text(at, k), k, n))
+            columns = list(zip(*out, strict=True)) if out else [[]] * 4
+            types = [pa.string(), pa.string(), pa.int32(), pa.int64()]
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, types, strict=True)],
+                                  names=["lang", "phrase", "k", "a"])
+
+    # a row is sought for no more phrases than it holds
+    by_row = found.groupBy("id").agg(F.collect_list(F.struct("key", "check", "a")).alias("sought"))
+    held = dictionary.select("id", "lang", "chunk", "own", F.xxhash64("id").alias("slot")).mapInArrow(
+        holders, "id long, lang string, chunk string, own int")
+    return held.join(by_row, "id").select("lang", "chunk", "own", "sought").mapInArrow(
+        look_up, "lang string, phrase string, k int, a long")
 
 
 def word_totals(dictionary: DataFrame) -> DataFrame:
@@ -339,10 +359,14 @@ def best(phrases: DataFrame, top: int = TOP, shards: int = 64) -> DataFrame:
     return first.drop("shard").withColumn("rank", F.row_number().over(whole)).filter(F.col("rank") <= top)
 
 
+def stored(dictionary: DataFrame) -> DataFrame:
+    return write_once(dictionary.withColumn("id", F.monotonically_increasing_id()), "chunks")
+
+
 def mine(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", least: int = LEAST, top: int = TOP,
          trigger: int = TRIGGER) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score of each language's first phrases."""
-    dictionary = write_once(parse(docs, lang_col, text_col, trigger), "chunks")
+    dictionary = stored(parse(docs, lang_col, text_col, trigger))
     counts = write_once(frequencies(dictionary, least), "phrases")
     ranked = best(uncovered(scored(counts), counts), top)
     return ranked.join(word_totals(dictionary), "lang").select(

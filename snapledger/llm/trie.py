@@ -31,7 +31,7 @@ from snapledger.llm.common import pick, text_of, write_once
 
 BAND = 8  # turns of a suffix
 SHARE = 2048  # a container with more than one of so many suffixes bursts,
-LEAST = 1000  # unless it holds so few
+LEAST = 256  # unless it holds so few
 SIBLINGS = 5  # conversations that share their first turns with the first of them
 LEADS = 9  # a conversation takes over fewer turns than this
 

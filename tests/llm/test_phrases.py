@@ -74,7 +74,7 @@ def test_matches_sql(spark, tmp_path):
 def test_slices_of_a_long_text_and_full_maps(spark, monkeypatch):
     monkeypatch.setattr(phrases, "_SLICE", 200)
     rows = odd_rows(5)
-    dictionary = phrases.write_once(phrases.parse(frame(spark, rows).coalesce(1)), "chunks")
+    dictionary = phrases.stored(phrases.parse(frame(spark, rows).coalesce(1)))
     full = {(r["lang"], r["phrase"]): r["a"] for r in phrases.frequencies(dictionary, 4, bits=6).collect()}
     wide = {(r["lang"], r["phrase"]): r["a"] for r in phrases.frequencies(dictionary, 4).collect()}
     assert full == wide and wide["es", "not to be"] == 3000
