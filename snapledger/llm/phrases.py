@@ -7,9 +7,9 @@ cut alike wherever they stand, so the distinct chunks with their frequencies are
 corpus, and phrases are counted inside it, weighted, each at the chunk that owns its first word.
 
 Phrases travel as 96-bit hashes with one chunk that holds them, and only those that are met often enough
-are looked up there. (Two of 10^12 phrases share a hash with a chance below 10^-5.) Phrases of three
-and four words are counted only where each two neighbouring words form a frequent phrase, by a map of
-fixed size; a full map would let more of them be counted and lose none. The counts themselves are exact.
+are looked up there. (Two of 10^12 phrases share a hash with a chance below 10^-4.) Words are counted
+first, then pairs of frequent words, then phrases whose neighbouring words all form frequent pairs, by
+maps of fixed size; a full map would let more phrases be counted and lose none. The counts are exact.
 
 Defined results: a null text counts as empty, a null language as ``und``; ids are not read. Equal
 scores are ordered by count, then by the phrase's bytes. Repeated rows count as often as they stand.
@@ -172,10 +172,10 @@ class _Phrases:
             + _hashes(data, ends - [len(x) for x in names], ends, lane)[langs.indices.to_numpy()][self.row] * _MIX
             for lane in (0, 1)]
 
-    def of(self, start: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    def of(self, start: np.ndarray, longest: int = LONGEST) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
         """(k, starts, key, check) of the phrases of k words from these words on, for k from 1 on."""
         keys = [w[start] for w in self.words]
-        for k in range(1, LONGEST + 1):
+        for k in range(1, longest + 1):
             if k > 1:
                 fits = start + (k - 1) < len(self.row)
                 fits[fits] = self.row[start[fits] + (k - 1)] == self.row[start[fits]]
@@ -199,13 +199,13 @@ def _met(bitmap: np.ndarray, keys: np.ndarray, bits: int) -> np.ndarray:
     return (bitmap[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
-def hash_counts(dictionary: DataFrame, lengths: tuple[int, ...], least: int, pairs=None, bits: int = MAP_BITS
-                ) -> DataFrame:
+def hash_counts(dictionary: DataFrame, lengths: tuple[int, ...], least: int, part: int = 0, known=None,
+                bits: int = MAP_BITS) -> DataFrame:
     """key, check, a, id: phrases of these lengths that are met ``least`` times or more, by their
     hashes, with the id of a dictionary row that holds them.
 
-    With ``pairs``, a broadcast bitmap of frequent phrases, only phrases all of whose neighbouring
-    words form one of them are counted: no other phrase can be frequent.
+    With ``known``, a broadcast bitmap of the frequent phrases of ``part`` words, only phrases all of
+    whose parts of that length are among them are counted: no other phrase can be frequent.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -225,20 +225,19 @@ def hash_counts(dictionary: DataFrame, lengths: tuple[int, ...], least: int, pai
         for batch in batches:
             phrases = _Phrases(batch)
             n, ids = batch["n"].to_numpy(), batch["id"].to_numpy()
-            linked = None
-            if pairs is not None:
-                # also from words that a chunk doesn't own: a phrase may end there
-                linked = np.zeros(len(phrases.row) + LONGEST, bool)
-                for k, start, key, _ in phrases.of(np.arange(len(phrases.row))):
-                    if k == 2:
-                        linked[start[_met(pairs.value, key, bits)]] = True
-                        break
-            first = np.flatnonzero(phrases.owned if linked is None else phrases.owned & linked[:len(phrases.row)])
-            for k, start, key, check in phrases.of(first):
+            # parts also begin at words that a chunk doesn't own: a phrase may end there
+            fine = np.ones(len(phrases.row) + LONGEST, bool)
+            if known is not None:
+                fine[:] = False
+                for k, start, key, _ in phrases.of(np.arange(len(phrases.row)), part):
+                    if k == part:
+                        fine[start[_met(known.value, key, bits)]] = True
+            first = np.flatnonzero(phrases.owned & fine[:len(phrases.row)])
+            for k, start, key, check in phrases.of(first, max(lengths)):
                 if k not in lengths:
                     continue
-                if linked is not None:
-                    whole = np.logical_and.reduce([linked[start + i] for i in range(k - 1)])
+                if known is not None:
+                    whole = np.logical_and.reduce([fine[start + i] for i in range(k - part + 1)])
                     start, key, check = start[whole], key[whole], check[whole]
                 row = phrases.row[start]
                 held.append((key, check, n[row], ids[row]))
@@ -269,10 +268,11 @@ def frequencies(dictionary: DataFrame, least: int = LEAST, bits: int = MAP_BITS)
 
     ``dictionary`` must be stored, with an ``id`` for each row.
     """
-    short = write_once(hash_counts(dictionary, (1, 2), least), "phrase-hashes")
-    pairs = bitmap(short, bits)
-    long = write_once(hash_counts(dictionary, tuple(range(3, LONGEST + 1)), least, pairs, bits), "phrase-hashes")
-    found = short.unionByName(long)
+    words = write_once(hash_counts(dictionary, (1,), least), "phrase-hashes")
+    pairs = write_once(hash_counts(dictionary, (2,), least, 1, bitmap(words, bits), bits), "phrase-hashes")
+    longer = tuple(range(3, LONGEST + 1))
+    long = write_once(hash_counts(dictionary, longer, least, 2, bitmap(pairs, bits), bits), "phrase-hashes")
+    found = words.unionByName(pairs).unionByName(long)
     # few rows of the dictionary hold a phrase to be looked up: the others need not travel
     wanted = bitmap(found.select(F.xxhash64("id").alias("key")), bits)
 
