@@ -7,10 +7,12 @@ gets another live one. See ``scd2`` for the convention by valid date.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -71,20 +73,42 @@ def empty_history(snapshot: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def input_checks(current: DataFrame, snapshot: DataFrame, keys: Sequence[str]) -> DataFrame:
     """What must hold before a step: complete keys, one snapshot row and one current row each."""
-    null_key = F.lit(False)
-    for k in keys:
-        null_key = null_key | F.col(k).isNull()
     return union_checks(
-        count_bad(snapshot, {"history:keys_not_null": null_key}),
+        count_bad(snapshot, {"history:keys_not_null": _null_key(keys)}),
         duplicate_key_check("history:snapshot_unique_key", snapshot, keys),
         duplicate_key_check("history:one_current_row", current, keys),
     )
 
 
+def row_hash(columns: Sequence[str], keys: Sequence[str], ignored: Sequence[str] = IGNORED) -> Column:
+    """The hash that tells whether a row changed."""
+    return length_prefixed_md5([c for c in _payload(columns, keys) if c not in ignored])
+
+
 def _incoming(snapshot: DataFrame, keys: Sequence[str], ignored: Sequence[str]) -> DataFrame:
     names = _payload(snapshot.columns, keys)
-    return snapshot.select(
-        *names, length_prefixed_md5([c for c in names if c not in ignored]).alias("_hash"))
+    return snapshot.select(*names, row_hash(names, keys, ignored).alias("_hash"))
+
+
+def _nth(keys: Sequence[str]) -> Column:
+    """Number of a row among those of its key. The window clusters and sorts on the keys, as
+    the join that follows does, so it costs no shuffle of its own."""
+    return F.row_number().over(Window.partitionBy(*keys).orderBy(keys[0]))
+
+
+def _null_key(keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+
+
+def _refusing(df: DataFrame, keys: Sequence[str], column: str, side: str) -> DataFrame:
+    """``df`` with ``column`` raising at a row whose key is incomplete or was there before."""
+    def refuse(what: str) -> Column:
+        shown = F.concat_ws(", ", *[F.col(k).cast("string") for k in keys])
+        return F.raise_error(F.concat(F.lit(f"{side}: {what}: "), shown)).cast("string")
+
+    return df.withColumn("_nth", _nth(keys)).withColumn(
+        column, F.when(_null_key(keys), refuse("incomplete key"))
+        .when(F.col("_nth") > 1, refuse("a key occurs twice")).otherwise(F.col(column))).drop("_nth")
 
 
 def _events() -> tuple[Column, Column, Column]:
@@ -112,53 +136,164 @@ def has_changes(
     return not _joined(h, s, keys).filter(opens | deletes).select(F.lit(1)).isEmpty()
 
 
-def history_delta(
-    current: DataFrame, snapshot: DataFrame, keys: Sequence[str], stamp: Column,
-    ignored: Sequence[str] = IGNORED,
-) -> DataFrame:
-    """Compare the current rows with a complete snapshot.
-
-    Returns the new set of current rows plus the rows this step closes (``is_current`` 0);
-    versions closed earlier are neither read nor written. One full outer join decides
-    new, changed, reactivated and deleted keys, and each joined row unfolds into the old
-    and the new version in place, so every input row is shuffled once.
-    """
-    guard_schema(snapshot, keys, current)
-    names = _payload(snapshot.columns, keys)
-    opens, deletes, closes = _events()
-    joined = _joined(current, _incoming(snapshot, keys, ignored), keys)
-    moment = stamp.cast("timestamp")
+def _versions(
+    names: Sequence[str], moment: Column, opens: Column, deletes: Column, new: str, new_hash: str,
+) -> Column:
+    """The versions a joined row stands for: the stored one (``h``) as it was or closed now,
+    and the one that is opened, with the payload of ``new`` unless it is a tombstone."""
+    known = F.col("h.row_hash").isNotNull()
+    closes = known & (opens | deletes)
 
     def version(payload, **meta):
         return F.struct(*[c.alias(n) for n, c in zip(names, payload)],
                         *[meta[n].cast(t).alias(n) for n, t in META.items()])
 
-    stored = [F.col(f"h.{n}") for n in names]
     kept = version(
-        stored,
+        [F.col(f"h.{n}") for n in names],
         version_no=F.col("h.version_no"), valid_from=F.col("h.valid_from"),
         valid_to=F.when(closes, moment).otherwise(F.col("h.valid_to")),
         is_current=F.when(closes, 0).otherwise(1), row_hash=F.col("h.row_hash"),
         is_deleted=F.col("h.is_deleted"), change_type=F.col("h.change_type"),
     )
-    live = F.col("s._hash").isNotNull()
     kind = (
-        F.when(deletes, "DELETE").when(F.col("h.row_hash").isNull(), "INITIAL")
+        F.when(deletes, "DELETE").when(~known, "INITIAL")
         .when(F.col("h.is_deleted") == 1, "REACTIVATED").otherwise("CHANGE")
     )
     opened = version(
-        [F.when(live, F.col(f"s.{n}")).otherwise(F.col(f"h.{n}")) for n in names],
+        [F.when(deletes, F.col(f"h.{n}")).otherwise(F.col(f"{new}.{n}")) for n in names],
         version_no=F.coalesce(F.col("h.version_no"), F.lit(0)) + 1, valid_from=moment,
         valid_to=F.lit(None), is_current=F.lit(1),
-        row_hash=F.coalesce(F.col("s._hash"), F.col("h.row_hash")),
+        row_hash=F.when(deletes, F.col("h.row_hash")).otherwise(F.col(new_hash)),
         is_deleted=F.when(deletes, 1).otherwise(0), change_type=kind,
     )
-    known = F.col("h.row_hash").isNotNull()
-    versions = (
-        F.when(known & (opens | deletes), F.array(kept, opened))
-        .when(known, F.array(kept)).otherwise(F.array(opened))
+    return (
+        F.when(closes, F.array(kept, opened)).when(known, F.array(kept)).otherwise(F.array(opened)))
+
+
+def history_delta(
+    current: DataFrame, snapshot: DataFrame, keys: Sequence[str], stamp: Column,
+    ignored: Sequence[str] = IGNORED,
+) -> DataFrame:
+    """Compare the current rows with a complete snapshot.
+
+    Returns the new set of current rows plus the rows this step closes (``is_current`` 0);
+    versions closed earlier are neither read nor written. One full outer join decides
+    new, changed, reactivated and deleted keys, and each joined row unfolds into the old
+    and the new version in place, so every input row is shuffled once. A key that is
+    incomplete or occurs twice on a side fails the query that reads the result.
+    """
+    guard_schema(snapshot, keys, current)
+    names = _payload(snapshot.columns, keys)
+    opens, deletes, _ = _events()
+    joined = _joined(
+        _refusing(current, keys, "row_hash", "stored history"),
+        _refusing(_incoming(snapshot, keys, ignored), keys, "_hash", "snapshot"), keys)
+    return joined.select(F.inline(
+        _versions(names, stamp.cast("timestamp"), opens, deletes, "s", "s._hash")))
+
+
+@dataclass(frozen=True)
+class Changed:
+    """What a comparison found: versions to open by kind, and what must not occur."""
+
+    opened: Mapping[str, int]
+    unchanged: int
+    repeated_snapshot: int
+    repeated_current: int
+    null_keys: int
+    last_stamp: int | None  # of the stored versions, microseconds since 1970
+
+    @property
+    def any(self) -> bool:
+        return sum(self.opened.values()) > 0
+
+    @property
+    def live(self) -> int:
+        """Live current rows after the step."""
+        return self.unchanged + sum(n for kind, n in self.opened.items() if kind != "DELETE")
+
+
+# What can happen to a key.
+KINDS = ("INITIAL", "CHANGE", "REACTIVATED", "DELETE")
+
+
+def change_set(current: DataFrame, snapshot: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, dict[str, Column]]:
+    """(keys and ``_event`` of every key, the aggregates that describe them as ``Changed``).
+
+    Reads keys, hashes and flags only: ``current`` has ``row_hash``, ``is_deleted`` and
+    ``valid_from``, ``snapshot`` has ``_row_hash``. Rows that repeat a key are told by
+    ``_event`` REPEATED and REPEATED_CURRENT instead of being joined with each other. An unchanged
+    key has the event UNCHANGED, a tombstone that stays has GONE.
+    """
+    def first_of_each(df, *columns):
+        return df.select(*keys, *columns).withColumn("_nth", _nth(keys))
+
+    h = first_of_each(current, "row_hash", "is_deleted", "valid_from")
+    s = first_of_each(snapshot, F.col("_row_hash").alias("_hash"))
+    # a row beyond the first of its key joins with no first one; not an equality of two columns,
+    # which would join by more than the keys the windows are clustered on
+    on = [F.col(f"h.{k}") == F.col(f"s.{k}") for k in keys] + [F.col("h._nth") - F.col("s._nth") == 0]
+    joined = h.alias("h").join(s.alias("s"), on, "full_outer")
+    opens, deletes, _ = _events()
+    event = (
+        F.when(F.coalesce("s._nth", F.lit(1)) > 1, "REPEATED")
+        .when(F.coalesce("h._nth", F.lit(1)) > 1, "REPEATED_CURRENT")
+        .when(deletes, "DELETE").when(opens & F.col("h.row_hash").isNull(), "INITIAL")
+        .when(opens & (F.col("h.is_deleted") == 1), "REACTIVATED").when(opens, "CHANGE")
+        .when(F.col("s._hash").isNull(), "GONE").otherwise("UNCHANGED")
     )
-    return joined.select(F.inline(versions))
+    events = joined.select(
+        *[F.coalesce(f"s.{k}", f"h.{k}").alias(k) for k in keys], event.alias("_event"),
+        F.unix_micros("h.valid_from").alias("_stamp"))
+    facts = {kind: F.count_if(F.col("_event") == kind) for kind in (
+        *KINDS, "UNCHANGED", "REPEATED", "REPEATED_CURRENT")}
+    facts["null_keys"] = F.count_if(_null_key(keys))
+    facts["last_stamp"] = F.max("_stamp")
+    return events, facts
+
+
+def changed(facts: Mapping[str, int]) -> Changed:
+    """``Changed`` from the values of the aggregates of ``change_set``."""
+    return Changed(
+        {kind: facts.get(kind) or 0 for kind in KINDS}, facts.get("UNCHANGED") or 0,
+        facts.get("REPEATED") or 0, facts.get("REPEATED_CURRENT") or 0, facts.get("null_keys") or 0,
+        facts.get("last_stamp"))
+
+
+def apply_changes(
+    current: DataFrame, changes: DataFrame, snapshot: DataFrame, keys: Sequence[str], stamp: Column,
+) -> DataFrame:
+    """The current rows and those just closed, after the events of ``changes`` (keys, ``_event``).
+
+    ``snapshot`` carries ``_row_hash``. Its rows, and nothing else, are fetched for the changed keys,
+    and each current row meets at most one event, so a few changes are broadcast to the rows they
+    belong to and the payload of unchanged rows is not shuffled.
+    """
+    payload = snapshot.select(*keys, F.struct(*snapshot.columns).alias("_new"))
+    events = changes.filter(F.col("_event") != "DELETE").join(payload, list(keys)).unionByName(
+        changes.filter(F.col("_event") == "DELETE"), allowMissingColumns=True)
+    names = _payload([c for c in snapshot.columns if c != "_row_hash"], keys)
+    moment = stamp.cast("timestamp")
+    event = F.col("e._event")
+    deletes = F.coalesce(event == "DELETE", F.lit(False))
+    opens = event.isNotNull() & ~deletes
+    old = events.filter(F.col("_event") != "INITIAL")
+    on = [F.col(f"h.{k}") == F.col(f"e.{k}") for k in keys]
+    moved = current.alias("h").join(old.alias("e"), on, "left")
+    rest = moved.select(F.inline(_versions(names, moment, opens, deletes, "e._new", "e._new._row_hash")))
+    meta = {"version_no": F.lit(1), "valid_from": moment, "valid_to": F.lit(None), "is_current": F.lit(1),
+            "row_hash": F.col("_new._row_hash"), "is_deleted": F.lit(0), "change_type": F.lit("INITIAL")}
+    new = events.filter(F.col("_event") == "INITIAL").select(
+        *[F.col(f"_new.{n}").alias(n) for n in names], *[meta[n].cast(t).alias(n) for n, t in META.items()])
+    return rest.unionByName(new)
+
+
+def opened_rows(snapshot: DataFrame, keys: Sequence[str], stamp: Column) -> DataFrame:
+    """The first version of every row of a snapshot that carries ``_row_hash``."""
+    names = _payload([c for c in snapshot.columns if c != "_row_hash"], keys)
+    meta = {"version_no": F.lit(1), "valid_from": stamp, "valid_to": F.lit(None), "is_current": F.lit(1),
+            "row_hash": F.col("_row_hash"), "is_deleted": F.lit(0), "change_type": F.lit("INITIAL")}
+    return snapshot.select(*names, *[meta[n].cast(t).alias(n) for n, t in META.items()])
 
 
 def history_step(
@@ -167,8 +302,9 @@ def history_step(
 ) -> DataFrame:
     """The whole history after one more complete snapshot.
 
-    Repeated or incomplete keys on either side are refused before anything is compared;
-    ``checked`` is for callers that have done so.
+    Repeated or incomplete keys on either side are refused before anything is compared, with
+    all findings, which computes both inputs once more. With ``checked`` no job is run here:
+    such a key then fails the query that reads the result.
     """
     if not checked:
         enforce(input_checks(history.filter("is_current = 1"), snapshot, keys))
@@ -178,12 +314,15 @@ def history_step(
 
 def history_baseline(
     history: DataFrame | None, existing: DataFrame, keys: Sequence[str], stamp: Column,
-    ignored: Sequence[str] = IGNORED,
+    ignored: Sequence[str] = IGNORED, checked: bool = False,
 ) -> DataFrame:
-    """A missing or empty history starts from the table as it stands; otherwise keep it."""
+    """A missing or empty history starts from the table as it stands; otherwise keep it.
+
+    ``checked`` is that of ``history_step``.
+    """
     if history is not None and not history.isEmpty():
         return history
-    return history_step(empty_history(existing, keys), existing, keys, stamp, ignored)
+    return history_step(empty_history(existing, keys), existing, keys, stamp, ignored, checked)
 
 
 def next_stamp(current: DataFrame, now: datetime) -> datetime:
@@ -191,19 +330,48 @@ def next_stamp(current: DataFrame, now: datetime) -> datetime:
 
     A time without zone is the machine's local time.
     """
+    return stamp_after(current.agg(F.unix_micros(F.max("valid_from")).alias("last")).first()["last"], now)
+
+
+def stamp_after(last: int | None, now: datetime) -> datetime:
+    """``now`` in UTC, or just after ``last`` (microseconds since 1970) if that is later."""
     now = now.astimezone(timezone.utc)
-    last = current.agg(F.unix_micros(F.max("valid_from")).alias("last")).first()["last"]
     if last is None:
         return now
     return max(now, datetime(1970, 1, 1, tzinfo=timezone.utc) + timedelta(microseconds=last + 1))
 
 
+def counted_checks(spark: SparkSession, facts: Mapping[str, int]) -> DataFrame:
+    """Counts that must be zero, already known, as checks."""
+    return spark.createDataFrame(
+        [(name, abs(bad), abs(bad)) for name, bad in facts.items()], "check string, n_checked bigint, n_bad bigint")
+
+
+def step_facts(found: Changed, snapshot_rows: int, before: int, written: Mapping[str, int]) -> dict[str, int]:
+    """The rules of ``step_checks``, from what the comparison and the write counted.
+
+    ``before`` is the number of current rows compared, ``written`` has ``rows``, ``current`` and
+    ``live`` of what was stored for them.
+    """
+    n_opened = sum(found.opened.values())
+    return {
+        "history:live_rows_equal_snapshot": found.live - snapshot_rows,
+        "history:one_current_row": found.repeated_current,
+        "history:rows_equal_old_and_opened": written["rows"] - before - n_opened,
+        "history:current_rows": written["current"] - before - found.opened["INITIAL"],
+    }
+
+
 def step_checks(
     delta: DataFrame, snapshot: DataFrame, keys: Sequence[str], before: DataFrame | None = None,
+    counted: Mapping[str, int] | None = None,
 ) -> DataFrame:
     """What must hold after a step, before it is published: live current rows are as many
     as the snapshot's rows, every key has one current row, and, given the current rows
-    ``before``, each of these is still there and each row more is a version just opened."""
+    ``before``, each of these is still there and each row more is a version just opened.
+    With ``counted`` (see ``step_facts``) these are known and no frame is read."""
+    if counted is not None:
+        return counted_checks(delta.sparkSession, counted)
     live = delta.filter("is_current = 1 AND is_deleted = 0").select(F.lit(1).alias("_side"))
     wanted = snapshot.select(F.lit(-1).alias("_side"))
     balance = live.unionAll(wanted).agg(

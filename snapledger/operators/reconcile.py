@@ -12,11 +12,15 @@ from pyspark.sql import functions as F
 from snapledger.operators.checks import count_bad
 
 
+def not_sum(total: str, parts: Sequence[str]) -> Column:
+    """A row's total is not the sum of its parts, or one of them is NULL."""
+    whole = reduce(add, [F.col(p) for p in parts])
+    return ~(F.col(total).isNotNull() & F.col(total).eqNullSafe(whole))
+
+
 def row_math(df: DataFrame, total: str, parts: Sequence[str], name: str) -> DataFrame:
     """Rows whose total is not the sum of its parts; a NULL among them does not pass."""
-    whole = reduce(add, [F.col(p) for p in parts])
-    agrees = F.col(total).isNotNull() & F.col(total).eqNullSafe(whole)
-    return count_bad(df, {name: ~agrees})
+    return count_bad(df, {name: not_sum(total, parts)})
 
 
 def group_vs_all(

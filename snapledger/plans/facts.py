@@ -16,8 +16,8 @@ from snapledger.functions.labels import (
 )
 from snapledger.functions.measures import MEASURES, STAGES, with_stage_measures
 from snapledger.functions.periods import period_start
-from snapledger.operators.checks import count_bad, duplicate_key_check, union_checks
-from snapledger.operators.reconcile import row_math
+from snapledger.operators.checkplan import CheckPlan
+from snapledger.operators.reconcile import not_sum
 from snapledger.operators.scd2 import join_valid_version, scd2_change_audit, scd2_rebuild
 from snapledger.sources.normalize import (
     ENROLLMENT_KEYS,
@@ -85,20 +85,12 @@ def fact_student(
     )
 
 
-def row_balance(name: str, left: DataFrame, right: DataFrame) -> DataFrame:
-    """Equal row counts; the finding is the size of the difference."""
-    sides = left.select(F.lit(1).alias("_side")).unionAll(right.select(F.lit(-1).alias("_side")))
-    return sides.agg(
-        F.count_if(F.col("_side") == 1).alias("n_checked"),
-        F.coalesce(F.abs(F.sum("_side")), F.lit(0)).cast("bigint").alias("n_bad"),
-    ).select(F.lit(name).alias("check"), "n_checked", "n_bad")
+def student_fact_rules(fact: DataFrame) -> CheckPlan:
+    return CheckPlan().rules(fact, {"fact_student:row_math": not_sum("total_enrollment", STAGES)})
 
 
 def fact_student_checks(measures: DataFrame, fact: DataFrame) -> DataFrame:
-    return union_checks(
-        row_balance("fact_student:rows_equal_source", fact, measures),
-        row_math(fact, "total_enrollment", list(STAGES), "fact_student:row_math"),
-    )
+    return student_fact_rules(fact).rows_equal("fact_student:rows_equal_source", fact, measures).frame()
 
 
 def missing_management(snapshots: DataFrame, management: DataFrame) -> DataFrame:
@@ -107,60 +99,40 @@ def missing_management(snapshots: DataFrame, management: DataFrame) -> DataFrame
     return used.join(management.select("management_center_id"), "management_center_id", "left_anti")
 
 
+def mapping_plan(
+    fact: DataFrame, states: DataFrame, management: DataFrame, categories: DataFrame
+) -> CheckPlan:
+    """Fact rows by reason they cannot be reported. A NULL category is allowed."""
+    group = F.col("management_group")
+    return (
+        CheckPlan()
+        .mapped(fact, states, "state_sk", "mapping:state_missing",
+                "mapping:state_blank", is_blank(F.col("state_name")))
+        .mapped(fact, management, "management_sk", "mapping:management_missing",
+                "mapping:management_group", group.isNull() | ~group.isin(*MANAGEMENT_GROUPS))
+        .mapped(fact, categories, "category_sk", "mapping:category_missing",
+                "mapping:category_blank", is_blank(F.col("category")), F.col("category_sk").isNotNull())
+    )
+
+
 def mapping_audit(
     fact: DataFrame, states: DataFrame, management: DataFrame, categories: DataFrame
 ) -> DataFrame:
-    """Fact rows by reason they cannot be reported. A NULL category is allowed.
-
-    Reasons depend on the keys alone, so the fact is counted per key combination first and
-    only those counts are joined with the dimensions.
-    """
-    combos = fact.groupBy("state_sk", "management_sk", "category_sk").agg(
-        F.count(F.lit(1)).alias("n"))
-    joined = (
-        combos
-        .join(states.select("state_sk", "state_name", F.lit(1).alias("_state")), "state_sk", "left")
-        .join(management.select("management_sk", "management_group", F.lit(1).alias("_mgmt")),
-              "management_sk", "left")
-        .join(categories.select("category_sk", "category", F.lit(1).alias("_cat")),
-              "category_sk", "left")
-    )
-    group = F.col("management_group")
-    has_category = F.col("category_sk").isNotNull()
-    reasons = {
-        "mapping:state_missing": F.col("_state").isNull(),
-        "mapping:state_blank": F.col("_state").isNotNull() & is_blank(F.col("state_name")),
-        "mapping:management_missing": F.col("_mgmt").isNull(),
-        "mapping:management_group": F.col("_mgmt").isNotNull()
-        & (group.isNull() | ~group.isin(*MANAGEMENT_GROUPS)),
-        "mapping:category_missing": has_category & F.col("_cat").isNull(),
-        "mapping:category_blank": has_category & F.col("_cat").isNotNull()
-        & is_blank(F.col("category")),
-    }
-    return weighted_bad(joined, reasons)
+    """Findings of ``mapping_plan``: the fact is read once and shrinks to its keys first."""
+    return mapping_plan(fact, states, management, categories).frame()
 
 
-def weighted_bad(df: DataFrame, rules: dict) -> DataFrame:
-    """Like ``count_bad`` over pre-counted rows with a weight column ``n``."""
-    totals = df.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n_checked"),
-        *[F.coalesce(F.sum(F.when(bad, F.col("n"))), F.lit(0)).cast("bigint").alias(f"bad_{i}")
-          for i, bad in enumerate(rules.values())],
+def dimension_key_plan(states: DataFrame, management: DataFrame, categories: DataFrame) -> CheckPlan:
+    return (
+        CheckPlan()
+        .unique("dim_state:unique_key", states, ["state_sk"])
+        .unique("dim_management:unique_key", management, ["management_sk"])
+        .unique("dim_category:unique_key", categories, ["category_sk"])
     )
-    rows = [
-        F.struct(F.lit(name).alias("check"), F.col("n_checked").alias("n_checked"),
-                 F.col(f"bad_{i}").alias("n_bad"))
-        for i, name in enumerate(rules)
-    ]
-    return totals.select(F.inline(F.array(*rows)))
 
 
 def dimension_key_checks(states: DataFrame, management: DataFrame, categories: DataFrame) -> DataFrame:
-    return union_checks(
-        duplicate_key_check("dim_state:unique_key", states, ["state_sk"]),
-        duplicate_key_check("dim_management:unique_key", management, ["management_sk"]),
-        duplicate_key_check("dim_category:unique_key", categories, ["category_sk"]),
-    )
+    return dimension_key_plan(states, management, categories).frame()
 
 
 def _teacher_context(
@@ -222,15 +194,15 @@ def source_preflight(
         "categories": (categories, ("academic_year", "sch_category_id")),
         "management": (management, ("management_sk",)),
     }
-    return union_checks(
-        count_bad(joined, reasons),
-        *[duplicate_key_check(f"preflight:{name}_unique_key", df, keys)
-          for name, (df, keys) in sources.items()],
-    )
+    plan = CheckPlan().rules(joined, reasons)
+    for name, (df, keys) in sources.items():
+        plan.unique(f"preflight:{name}_unique_key", df, keys)
+    return plan.frame()
+
+
+def teacher_fact_rules(fact: DataFrame) -> CheckPlan:
+    return CheckPlan().rules(fact, {"fact_teacher:row_math": not_sum("total_teachers", TEACHER_COUNTS)})
 
 
 def fact_teacher_checks(counts: DataFrame, fact: DataFrame) -> DataFrame:
-    return union_checks(
-        row_balance("fact_teacher:rows_equal_source", fact, counts),
-        row_math(fact, "total_teachers", TEACHER_COUNTS, "fact_teacher:row_math"),
-    )
+    return teacher_fact_rules(fact).rows_equal("fact_teacher:rows_equal_source", fact, counts).frame()

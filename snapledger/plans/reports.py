@@ -16,14 +16,8 @@ from snapledger.functions.labels import (
     UNKNOWN_CATEGORY,
 )
 from snapledger.functions.measures import STAGES
-from snapledger.operators.checks import not_empty_check, union_checks
-from snapledger.operators.reconcile import (
-    fact_vs_report,
-    full_outer_totals,
-    group_vs_all,
-    mismatch_check,
-    row_math,
-)
+from snapledger.operators.checkplan import CheckPlan
+from snapledger.operators.reconcile import not_sum
 from snapledger.operators.totals import multi_level_totals, split_where, sum_where, sums
 
 STUDENT_MEASURES = ("total", *STAGES)
@@ -166,39 +160,49 @@ def category_totals(report: DataFrame) -> DataFrame:
     return report.groupBy("ac_year", "india_state_ut").agg(*sums(["total"]))
 
 
+def student_report_plan(by_management: DataFrame, by_category: DataFrame) -> CheckPlan:
+    """Both student reports by themselves and against each other; each is read once."""
+    is_all, national = F.col("management") == ALL_MANAGEMENT, F.col("india_state_ut") == ALL_GEOGRAPHIES
+    return (
+        CheckPlan()
+        .not_empty("report_management:not_empty", by_management)
+        .not_empty("report_category:not_empty", by_category)
+        .rules(by_management, {"report_management:row_math": not_sum("total", STAGES)})
+        .whole("report_management:groups_equal_all", by_management, ["ac_year"], is_all, "total", national)
+        .rules(by_category, {"report_category:row_math": not_sum("total", GROUP_COLUMNS)})
+        .equal("report_category:equals_management_report", by_category, by_management,
+               ["ac_year", "india_state_ut"], "total", right_where=is_all)
+    )
+
+
 def student_report_checks(by_management: DataFrame, by_category: DataFrame) -> DataFrame:
-    national = by_management.filter(F.col("india_state_ut") == ALL_GEOGRAPHIES)
-    return union_checks(
-        not_empty_check("report_management:not_empty", by_management),
-        not_empty_check("report_category:not_empty", by_category),
-        row_math(by_management, "total", list(STAGES), "report_management:row_math"),
-        mismatch_check("report_management:groups_equal_all", group_vs_all(
-            national, ["ac_year"], "management", ALL_MANAGEMENT, "total")),
-        row_math(by_category, "total", list(GROUP_COLUMNS), "report_category:row_math"),
-        mismatch_check("report_category:equals_management_report", full_outer_totals(
-            category_totals(by_category), geography_totals(by_management),
-            ["ac_year", "india_state_ut"], "total")),
+    return student_report_plan(by_management, by_category).frame()
+
+
+def teacher_report_plan(
+    fact: DataFrame, by_management: DataFrame, by_category: DataFrame
+) -> CheckPlan:
+    """Both teacher reports against their fact and each other; each frame is read once."""
+    is_all, national = F.col("management") == ALL_MANAGEMENT, F.col("india_state_ut") == ALL_GEOGRAPHIES
+    place = ["ac_year", "india_state_ut"]
+    return (
+        CheckPlan()
+        .not_empty("teacher_management:not_empty", by_management)
+        .not_empty("teacher_category:not_empty", by_category)
+        .rules(by_management, {
+            "teacher_management:stages": not_sum("total", TEACHER_STAGES),
+            "teacher_management:grade_bands": not_sum("total", GRADE_BANDS)})
+        .whole("teacher_management:groups_equal_all", by_management, place, is_all, "total")
+        .equal("teacher_management:equals_fact", fact, by_management, ["academic_year"], "total",
+               right_where=is_all & national, every="left", right_keys=["ac_year"],
+               left_total="total_teachers")
+        .rules(by_category, {"teacher_category:row_math": not_sum("total", GROUP_COLUMNS)})
+        .equal("teacher_category:equals_management_report", by_category, by_management, place, "total",
+               right_where=is_all, every="left")
     )
 
 
 def teacher_report_checks(
     fact: DataFrame, by_management: DataFrame, by_category: DataFrame
 ) -> DataFrame:
-    fact_totals = fact.groupBy(F.col("academic_year").alias("ac_year")).agg(
-        F.sum("total_teachers").cast("bigint").alias("total"))
-    national = geography_totals(by_management).filter(
-        F.col("india_state_ut") == ALL_GEOGRAPHIES)
-    return union_checks(
-        not_empty_check("teacher_management:not_empty", by_management),
-        not_empty_check("teacher_category:not_empty", by_category),
-        row_math(by_management, "total", list(TEACHER_STAGES), "teacher_management:stages"),
-        row_math(by_management, "total", list(GRADE_BANDS), "teacher_management:grade_bands"),
-        mismatch_check("teacher_management:groups_equal_all", group_vs_all(
-            by_management, ["ac_year", "india_state_ut"], "management", ALL_MANAGEMENT, "total")),
-        mismatch_check("teacher_management:equals_fact", fact_vs_report(
-            fact_totals, national, ["ac_year"], "total")),
-        row_math(by_category, "total", list(GROUP_COLUMNS), "teacher_category:row_math"),
-        mismatch_check("teacher_category:equals_management_report", fact_vs_report(
-            category_totals(by_category), geography_totals(by_management),
-            ["ac_year", "india_state_ut"], "total")),
-    )
+    return teacher_report_plan(fact, by_management, by_category).frame()

@@ -14,11 +14,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapledger.operators.checks import (
-    enforce,
-    missing_key_check,
-    union_checks,
-)
+from snapledger.operators.checkplan import CheckPlan
+from snapledger.operators.checks import enforce, union_checks
 from snapledger.operators.scd2 import scd2_invariants
 from snapledger.plans import dims, facts, reports, tables
 from snapledger.sources import normalize, scan
@@ -30,6 +27,9 @@ from snapledger.storage.workdir import write_once
 STUDENT_TABLES = ("mst_state", "mst_district", "mst_sch_category", "sch_enr_fresh")
 TEACHER_TABLE = "tch_summary"
 SCHOOL_MASTERS = ("school_master", "school_master_local", "sch_master", "sch_master_local")
+MANIFEST = (
+    "academic_year string, table string, n_rows bigint, source_db string, source_schema string, "
+    "school_master_table string, path string")
 SNAPSHOT_TABLES = (
     tables.STATES, tables.DISTRICTS, tables.CATEGORIES, tables.SCHOOLS, tables.ENROLLMENT)
 
@@ -110,6 +110,20 @@ def drop_manifest(drops: list[Drop]) -> DataFrame:
     return scan.union_periods(parts, allow_missing=False)
 
 
+def source_plan(drops: list[Drop]) -> CheckPlan:
+    """Everything that is asked of the raw tables, each read once: findings, rows, rows left out."""
+    plan = CheckPlan()
+    for d in drops:
+        plan.add(normalize.snapshot_plan(d.tables[d.school_table], f"{d.period}/"))
+        plan.add(normalize.metric_plan(d.tables["sch_enr_fresh"], f"{d.period}/"))
+        plan.alias(f"{d.period}/school:rows", f"{d.period}/{d.school_table}:rows")
+        plan.alias(f"{d.period}/enrollment:rows", f"{d.period}/sch_enr_fresh:rows")
+        for t, df in d.tables.items():
+            if t not in (d.school_table, "sch_enr_fresh"):
+                plan.count(f"{d.period}/{t}:rows", df)
+    return plan
+
+
 def _per_period(drops: list[Drop], build) -> DataFrame:
     return scan.union_periods([build(drop) for drop in drops])
 
@@ -120,22 +134,19 @@ def publish_snapshots(
 ) -> Commit:
     """Normalize all drops and publish the five snapshot tables with their histories.
 
-    Next to the tables go the row counts of the sources (``manifests``) and the number of
-    register rows without a school code, which no snapshot holds (``left_out``).
+    One query over all raw tables gives the findings, the row counts of the sources
+    (``manifests``), the number of register rows without a school code, which no snapshot holds
+    (``left_out``), and the rows that the enrollment must have. After the commit, codes and names
+    that mean several things go to ``notes``.
     """
     enforce(union_checks(*[drop_checks(d) for d in drops]))
-    enforce(union_checks(*[
-        normalize.snapshot_checks(
-            d.tables[d.school_table], d.period, d.lineage(processed_at, d.school_table))
-        for d in drops]))
+    found = source_plan(drops).enforce()
 
     def build(normalizer, table):
         return _per_period(drops, lambda d: normalizer(
             d.tables[table], d.period, d.lineage(processed_at)))
 
     enrollment = build(normalize.normalize_measures, "sch_enr_fresh")
-    enforce(union_checks(*[
-        normalize.metric_checks(d.tables["sch_enr_fresh"]) for d in drops]))
     schools = _per_period(drops, lambda d: normalize.normalize_snapshot(
         d.tables[d.school_table], d.period, d.lineage(processed_at, d.school_table)))
     outputs = [
@@ -147,23 +158,40 @@ def publish_snapshots(
     ]
 
     def cross_checks(staged):
-        return union_checks(
-            normalize.category_checks(staged["school_category_master"]),
-            missing_key_check(
-                "enrollment:school_in_register", staged["enrollment_social_category"],
-                staged["school_master_snapshot"], normalize.SNAPSHOT_KEYS),
+        return (
+            CheckPlan()
+            .rules(staged["school_category_master"], normalize.category_rules())
+            .known("enrollment:school_in_register", staged["enrollment_social_category"],
+                   staged["school_master_snapshot"], normalize.SNAPSHOT_KEYS)
         )
 
+    expected = sum(found[f"{d.period}/enrollment:wanted"][0] for d in drops)
     commit = publish(spark, root, f"{run_id}-snapshots", outputs,
-                     keep_history=[c.table for c, _ in outputs], checks=cross_checks, now=now)
-    scan.write_manifest(drop_manifest(drops), f"{root}/manifests/{run_id}")
-    left_out = union_checks(*[
-        normalize.blank_codes(d.tables[d.school_table]).withColumn(
-            "check", F.concat(F.lit(f"{d.period}/"), "check")) for d in drops])
-    scan.write_manifest(left_out, f"{root}/left_out/{run_id}")
+                     keep_history=[c.table for c, _ in outputs], checks=cross_checks,
+                     expected_rows={tables.ENROLLMENT.table: expected}, now=now)
+    manifest = [
+        (d.period, t, found[f"{d.period}/{t}:rows"][0], d.source_db, d.source_schema, d.school_table, d.path)
+        for d in drops for t in d.tables]
+    scan.write_manifest(spark.createDataFrame(manifest, MANIFEST), f"{root}/manifests/{run_id}")
+    left_out = [
+        (name, found[f"{d.period}/school:rows"][0], found[name][0])
+        for d in drops for name in [f"{d.period}/school:blank_code_left_out"]]
+    scan.write_manifest(spark.createDataFrame(
+        left_out, "check string, n_checked bigint, n_bad bigint"), f"{root}/left_out/{run_id}")
+    scan.write_manifest(naming_notes(spark, root), f"{root}/notes/{run_id}")
     return commit
 
 
+def naming_notes(spark: SparkSession, root: str) -> DataFrame:
+    """District codes that several states use, and state names that several codes bear."""
+    reused = normalize.reused_district_codes(read_table(spark, root, "district_master"))
+    shared = normalize.shared_state_names(read_table(spark, root, "state_master"))
+    return union_checks(*[
+        df.select(F.lit(kind).alias("note"), "academic_year", F.col(name).alias("value"), "first_state", "last_state")
+        for kind, df, name in (("district code in several states", reused, "district_cd"),
+                               ("name of several states", shared, "state_name"))])
+
+
 def publish_dimensions(
     spark: SparkSession, root: str, run_id: str, management_source: DataFrame,
     refresh_management: bool = False,
@@ -182,8 +210,8 @@ def publish_dimensions(
     def model_checks(staged):
         return union_checks(
             dims.period_checks(staged["dim_academic_year"]),
-            missing_key_check("dim_management:ids_in_use", register,
-                              staged["dim_management"], ["management_center_id"]),
+            CheckPlan().known("dim_management:ids_in_use", register,
+                              staged["dim_management"], ["management_center_id"]).frame(),
             scd2_invariants(staged["dim_school_scd2"], ["udise_sch_code"], "dim_school_scd2"),
         )
 
@@ -202,6 +230,12 @@ def publish_dimensions(
                    may_be_empty=[tables.SCHOOL_AUDIT.table])
 
 
+def _rows(spark: SparkSession, root: str, table: str) -> int:
+    """Rows of a published table, as its commit recorded them."""
+    recorded = (latest_commit(spark, root).rows or {}).get(table)
+    return read_table(spark, root, table).count() if recorded is None else recorded
+
+
 def publish_student_fact(
     spark: SparkSession, root: str, run_id: str, now: datetime | None = None
 ) -> Commit:
@@ -214,8 +248,8 @@ def publish_student_fact(
     return publish(
         spark, root, f"{run_id}-student-fact", [(tables.FACT_STUDENT, fact)],
         keep_history=[tables.FACT_STUDENT.table], now=now,
-        checks=lambda staged: facts.fact_student_checks(
-            enrollment, staged["fact_enrollment"]))
+        expected_rows={tables.FACT_STUDENT.table: _rows(spark, root, "enrollment_social_category")},
+        checks=lambda staged: facts.student_fact_rules(staged["fact_enrollment"]))
 
 
 def publish_student_reports(spark: SparkSession, root: str, run_id: str) -> Commit:
@@ -227,9 +261,8 @@ def publish_student_reports(spark: SparkSession, root: str, run_id: str) -> Comm
     fact = read_table(spark, root, "fact_enrollment")
     state, management, category = (
         read_table(spark, root, t) for t in ("dim_state", "dim_management", "dim_category"))
-    enforce(union_checks(
-        facts.dimension_key_checks(state, management, category),
-        facts.mapping_audit(fact, state, management, category)))
+    facts.dimension_key_plan(state, management, category).add(
+        facts.mapping_plan(fact, state, management, category)).enforce()
     cube = write_once(reports.enrollment_cube(fact), "cube")
     outputs = [
         (tables.REPORT_MANAGEMENT, reports.report_management(cube, state, management)),
@@ -237,7 +270,7 @@ def publish_student_reports(spark: SparkSession, root: str, run_id: str) -> Comm
     ]
     return publish(
         spark, root, f"{run_id}-student-reports", outputs,
-        checks=lambda staged: reports.student_report_checks(
+        checks=lambda staged: reports.student_report_plan(
             staged["enrollment_by_management"], staged["enrollment_by_category"]))
 
 
@@ -264,8 +297,12 @@ def build_teacher(
     counts = scan.union_periods(
         [normalize.normalize_counts(d.tables[TEACHER_TABLE], d.period) for d in drops],
         allow_missing=False)
+    sizes = CheckPlan()
+    for d in drops:
+        sizes.count(d.period, d.tables[TEACHER_TABLE])
     publish(spark, root, f"{run_id}-teachers", [(tables.TEACHERS, counts)],
             keep_history=[tables.TEACHERS.table], now=now,
+            expected_rows={tables.TEACHERS.table: sum(n for n, _ in sizes.findings().values())},
             checks=lambda staged: normalize.counts_checks(staged["staff_snapshot"]))
     sources = [read_table(spark, root, t) for t in (
         "staff_snapshot", "school_master_snapshot", "state_master",
@@ -274,8 +311,8 @@ def build_teacher(
     publish(spark, root, f"{run_id}-teacher-fact",
             [(tables.FACT_TEACHER, facts.fact_teacher(*sources))],
             keep_history=[tables.FACT_TEACHER.table], now=now,
-            checks=lambda staged: facts.fact_teacher_checks(
-                sources[0], staged["fact_staff"]))
+            expected_rows={tables.FACT_TEACHER.table: _rows(spark, root, "staff_snapshot")},
+            checks=lambda staged: facts.teacher_fact_rules(staged["fact_staff"]))
     fact = read_table(spark, root, "fact_staff")
     outputs = [
         (tables.TEACHER_MANAGEMENT, reports.teacher_report_management(fact)),
@@ -283,5 +320,5 @@ def build_teacher(
     ]
     return publish(
         spark, root, f"{run_id}-teacher-reports", outputs,
-        checks=lambda staged: reports.teacher_report_checks(
+        checks=lambda staged: reports.teacher_report_plan(
             fact, staged["staff_by_management"], staged["staff_by_category"]))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from snapledger.functions.casts import readable
 from snapledger.functions.labels import SOCIAL_CATEGORIES, choose, is_blank, safe_string
 from snapledger.functions.measures import METRICS
+from snapledger.operators.checkplan import CheckPlan
 from snapledger.operators.checks import (
     collapse_duplicates,
     conflict_check,
@@ -151,11 +152,15 @@ def normalize_category(raw: DataFrame, period: str | Column, lineage: Lineage) -
     return _one_each(rows, "academic_year", "sch_category_id")
 
 
-def category_checks(categories: DataFrame) -> DataFrame:
-    return count_bad(categories, {
+def category_rules() -> dict[str, Column]:
+    return {
         "category:name_required": is_blank(F.col("category_name")),
         "category:id_required": F.col("sch_category_id").isNull(),
-    })
+    }
+
+
+def category_checks(categories: DataFrame) -> DataFrame:
+    return count_bad(categories, category_rules())
 
 
 def school_rows(raw: DataFrame, period: str | Column, lineage: Lineage) -> DataFrame:
@@ -206,6 +211,46 @@ def snapshot_checks(raw: DataFrame, period: str | Column, lineage: Lineage) -> D
     return union_checks(*parts)
 
 
+def snapshot_plan(raw: DataFrame, prefix: str) -> CheckPlan:
+    """The findings of ``snapshot_checks`` and ``blank_codes`` from one scan of a raw register."""
+    c = resolve_columns(raw, SCHOOL_ROLES)
+    numbers = {role: c[role] for role in ("category", "status") if c[role]}
+    typed = raw.select(
+        _text(c["code"]).alias("udise_sch_code"), _text(c["name"]).alias("school_name"),
+        _text(c["state"]).alias("state_cd"), _text(c["district"]).alias("district_cd"),
+        _number(raw, c["category"]).alias("sch_category_id"),
+        _number(raw, c["management"]).alias("management_center_id"),
+        _number(raw, c["status"]).alias("school_status"),
+        *[(F.col(name).isNotNull() & _number(raw, name).isNull()).alias(f"_bad_{role}")
+          for role, name in numbers.items()])
+    coded = F.coalesce(F.length("udise_sch_code") > 0, F.lit(False))
+    rules = {f"school:{n}_required": F.col(n).isNull() | (F.length(n) == 0) for n in ("state_cd", "district_cd")}
+    rules["school:management_center_id_required"] = F.col("management_center_id").isNull()
+    return (
+        CheckPlan()
+        .rules(typed, {f"{prefix}{name}": coded & bad for name, bad in rules.items()})
+        .rules(typed, {f"{prefix}school:{role}_number": F.col(f"_bad_{role}") for role in numbers})
+        .conflict(f"{prefix}school:conflicting_duplicates", typed, ["udise_sch_code"], SCHOOL_ATTRIBUTES, coded)
+        .count(f"{prefix}school:rows", typed)
+        .tally(typed, {f"{prefix}school:blank_code_left_out": ~coded})
+    )
+
+
+def metric_plan(raw: DataFrame, prefix: str) -> CheckPlan:
+    """The findings of ``metric_checks`` and the number of rows that the snapshot will hold."""
+    c = resolve_columns(raw, ENROLLMENT_ROLES)
+    return (
+        CheckPlan().rules(raw, {f"{prefix}{name}": bad for name, bad in _metric_rules(raw).items()})
+        .count(f"{prefix}enrollment:rows", raw)
+        .tally(raw, {f"{prefix}enrollment:wanted": _wanted(raw, c)})
+    )
+
+
+def _wanted(raw: DataFrame, c: dict[str, str | None]) -> Column:
+    """Rows of the social categories."""
+    return (_number(raw, c["group"]) == 1) & _number(raw, c["item"]).isin(*SOCIAL_CATEGORIES)
+
+
 def normalize_measures(raw: DataFrame, period: str | Column, lineage: Lineage) -> DataFrame:
     """Enrollment by school and social category.
 
@@ -217,8 +262,7 @@ def normalize_measures(raw: DataFrame, period: str | Column, lineage: Lineage) -
     pre_primary = any(metric[f"pp{n}_{s}"] for n in (1, 2, 3) for s in ("b", "g"))
     transgender = any(metric[m] for m in METRICS if m.endswith("_t"))
     item = _number(raw, c["item"])
-    wanted = (_number(raw, c["group"]) == 1) & item.isin(*SOCIAL_CATEGORIES)
-    return raw.filter(wanted).select(
+    return raw.filter(_wanted(raw, c)).select(
         _period(period), _text(c["code"]).alias("udise_sch_code"),
         _number(raw, c["group"]).alias("item_group"), item.alias("item_id"),
         choose(item, SOCIAL_CATEGORIES).alias("social_category"),
@@ -234,13 +278,17 @@ def metric_checks(raw: DataFrame) -> DataFrame:
     """Metrics, groups and items that are not whole numbers: a row with such a group or item
     would be left out as of another kind. Repeated keys, even identical ones, break the
     contract of the stored table."""
+    return count_bad(raw, _metric_rules(raw))
+
+
+def _metric_rules(raw: DataFrame) -> dict[str, Column]:
     c = resolve_columns(raw, ENROLLMENT_ROLES)
     names = [n for m in METRICS if (n := first_present(raw.columns, Alias((m,))))]
     kinds = {**{n: "bigint" for n in names}, c["group"]: "int", c["item"]: "int"}
-    return count_bad(raw, {
+    return {
         f"enrollment:{n}_number": F.col(n).isNotNull() & _number(raw, n, kind).isNull()
         for n, kind in kinds.items()
-    })
+    }
 
 
 def blank_codes(raw: DataFrame) -> DataFrame:

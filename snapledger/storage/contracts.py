@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapledger.functions.casts import readable
-from snapledger.operators.checks import count_bad, duplicate_key_check, union_checks
+from snapledger.operators.checkplan import CheckPlan
 
 
 REJECTED = "_rejected"
@@ -86,7 +86,8 @@ class Contract:
             for f in self.ordered if stored[f.name] != T.DataType.fromDDL(f.type)
         }
 
-    def _rules(self, df: DataFrame) -> dict[str, Column]:
+    def rules(self, df: DataFrame) -> dict[str, Column]:
+        """Conditions that mark a bad row, by name of the check."""
         rules = {}
         for f in self.ordered:
             if not f.nullable:
@@ -101,8 +102,8 @@ class Contract:
         return rules
 
     def violations(self, df: DataFrame) -> DataFrame:
-        """(check, n_checked, n_bad): all column rules in one pass, plus key uniqueness."""
-        return union_checks(
-            count_bad(df, self._rules(df)),
-            duplicate_key_check(f"{self.table}:unique_key", df, self.keys),
-        )
+        """(check, n_checked, n_bad): all column rules and key uniqueness, in one pass."""
+        return self.register(CheckPlan(), df).frame()
+
+    def register(self, plan: CheckPlan, df: DataFrame) -> CheckPlan:
+        return plan.rules(df, self.rules(df)).unique(f"{self.table}:unique_key", df, self.keys)

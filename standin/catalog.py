@@ -298,7 +298,7 @@ def history_step(spark, sf_dir):
     """All years but the last as history, then one step with the last year's register."""
     *before, (last, stamp) = st.runs(spark, sf_dir)
     latest = _register(spark, sf_dir).filter(st.year() == last).drop("academic_year")
-    return history.history_step(_chain(spark, sf_dir, before), latest, KEY, F.lit(stamp))
+    return history.history_step(_chain(spark, sf_dir, before), latest, KEY, F.lit(stamp), checked=True)
 
 
 @query
@@ -308,8 +308,8 @@ def history_baseline(spark, sf_dir):
     keys = ["academic_year", "udise_sch_code"]
     existing = _register(spark, sf_dir)
     settled = st.settled_schools(spark, sf_dir).select(*HISTORY_COLUMNS)
-    base = history.history_baseline(None, existing, keys, F.lit("2002-01-01 00:00:00"))
-    return history.history_step(base, settled, keys, F.lit("2002-02-01 00:00:00"))
+    base = history.history_baseline(None, existing, keys, F.lit("2002-01-01 00:00:00"), checked=True)
+    return history.history_step(base, settled, keys, F.lit("2002-02-01 00:00:00"), checked=True)
 
 
 @query
@@ -454,10 +454,9 @@ def recon_row_math(spark, sf_dir):
     parts = list(stages.STAGES)
     genders = ["total_boys", "total_girls", "total_transgender"]
     return checks.count_bad(fact, {
-        "stages": F.col("total_enrollment") != sum((F.col(c) for c in parts), F.lit(0)),
-        "genders": F.col("total_enrollment") != sum((F.col(c) for c in genders), F.lit(0)),
-        "without_secondary":
-            F.col("total_enrollment") != sum((F.col(c) for c in parts[:3]), F.lit(0)),
+        "stages": reconcile.not_sum("total_enrollment", parts),
+        "genders": reconcile.not_sum("total_enrollment", genders),
+        "without_secondary": reconcile.not_sum("total_enrollment", parts[:3]),
     })
 
 
@@ -488,14 +487,11 @@ def validation_summary(spark, sf_dir):
     cube = workdir.write_once(reports.enrollment_cube(fact), "cube")
     by_management = workdir.write_once(reports.report_management(cube, state, management), "report")
     by_category = workdir.write_once(reports.report_category(cube, state, management, category), "report")
-    return checks.union_checks(
-        checks.not_empty_check("fact_student:not_empty", fact),
-        reconcile.row_math(
-            fact, "total_enrollment", list(stages.STAGES), "fact_student:row_math"),
-        facts.dimension_key_checks(state, management, category),
-        facts.mapping_audit(fact, state, management, category),
-        reports.student_report_checks(by_management, by_category),
-    )
+    return (
+        facts.student_fact_rules(fact).not_empty("fact_student:not_empty", fact)
+        .add(facts.dimension_key_plan(state, management, category))
+        .add(facts.mapping_plan(fact, state, management, category))
+        .add(reports.student_report_plan(by_management, by_category)).frame())
 
 
 # --- corrections, rejects, tolerance -------------------------------------------------------

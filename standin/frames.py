@@ -87,8 +87,10 @@ def runs(spark: SparkSession, sf_dir: str) -> list[tuple[str, str]]:
 
 
 def _each_period(df: DataFrame, sf_dir: str) -> DataFrame:
-    labels = F.array(*[F.lit(p) for p in periods(df.sparkSession, sf_dir)]).cast("array<string>")
-    return df.withColumn("academic_year", F.explode(labels))
+    """Every row once for each period of the orders, which a subquery of the same query collects:
+    one label per calendar year."""
+    seen = period_orders(df.sparkSession, sf_dir).agg(F.collect_set("academic_year").alias("labels"))
+    return df.withColumn("academic_year", F.explode(seen.scalar()))
 
 
 def raw_states(spark, sf_dir):
