@@ -467,9 +467,17 @@ def history_chain(
 
 
 def history_lookup(history: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """All versions of the wanted keys, in version order per key."""
-    return history.join(wanted.select(*keys).distinct(), list(keys), "left_semi").orderBy(
-        *keys, "version_no")
+    """All versions of the wanted keys: those of one key together, in version order. Clustering
+    the hits is enough for that; a global order would have to sample them first."""
+    hits = history.join(wanted.select(*keys).distinct(), list(keys), "left_semi")
+    return hits.repartition(*keys).sortWithinPartitions(*keys, "version_no")
+
+
+def lookup_filter(wanted: Sequence[Mapping[str, object]]) -> Column:
+    """Rows with one of the given keys, as comparisons that a Parquet scan can test against the
+    least and the greatest key of a row group."""
+    return reduce(lambda a, b: a | b, [
+        reduce(lambda a, b: a & b, [F.col(k) == F.lit(v) for k, v in key.items()]) for key in wanted])
 
 
 def run_history(

@@ -98,6 +98,16 @@ def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
     return _open(spark, commit, table)
 
 
+def read_versions(
+    spark: SparkSession, root: str, table: str, wanted: Sequence[Mapping[str, object]]
+) -> DataFrame:
+    """All versions of a few keys. Histories are stored sorted by key, so the scan skips the row
+    groups that hold none of them. For very many keys use ``history.history_lookup``."""
+    if not wanted:
+        raise ValueError("no key to look up")
+    return read_table(spark, root, f"{table}_history").filter(hist.lookup_filter(wanted))
+
+
 def ready_checks(spark: SparkSession, root: str, tables: Sequence[str]) -> DataFrame:
     """Published and not empty, for each table; an unpublished table raises. The commit knows
     the rows of its tables; those of an older commit without counts are read."""
