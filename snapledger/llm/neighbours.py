@@ -12,8 +12,9 @@ the same norm. Equal vectors form one entry with their smallest ids. Queries and
 to pairs of blocks; the best of each pair of blocks are ranked again over all.
 
 Vectors that are null, zero, or hold null or non-finite components take no part, nor do rows without
-id or vectors of another length than most. Repeated ids are candidates of their own, but never for
-their own id.
+id or vectors of another length than most. Rows that repeat an id are candidates of their own, but
+never for their own id; as queries they ask together, and a candidate has its best score with any of
+them. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -78,8 +79,13 @@ class Index:
         self.entries, self.project, self.norm = entries, project, norm
         self.verified = 0
 
-    def search(self, queries: np.ndarray, k: int, confidence: float) -> tuple[np.ndarray, np.ndarray]:
-        """Row numbers and inner products of the best entries met, best first; -1 where there are fewer."""
+    def search(self, queries: np.ndarray, k: int, confidence: float, own: np.ndarray | None = None,
+               only: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Row numbers and inner products of the best entries met, best first; -1 where there are fewer.
+
+        ``only`` has each entry's first id and whether it has no other; an entry whose only id is the
+        query's ``own`` is no candidate, so it is left out before the best are cut off.
+        """
         reach = chi_square_quantile(confidence, self.project.shape[1])
         # a query is brought to the entries' norm; this keeps the order of its inner products
         lengths = np.linalg.norm(queries, axis=1)
@@ -106,6 +112,9 @@ class Index:
                 members, ids = active[leaf_of == leaf], self.leaves[leaf]
                 products = queries[members] @ self.entries[ids].T
                 self.verified += products.size
+                if own is not None:
+                    mine = (only[ids, 0][None, :] == own[members][:, None]) & (only[ids, 1] == 1)[None, :]
+                    products = np.where(mine, -np.inf, products)
                 scores = np.hstack([best[members], products])
                 both = np.hstack([rows[members], np.broadcast_to(ids, products.shape)])
                 top = np.lexsort((both, -scores), axis=1)[:, :k]  # ties to the earlier entry
@@ -113,6 +122,7 @@ class Index:
                 rows[members] = np.take_along_axis(both, top, axis=1)
         # once more in one order of summation, whatever the leaf was multiplied with
         exact = np.einsum("qd,qkd->qk", queries, self.entries[rows])
+        rows = np.where(best > -np.inf, rows, -1)
         return rows, np.where(rows >= 0, exact, -np.inf)
 
 
@@ -141,10 +151,12 @@ def search(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
     query_blocks = 1 + (facts["queries"] - 1) // query_block if facts["queries"] else 1
     project = np.random.default_rng(SEED).standard_normal((size + 1, projections))
 
-    # equal vectors are one entry with the ids that can appear in a result
-    first_ids = Window.partitionBy("v").orderBy("vec_id")
+    # equal vectors are one entry with the ids that can appear in a result: of each id k rows at most,
+    # so that twice as many rows leave k whichever id the query has
+    of_id, first_ids = Window.partitionBy("v", "vec_id").orderBy("vec_id"), Window.partitionBy("v").orderBy("vec_id")
     entries = (
-        clean.withColumn("_n", F.row_number().over(first_ids)).filter(F.col("_n") <= k + 1)
+        clean.withColumn("_n", F.row_number().over(of_id)).filter(F.col("_n") <= k)
+        .withColumn("_n", F.row_number().over(first_ids)).filter(F.col("_n") <= 2 * k)
         .groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
         .withColumn("e", F.pmod(F.xxhash64("v"), F.lit(blocks)).cast("int"))
         .withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
@@ -162,16 +174,28 @@ def search(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
         left = left.assign(first=[ids[0] for ids in left.ids]).sort_values("first")
         index = Index(np.array(left.v.tolist()), project, norm)
         ids = left.ids.tolist()
+        only = np.array([[x[0], x[0] == x[-1]] for x in ids], np.int64)
+        right = right.sort_values("vec_id", kind="stable")
+        own_ids, asks = right.vec_id.to_numpy(), np.array(right.v.tolist())
         out: list[tuple] = []
-        own_ids, asks = right.vec_id.tolist(), np.array(right.v.tolist())
+        met: dict[tuple[int, int], float] = {}  # of the query at hand: (entry, place in it) and score
+
+        def leave(own: int) -> None:
+            mine = sorted((-mark, ids[at][place]) for (at, place), mark in met.items())
+            out.extend((own, other, -mark) for mark, other in mine[:k])
+            met.clear()
+
         for start in range(0, len(asks), 512):
-            # one more than asked for: the query itself may be among them
-            rows, scores = index.search(asks[start:start + 512], k + 1, confidence)
-            for own, found, marks in zip(own_ids[start:start + 512], rows.tolist(), scores.tolist(), strict=True):
-                mine = [(own, other, mark) for at, mark in zip(found, marks, strict=True) if at >= 0
-                        for other in ids[at] if other != own]
-                mine.sort(key=lambda r: (-r[2], r[1]))
-                out += mine[:k]
+            part = slice(start, start + 512)
+            rows, scores = index.search(asks[part], k, confidence, own_ids[part], only)
+            for n, (found, marks) in enumerate(zip(rows.tolist(), scores.tolist(), strict=True), start):
+                if n and own_ids[n] != own_ids[n - 1]:
+                    leave(int(own_ids[n - 1]))
+                for at, mark in zip(found, marks, strict=True):
+                    for place, other in enumerate(ids[at] if at >= 0 else []):
+                        if other != own_ids[n]:
+                            met[at, place] = max(mark, met.get((at, place), mark))
+        leave(int(own_ids[-1]))
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
     met = entries.groupBy("e", "q").cogroup(asked.groupBy("e", "q")).applyInPandas(

@@ -67,3 +67,18 @@ def test_few_candidates_and_empty_table(spark):
 def test_chi_square():
     assert abs(neighbours.chi_square_quantile(0.95, 16) - 26.296) < 1e-2
     assert abs(neighbours.chi_square_cdf(np.array(15.338), 16) - 0.5) < 1e-3
+
+
+def test_repeated_ids_leave_no_gap(spark):
+    rng = np.random.default_rng(9)
+    own = [(20, rng.standard_normal(4).tolist()) for _ in range(40)]
+    others = [(21 + i, rng.standard_normal(4).tolist()) for i in range(19)] + [
+        (41 + i, rng.standard_normal(4).tolist()) for i in range(19)]
+    got = run(spark, own + others, entry_block=30)
+    asked = [np.array(v, np.float32).astype(float) for _, v in own]
+    best = sorted((-max(float(q @ np.array(v, np.float32).astype(float)) for q in asked), i) for i, v in others)
+    assert list(got) == [20] and [j for j, _ in got[20]] == [i for _, i in best[:20]]
+    same = [1.0, 2.0, 0.5]
+    assert [j for j, _ in run(spark, [(20, same)] * 30 + [(21, same), (22, same)])[20]] == [21, 22]
+    got = run(spark, [(20, same)] * 30 + [(21, same)] * 30 + [(40, same)] * 30)
+    assert [j for j, _ in got[20]] == [21] * 20 and [j for j, _ in got[40]] == [20] * 20
