@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from snapledger.storage.workdir import new_dir, write_once
 
-__all__ = ["fold", "new_dir", "pick", "rank_within", "table", "text_of", "word_hashes", "words", "write_once"]
+__all__ = ["each_text", "fold", "new_dir", "pick", "rank_within", "table", "text_of", "word_hashes", "words", "write_once"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +39,12 @@ def words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
+def each_text(column: pa.Array, size: int = 128) -> Iterator[list[str]]:
+    """The texts of an Arrow column, some at a time, so that a batch is never held twice; null is empty."""
+    for start in range(0, len(column), size):
+        yield ["" if text is None else text for text in column.slice(start, size).to_pylist()]
+
+
 def word_hashes(tokens: Iterable[bytes], count: int) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, tokens), np.uint64, count)
 

@@ -31,7 +31,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from snapledger.llm.common import pick, text_of, word_hashes, words, write_once
+from snapledger.llm.common import each_text, pick, text_of, word_hashes, words, write_once
 from snapledger.llm.components import components
 
 WORDS, PERCENT = 5, 75
@@ -88,17 +88,17 @@ def similar(a: np.ndarray, b: np.ndarray, pieces: int = 16) -> bool:
 
 def bucket_counts(texts: DataFrame) -> np.ndarray:
     """Occurrences by hashed bucket over all documents; ``BUCKETS`` numbers, whatever the input."""
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(BUCKETS, np.int64)
-        for df in frames:
-            for text in df.text:
-                total += np.bincount((shingles(text) & np.uint64(BUCKETS - 1)).astype(np.int64),
-                                     minlength=BUCKETS)
+        for batch in batches:
+            for some in each_text(batch["text"]):
+                found = np.concatenate([shingles(text) for text in some])
+                total += np.bincount((found & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
         at = np.flatnonzero(total)
-        yield pd.DataFrame({"bucket": at, "n": total[at]})
+        yield pa.record_batch([pa.array(at), pa.array(total[at])], names=["bucket", "n"])
 
     out = np.zeros(BUCKETS, np.int64)
-    rows = texts.select("text").mapInPandas(count, "bucket long, n long").groupBy("bucket").agg(
+    rows = texts.select("text").mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(
         F.sum("n").alias("n")).collect()
     for r in rows:
         out[r["bucket"]] = r["n"]
@@ -109,11 +109,12 @@ def signed(texts: DataFrame, counts: np.ndarray) -> DataFrame:
     """(doc_id, n, node, prefix), the prefix rarest first and only with a node's first row with an id in a task."""
     shared = texts.sparkSession.sparkContext.broadcast(counts)
 
-    def sign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for df in frames:
+        for batch in batches:
             sizes, nodes, prefixes = [], [], []
-            for without_id, text in zip(df.doc_id.isna(), df.text, strict=True):
+            texts_here = (text for some in each_text(batch["text"]) for text in some)
+            for without_id, text in zip(batch["doc_id"].is_null().to_pylist(), texts_here, strict=True):
                 found = shingles(text)
                 node = node_of(found)
                 sizes.append(len(found))
@@ -128,10 +129,11 @@ def signed(texts: DataFrame, counts: np.ndarray) -> DataFrame:
                 first = np.lexsort((found, often))[:prefix_length(len(found))]
                 # 48 bits are enough to propose pairs
                 prefixes.append((found[first] & _LOW48).astype(np.int64))
-            yield pd.DataFrame({"doc_id": df.doc_id, "n": sizes,
-                                "node": pd.array(nodes, "Int64"), "prefix": prefixes})
+            yield pa.record_batch([
+                batch["doc_id"], pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()),
+                pa.array(prefixes, pa.list_(pa.int64()))], names=["doc_id", "n", "node", "prefix"])
 
-    return texts.mapInPandas(sign, "doc_id long, n long, node long, prefix array<long>")
+    return texts.mapInArrow(sign, "doc_id long, n long, node long, prefix array<long>")
 
 
 def _possible(n: Column, at: Column, other_n: Column, other_at: Column) -> Column:
@@ -180,18 +182,36 @@ def _read(packed: bytes) -> np.ndarray:
     return shingles(zstandard.decompress(packed).decode("utf-8", "surrogatepass"))
 
 
-def packed_texts(ids: DataFrame, texts: DataFrame) -> DataFrame:
+def homes_of(rows: DataFrame) -> DataFrame:
+    """(node, home): a document that holds each node, of rows (doc_id, node)."""
+    return rows.filter(F.col("node").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("home"))
+
+
+def _in_mask(ids: pa.Array, mask: np.ndarray) -> np.ndarray:
+    """Which ids may be in a mask; a null is not."""
+    bit = np.mod(ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), MASK_BITS)
+    hit = (mask[bit >> 5] >> (bit & 31).astype(np.uint32) & 1).astype(bool)
+    return hit & ids.is_valid().to_numpy(zero_copy_only=False)
+
+
+def packed_texts(ids: DataFrame, texts: DataFrame, homes: DataFrame) -> DataFrame:
     """(node, n, packed): a text of each node in ``ids`` (id) with its number of shingles.
 
-    A filter of fixed size over the nodes that occur keeps most other texts out of the shuffle.
+    Filters of fixed size over the documents and the nodes that occur keep most other texts from
+    being cut into shingles and out of the shuffle.
     """
-    shared = ids.sparkSession.sparkContext.broadcast(id_mask(ids))
+    ids = write_once(ids.select("id").distinct(), "wanted")
+    context = ids.sparkSession.sparkContext
+    shared = context.broadcast(id_mask(ids))
+    shared_homes = context.broadcast(id_mask(
+        ids.join(homes.withColumnRenamed("node", "id"), "id").select(F.col("home").alias("id"))))
 
-    def needed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer, wanted, seen = zstandard.ZstdCompressor(), shared.value, set()
-        for df in frames:
+        for batch in batches:
             out = []
-            for text in df.text:
+            column = batch["text"].filter(pa.array(_in_mask(batch["doc_id"], shared_homes.value)))
+            for text in (text for some in each_text(column) for text in some):
                 found = shingles(text)
                 node = node_of(found)
                 bit = node % MASK_BITS
@@ -201,14 +221,17 @@ def packed_texts(ids: DataFrame, texts: DataFrame) -> DataFrame:
                     seen.clear()
                 seen.add(node)
                 out.append((node, len(found), packer.compress(text.encode("utf-8", "surrogatepass"))))
-            yield pd.DataFrame(out, columns=["node", "n", "packed"])
+            columns = list(zip(*out, strict=True)) if out else [[]] * 3
+            types = [pa.int64(), pa.int64(), pa.binary()]
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, types, strict=True)],
+                                  names=["node", "n", "packed"])
 
     # a node's texts differ at most in white space and case, one of them will do
-    own = texts.select("text").mapInPandas(needed, "node long, n long, packed binary")
+    own = texts.select("doc_id", "text").mapInArrow(needed, "node long, n long, packed binary")
     return own.groupBy("node").agg(F.first("n").alias("n"), F.min("packed").alias("packed"))
 
 
-def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, texts: DataFrame, homes: DataFrame) -> DataFrame:
     """The pairs (a, b) of nodes that link, from the texts themselves."""
     def verify(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         last, left = None, None
@@ -220,7 +243,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                 linked.append(similar(left, _read(packed_b)))
             yield df.loc[linked, ["a", "b"]]
 
-    one = packed_texts(pairs.select(F.explode(F.array("a", "b")).alias("id")), texts).drop("n")
+    one = packed_texts(pairs.select(F.explode(F.array("a", "b")).alias("id")), texts, homes).drop("n")
     left = pairs.join(one.withColumnsRenamed({"node": "b", "packed": "packed_b"}), "b")
     both = left.join(one.withColumnsRenamed({"node": "a", "packed": "packed_a"}), "a")
     return both.select("a", "b", "packed_a", "packed_b").mapInPandas(verify, "a long, b long")
@@ -321,7 +344,7 @@ def link_counts(rows: DataFrame, roots: DataFrame, texts: DataFrame) -> tuple[Da
         "node", F.coalesce("single", F.lit(0)).alias("single"), F.coalesce("special", F.lit(False)).alias("special")),
         "sizes")
     placed = roots.union(roots.select(F.col("root").alias("node"), "root").distinct())
-    packed = packed_texts(placed.select(F.col("node").alias("id")), texts)
+    packed = packed_texts(placed.select(F.col("node").alias("id")), texts, homes_of(rows))
     members = write_once(placed.join(packed, "node").join(sizes, "node"), "members")
     found = write_once(counted_links(members), "counted")
     near = found.filter("b is not null").select(F.col("a").alias("node"), F.col("b").alias("other")).union(
@@ -356,7 +379,8 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
         "node", "n", "at", F.col("p.node").alias("other"), F.col("p.weight").alias("o_weight"),
         F.col("p.n").alias("o_n"), F.col("p.at").alias("o_at"))
     tried = write_once(_few_pairs(met.filter((F.col("node") != F.col("other")) & other_possible)), "pairs")
-    linked = write_once(verified(tried, with_id_texts), "links")
+    homes = write_once(homes_of(with_id), "homes")
+    linked = write_once(verified(tried, with_id_texts, homes), "links")
     # all that are still in different components under one shingle
     open_ = write_once(_open(shared.select("shingle", "node", "n", "at"), components(linked)), "open")
     others = open_.select("shingle", F.col("node").alias("other"), F.col("n").alias("o_n"),
@@ -366,7 +390,7 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
         .filter((F.col("node") < F.col("other")) & (F.col("root") != F.col("o_root")) & other_possible)
         .select(*_ordered()).distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
     if not rest.isEmpty():
-        linked = linked.union(verified(rest, with_id_texts))
+        linked = linked.union(verified(rest, with_id_texts, homes))
     return rows.select("doc_id", "n", "node"), linked
 
 
@@ -407,7 +431,8 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", coun
         F.when(F.col("doc_id").isNotNull(), F.coalesce(merged["root"], F.col("least"))).alias("component_id"), "own_node")
     if not count_links:
         return out.drop("own_node")
-    texts = pick(docs, doc_id=id_col, text=text_col).filter(F.col("doc_id").isNotNull()).select(text_of().alias("text"))
+    texts = pick(docs, doc_id=id_col, text=text_col).filter(F.col("doc_id").isNotNull()).select(
+        F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     by_node, by_id = link_counts(with_id.filter(F.col("node").isNotNull()).select("doc_id", "node"), roots, texts)
     return out.join(by_node.withColumnRenamed("node", "own_node"), "own_node", "left").join(by_id, "doc_id", "left").select(
         "doc_id", "n_shingles", "component_id",
@@ -434,11 +459,7 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     def select(wanted: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                ids = batch[id_col].fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-                bit = np.mod(ids, MASK_BITS)
-                hit = (shared.value[bit >> 5] >> (bit & 31).astype(np.uint32) & 1).astype(bool)
-                hit &= batch[id_col].is_valid().to_numpy(zero_copy_only=False)
-                yield batch.filter(pa.array(hit == wanted))
+                yield batch.filter(pa.array(_in_mask(batch[id_col], shared.value) == wanted))
         return run
 
     sure = docs.mapInArrow(select(False), docs.schema)

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.functions import ArrowUDFType
 
-from snapledger.llm.common import fold, pick, text_of
+from snapledger.llm.common import each_text, fold, pick, text_of
 
 FOLDS = 5
 _SCALE = 2 ** 30
@@ -38,25 +38,27 @@ def sample(docs: DataFrame, labels: DataFrame, target: str, bound: int, folds: i
 def scores(docs: DataFrame, make: Callable[[], ScoreTexts], threshold: float, folds: int = FOLDS,
            id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, score, predicted of every row; null texts count as empty."""
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = make()
-        for df in frames:
-            yield pd.DataFrame({"doc_id": df.doc_id, "score": score(df.text.tolist())})
+        for batch in batches:
+            found = [x for texts in each_text(batch["text"]) for x in score(texts)]
+            yield pa.record_batch([batch["doc_id"], pa.array(found, pa.float64())], names=["doc_id", "score"])
 
     texts = pick(docs, doc_id=id_col, text=text_col).select(
         F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    return texts.mapInPandas(run, "doc_id long, score double").select(
+    return texts.mapInArrow(run, "doc_id long, score double").select(
         "doc_id", (fold("doc_id", folds) == 0).alias("held_out"), "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
 def keep(docs: DataFrame, make: Callable[[], ScoreTexts], wanted: Callable[[float], bool],
          text_col: str = "text") -> DataFrame:
-    """The rows, with all their columns, whose text's score is wanted."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows, with all their columns, whose text's score is wanted. Only texts go to Python, and
+    only verdicts come back."""
+    def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         score = make()
-        for batch in batches:
-            texts = ["" if text is None else text for text in batch[text_col].to_pylist()]
-            yield batch.filter(pa.array([bool(wanted(x)) for x in score(texts)], pa.bool_()))
+        for column in columns:
+            yield pa.array([bool(wanted(x)) for texts in each_text(column) for x in score(texts)], pa.bool_())
 
-    return docs.mapInArrow(run, docs.schema)
+    verdict = F.arrow_udf(run, "boolean", ArrowUDFType.SCALAR_ITER)
+    return docs.filter(verdict(F.col(f"`{text_col}`")))

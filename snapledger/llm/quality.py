@@ -28,7 +28,7 @@ from snapledger.llm import labelled
 SAMPLE, TERMS, RANK, NEIGHBOURS = 6_000, 1_024, 32, 15
 ROWS_BY_NEIGHBOUR = 40
 THRESHOLD = 0.3
-_BLOCK = 512
+_BLOCK = 128  # documents whose cosines are held at once
 _MANY = 1_000  # term counts are taken per so many words
 
 _CLASSES = bytearray(range(256))
