@@ -3,22 +3,30 @@
 Rules for hosts and path prefixes judge first and are the labels of what is learned. Each host's
 paths form a tree, and so do the paths of all hosts together. Level by level, below each template:
 
-* a segment stays only if it is frequent among its siblings; variable ones become a wildcard that
+* a segment that is met fewer than ``LEAST_COUNT`` times is variable and becomes a wildcard, which
   keeps a file extension;
-* a frequent segment is merged into the wildcard too unless its labels differ significantly from
-  its siblings' (two-proportion test), so similar branches are one.
-
-A template's purity is its share of allowed labels, smoothed towards that of the template that the
-URL has in the tree of all hosts, which is smoothed towards the share over all labels. Templates
-below ``LEAST_PURITY`` are rejected. Levels beyond ``DEPTH`` are one last segment.
-
-A null URL, or one without ``://``, has an empty host and path. Every row comes back, also rows
-with a repeated or null id. Counts are summed before anything is joined; a host with very many
-pages is one row per distinct path then.
+* segments whose labels don't differ significantly from their siblings' (two-proportion test) are
+  similar and are merged into the wildcard too;
+* where labels are missing on one side there is no evidence that branches are similar: a segment
+  without labels among labelled siblings stays apart, and so does a labelled one among siblings
+  without any.
+
+The trees are as deep as counts carry: below a template that is met fewer than ``LEAST_COUNT`` times
+all segments are wildcards. A template's purity is its share of allowed labels, smoothed towards that
+of the template that the URL has in the tree of all hosts, which is smoothed towards ``NEUTRAL``.
+Templates below ``LEAST_PURITY`` are rejected, so one that no label speaks against is not.
+
+Defined results: a null URL, or one without ``://``, has an empty host and path. Every row comes back,
+also rows with a repeated or null id; of rules of equal length the first in alphabetical order wins.
+Counts are summed before anything is joined; a host with very many pages is one row per distinct path
+then. Each round of a very deep path handles one level of those paths that still are frequent. Other
+columns are never read. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,8 +35,9 @@ from snapledger.llm.common import pick, write_once
 # (host, path prefix, verdict)
 RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
          ("com", "/fr/", "allow"), ("com", "/de/", "block"))
-DEPTH, LEAST_COUNT, LEAST_SHARE, Z_SQUARED = 4, 5, 0.02, 3.8416
-WEIGHT, LEAST_PURITY = 5.0, 0.5
+LEAST_COUNT, Z_SQUARED = 5, 3.8416
+WEIGHT, LEAST_PURITY, NEUTRAL = 5.0, 0.5, 0.5
+SQL_LEVELS = 12  # of the counterpart SQL, which can't go on as long as counts carry
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _EXTENSION = "\\.[A-Za-z0-9]{1,5}\\z"
 
@@ -55,6 +64,22 @@ def _first_rule(host: Column, path: Column, rules, pick_value) -> Column:
     return out
 
 
+def _wild(segment: Column) -> Column:
+    """The wildcard of a segment; an empty one, of a slash at the end, is not variable."""
+    return F.when(segment == "", "").otherwise(F.concat(F.lit("*"), F.regexp_extract(segment, _EXTENSION, 0)))
+
+
+def _apart(n: Column, labels: Column, blocked: Column, all_labels: Column, all_blocked: Column) -> Column:
+    """A segment stays itself: it is no variable, and nothing shows that it is like its siblings."""
+    others, others_blocked = all_labels - labels, all_blocked - blocked
+    gap = (blocked * others - others_blocked * labels).cast("double")
+    spread = (all_blocked * (all_labels - all_blocked)).cast("double")
+    differs = (gap != 0) & (
+        gap * gap * all_labels >= Z_SQUARED * spread * labels.cast("double") * others.cast("double"))
+    unknown = ((labels == 0) & (others > 0)) | ((labels > 0) & (others == 0))
+    return (n >= LEAST_COUNT) & (differs | unknown)
+
+
 def templates(urls: DataFrame) -> DataFrame:
     """(scope, host, path, template): of distinct (host, path, n, labels, blocked), within its host and,
     under the scope ``*``, within all hosts; with the template's labels ``t_labels`` and ``t_blocked``."""
@@ -63,33 +88,31 @@ def templates(urls: DataFrame) -> DataFrame:
     rows = named.withColumn("scope", F.explode(F.array(F.lit("h"), F.lit("*")))).select(
         F.when(F.col("scope") == "*", "*").otherwise(F.concat(F.lit("h"), "host")).alias("scope"),
         "host", "path", "n", "labels", "blocked", "seg", F.lit("").alias("template"))
-    for level in range(1, DEPTH + 1):
-        last = F.array_join(F.slice("seg", level, F.greatest(F.size("seg"), F.lit(1))), "/") if level == DEPTH \
-            else F.element_at("seg", level)
-        here = F.when(F.size("seg") >= level, last)
-        rows = write_once(rows.withColumn("s", here), "level")
-        sums = [F.sum(c).alias(c) for c in ("n", "labels", "blocked")]
-        children = rows.filter(F.col("s").isNotNull()).groupBy("scope", "template", "s").agg(*sums)
-        total = children.groupBy("scope", "template").agg(
-            *(F.sum(c).alias(f"all_{c}") for c in ("n", "labels", "blocked")))
-        others = F.col("all_labels") - F.col("labels")
-        others_blocked = F.col("all_blocked") - F.col("blocked")
-        gap = (F.col("blocked") * others - others_blocked * F.col("labels")).cast("double")
-        spread = (F.col("all_blocked") * (F.col("all_labels") - F.col("all_blocked"))).cast("double")
-        differs = (gap != 0) & (gap * gap * F.col("all_labels")
-                                >= Z_SQUARED * spread * F.col("labels").cast("double") * others.cast("double"))
-        frequent = (F.col("n") >= LEAST_COUNT) & (F.col("n") >= LEAST_SHARE * F.col("all_n"))
-        kept = children.join(total, ["scope", "template"]).filter(frequent & differs).select(
-            "scope", "template", "s", F.lit(True).alias("kept"))
-        wild = F.concat(F.lit("*"), F.regexp_extract("s", _EXTENSION, 0))
-        step = F.when(F.col("s").isNull(), "").otherwise(
-            F.concat(F.lit("/"), F.when(F.col("kept") | (F.col("s") == ""), F.col("s")).otherwise(wild)))
-        rows = rows.join(kept, ["scope", "template", "s"], "left").withColumn(
-            "template", F.concat("template", step)).drop("s", "kept")
-    rows = write_once(rows, "level")
-    by_template = rows.groupBy("scope", "template").agg(
+    facts = ("n", "labels", "blocked")
+    done, level = [], 0
+    while True:
+        level += 1
+        rows = write_once(rows, "level")
+        done.append(rows.filter(F.size("seg") < level).drop("seg"))
+        rows = rows.filter(F.size("seg") >= level)
+        if rows.isEmpty():
+            break
+        rows = rows.withColumn("s", F.element_at("seg", level))
+        children = rows.groupBy("scope", "template", "s").agg(*(F.sum(c).alias(c) for c in facts))
+        total = children.groupBy("scope", "template").agg(*(F.sum(c).alias(f"all_{c}") for c in facts))
+        judged = children.join(total, ["scope", "template"]).select(
+            "scope", "template", "s", _apart(*(F.col(c) for c in (*facts, "all_labels", "all_blocked"))).alias("apart"),
+            (F.col("all_n") < LEAST_COUNT).alias("rare"))
+        step = F.when(F.col("apart"), F.col("s")).otherwise(_wild(F.col("s")))
+        # nothing below a rare template is frequent, so its rows need no further rounds
+        end = F.array_join(F.transform(F.slice("seg", level, F.size("seg")), _wild), "/")
+        rows = rows.join(judged, ["scope", "template", "s"]).select(
+            "scope", "host", "path", *facts, F.when(~F.col("rare"), F.col("seg")).otherwise(F.array()).alias("seg"),
+            F.concat("template", F.lit("/"), F.when(F.col("rare"), end).otherwise(step)).alias("template"))
+    whole = write_once(reduce(DataFrame.unionByName, done), "templates")
+    by_template = whole.groupBy("scope", "template").agg(
         F.sum("labels").alias("t_labels"), F.sum("blocked").alias("t_blocked"))
-    return rows.select("scope", "host", "path", "template").join(by_template, ["scope", "template"])
+    return whole.select("scope", "host", "path", "template").join(by_template, ["scope", "template"])
 
 
 def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=RULES) -> DataFrame:
@@ -102,14 +125,11 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules
         "host", "path", "n", F.when(label.isNotNull(), F.col("n")).otherwise(0).alias("labels"),
         F.when(label == 1, F.col("n")).otherwise(0).alias("blocked")), "urls")
     found = templates(urls)
-    total = urls.agg(F.coalesce(F.sum("labels"), F.lit(0)).alias("labels"),
-                     F.coalesce(F.sum("blocked"), F.lit(0)).alias("blocked")).first()
-    share = (total["labels"] - total["blocked"] + 1) / (total["labels"] + 2)
 
     def smoothed(prior: Column) -> Column:
         return (F.col("t_labels") - F.col("t_blocked") + WEIGHT * prior) / (F.col("t_labels") + WEIGHT)
 
-    everywhere = found.filter(F.col("scope") == "*").select("host", "path", smoothed(F.lit(share)).alias("prior"))
+    everywhere = found.filter(F.col("scope") == "*").select("host", "path", smoothed(F.lit(NEUTRAL)).alias("prior"))
     own = found.filter(F.col("scope") != "*").join(everywhere, ["host", "path"]).select(
         "host", "path", "template", smoothed(F.col("prior")).alias("purity"))
     rule = _first_rule(F.col("host"), F.col("path"), rules, lambda r: r[0] + r[1])
@@ -119,8 +139,8 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules
         "template", F.round("purity", 9).alias("purity"))
 
 
-def oracle(rules=RULES) -> str:
-    """The same verdicts as DuckDB SQL."""
+def oracle(rules=RULES, levels: int = SQL_LEVELS) -> str:
+    """The same verdicts as DuckDB SQL, for paths of no more than ``levels`` segments."""
     def chain(index: int) -> str:
         cases = "".join(
             f" WHEN (host = '{name}' OR ends_with(host, '.{name}')) AND starts_with(path, '{prefix}')"
@@ -128,18 +148,17 @@ def oracle(rules=RULES) -> str:
         return f"CASE{cases} END"
 
     steps = ""
-    for level in range(1, DEPTH + 1):
-        here = f"array_to_string(seg[{level}:], '/')" if level == DEPTH else f"seg[{level}]"
+    for level in range(1, levels + 1):
         steps += f""",
-s{level} AS (SELECT *, CASE WHEN len(seg) >= {level} THEN {here} END AS s FROM r{level - 1}),
+s{level} AS (SELECT *, CASE WHEN len(seg) >= {level} THEN seg[{level}] END AS s FROM r{level - 1}),
 c{level} AS (SELECT scope, template, s, sum(n) AS n, sum(labels) AS labels, sum(blocked) AS blocked
     FROM s{level} WHERE s IS NOT NULL GROUP BY ALL),
 k{level} AS (SELECT scope, template, s FROM (SELECT *, labels::DOUBLE AS l, blocked::DOUBLE AS b,
-        sum(n) OVER w AS an, (sum(labels) OVER w)::DOUBLE AS al, (sum(blocked) OVER w)::DOUBLE AS ab
+        (sum(labels) OVER w)::DOUBLE AS al, (sum(blocked) OVER w)::DOUBLE AS ab
         FROM c{level} WINDOW w AS (PARTITION BY scope, template))
-    WHERE n >= {LEAST_COUNT} AND n >= {LEAST_SHARE}::DOUBLE * an AND b * (al - l) - (ab - b) * l <> 0
-    AND (b * (al - l) - (ab - b) * l) * (b * (al - l) - (ab - b) * l) * al
-        >= {Z_SQUARED}::DOUBLE * (ab * (al - ab)) * l * (al - l)),
+    WHERE n >= {LEAST_COUNT} AND ((l = 0 AND al > 0) OR (l > 0 AND al = l)
+      OR (b * (al - l) - (ab - b) * l <> 0 AND (b * (al - l) - (ab - b) * l) * (b * (al - l) - (ab - b) * l) * al
+        >= {Z_SQUARED}::DOUBLE * (ab * (al - ab)) * l * (al - l)))),
 r{level} AS (SELECT a.* EXCLUDE (s, template), a.template || CASE WHEN a.s IS NULL THEN '' ELSE '/' || CASE
         WHEN k.s IS NOT NULL OR a.s = '' THEN a.s
         ELSE '*' || regexp_extract(a.s, '{_EXTENSION}') END END AS template
@@ -154,10 +173,9 @@ urls AS (SELECT host, path, count(*) AS n, count(mark) AS labels, count(*) FILTE
     FROM marked GROUP BY ALL),
 r0 AS (SELECT CASE WHEN scope = '*' THEN '*' ELSE 'h' || host END AS scope, host, path, n, labels, blocked,
     string_split(path, '/')[2:] AS seg, '' AS template FROM urls, (VALUES ('h'), ('*')) v(scope)){steps},
-t AS (SELECT scope, template, sum(labels)::DOUBLE AS l, sum(blocked)::DOUBLE AS b FROM r{DEPTH} GROUP BY ALL),
-f AS (SELECT r.scope, r.host, r.path, r.template, t.l, t.b FROM r{DEPTH} r JOIN t USING (scope, template)),
-g AS (SELECT (sum(labels) - sum(blocked) + 1)::DOUBLE / (sum(labels) + 2)::DOUBLE AS share FROM urls),
-e AS (SELECT host, path, (l - b + {WEIGHT}::DOUBLE * share) / (l + {WEIGHT}::DOUBLE) AS prior FROM f, g WHERE scope = '*'),
+t AS (SELECT scope, template, sum(labels)::DOUBLE AS l, sum(blocked)::DOUBLE AS b FROM r{levels} GROUP BY ALL),
+f AS (SELECT r.scope, r.host, r.path, r.template, t.l, t.b FROM r{levels} r JOIN t USING (scope, template)),
+e AS (SELECT host, path, (l - b + {WEIGHT * NEUTRAL}::DOUBLE) / (l + {WEIGHT}::DOUBLE) AS prior FROM f WHERE scope = '*'),
 o AS (SELECT f.host, f.path, f.template, (l - b + {WEIGHT}::DOUBLE * prior) / (l + {WEIGHT}::DOUBLE) AS purity
     FROM f JOIN e USING (host, path) WHERE scope <> '*')
 SELECT page_id, host, path, rule, coalesce(mark, CASE WHEN purity < {LEAST_PURITY}::DOUBLE THEN 'block' ELSE 'allow' END) AS verdict,

@@ -73,6 +73,38 @@ def test_urls(spark, tmp_path):
     assert got[7]["path"] == got[10]["host"] == got[12]["path"] == "" and got[7]["rule"] is None
 
 
+def _verdicts(spark, tmp_path, urls, rules):
+    rows = [(i, u, "t", 1) for i, u in enumerate(urls)]
+    df = spark.createDataFrame(rows, "page_id long, url string, template string, seg int")
+    return both(spark, tmp_path, "pages", df, lambda d: url_tree.judge(d, rules=rules), url_tree.oracle(rules))
+
+
+def test_unlabelled_branches_are_not_merged_into_labelled_ones(spark, tmp_path):
+    urls = [f"http://a.com/de/{i}" for i in range(40)] + [f"http://a.com/en/{i}" for i in range(400)]
+    got = _verdicts(spark, tmp_path, urls, url_tree.RULES)
+    assert all(got[i]["verdict"] == ("block" if i < 40 else "allow") for i in range(440))
+    assert got[50]["template"] == "/en/*" and got[0]["template"] == "/de/*"
+
+
+def test_many_even_sections_keep_their_labels(spark, tmp_path):
+    """Sixty sections of one size, labelled in turn: no share of the host is too small to be told apart."""
+    rules = [("h.net", f"/s{k}/x", ("allow", "block")[k % 2]) for k in range(60)]
+    urls = [f"http://h.net/s{k}/{'x' * (i < 6)}{i}{k}" for k in range(60) for i in range(25)]
+    got = _verdicts(spark, tmp_path, urls, rules)
+    assert all(r["verdict"] == ("allow", "block")[int(r["path"].split("/")[1][1:]) % 2] for r in got.values())
+
+
+def test_branches_deep_in_a_path_are_told_apart(spark, tmp_path):
+    deep = "/".join("abcdefg")
+    rules = [("h.net", f"/{deep}/{x}/1", v) for x, v in (("good", "allow"), ("bad", "block"))]
+    urls = [f"http://h.net/{deep}/{x}/{i}" for x in ("good", "bad") for i in range(100, 160)]
+    urls += [f"http://h.net/{deep}/{x}/{i}" for x in ("good", "bad") for i in range(200, 230)]
+    urls += ["http://rare.net/" + "/".join("zyxwvutsrqp")]
+    got = _verdicts(spark, tmp_path, urls, rules)
+    assert [got[i]["verdict"] for i in (120, 149, 150, 179, 180)] == ["allow"] * 2 + ["block"] * 2 + ["allow"]
+    assert got[180]["template"] == "/*" * 11
+
+
 @pytest.mark.parametrize("run, name, schema", [
     (licences.scan, "documents", "doc_id long, text string"), (url_tree.judge, "pages", "page_id long, url string")])
 def test_empty_tables(spark, run, name, schema):
