@@ -30,6 +30,7 @@ import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.functions import ArrowUDFType
 
 from snapledger.llm.common import each_text, pick, text_of, word_hashes, words, write_once
 from snapledger.llm.components import components
@@ -456,14 +457,10 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     going = write_once(going, "going")
     shared = docs.sparkSession.sparkContext.broadcast(id_mask(going.select(F.col(f"{own}id").alias("id"))))
 
-    def select(wanted: bool):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                yield batch.filter(pa.array(_in_mask(batch[id_col], shared.value) == wanted))
-        return run
-
-    sure = docs.mapInArrow(select(False), docs.schema)
-    asked = docs.mapInArrow(select(True), docs.schema)
+    # only ids go to Python
+    in_question = F.arrow_udf(
+        lambda ids: pa.array(_in_mask(ids, shared.value)), "boolean", ArrowUDFType.SCALAR)(F.col(f"`{id_col}`"))
+    sure, asked = docs.filter(~in_question), docs.filter(in_question)
     rows = Window.partitionBy(f"`{id_col}`").orderBy(f"`{text_col}`", F.xxhash64(*(f"`{c}`" for c in docs.columns)))
     stay = (
         asked.join(going, F.col(f"`{id_col}`") == F.col(f"{own}id"), "left")
