@@ -234,20 +234,20 @@ def packed_texts(ids: DataFrame, texts: DataFrame, homes: DataFrame) -> DataFram
 
 def verified(pairs: DataFrame, texts: DataFrame, homes: DataFrame) -> DataFrame:
     """The pairs (a, b) of nodes that link, from the texts themselves."""
-    def verify(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, left = None, None
-        for df in frames:
+        for batch in batches:
             linked = []
-            for a, packed_a, packed_b in zip(df.a, df.packed_a, df.packed_b, strict=True):
-                if a != last:
-                    last, left = a, _read(packed_a)
-                linked.append(similar(left, _read(packed_b)))
-            yield df.loc[linked, ["a", "b"]]
+            for a, packed_a, packed_b in zip(*(batch[c] for c in ("a", "packed_a", "packed_b")), strict=True):
+                if last is None or a != last:
+                    last, left = a, _read(packed_a.as_py())
+                linked.append(similar(left, _read(packed_b.as_py())))
+            yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
     one = packed_texts(pairs.select(F.explode(F.array("a", "b")).alias("id")), texts, homes).drop("n")
     left = pairs.join(one.withColumnsRenamed({"node": "b", "packed": "packed_b"}), "b")
     both = left.join(one.withColumnsRenamed({"node": "a", "packed": "packed_a"}), "a")
-    return both.select("a", "b", "packed_a", "packed_b").mapInPandas(verify, "a long, b long")
+    return both.select("a", "b", "packed_a", "packed_b").mapInArrow(verify, "a long, b long")
 
 
 def link_matrix(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:

@@ -11,8 +11,12 @@ the id and text columns are read; repeated rows are scored alike.
 
 from __future__ import annotations
 
+from array import array
+from collections.abc import Collection, Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,19 +44,36 @@ def features(text: str) -> np.ndarray:
     return (mixed >> np.uint64(64 - BITS)).astype(np.int64)
 
 
-def learn(texts: list[str], marks: list[int], epochs: int = EPOCHS) -> dict[int, float]:
+class _Texts:
+    """Texts of an Arrow column in a given order, one at a time."""
+
+    def __init__(self, column: pa.ChunkedArray, order: np.ndarray):
+        self.column, self.order = column.combine_chunks(), order.tolist()
+
+    def __len__(self) -> int:
+        return len(self.order)
+
+    def __iter__(self) -> Iterator[str]:
+        return (self.column[i].as_py() for i in self.order)
+
+
+def learn(texts: Collection[str], marks: list[int], epochs: int = EPOCHS) -> dict[int, float]:
     """Weights other than zero, and the bias under ``BIAS``."""
     size = 1 << BITS
     z, n = np.zeros(size + 1), np.zeros(size + 1)
     held_by = np.zeros(size, np.int32)
     for text in texts:
         held_by[np.unique(features(text))] += 1
-    # only common features are kept, so hash once more rather than hold all
+    # only common features are kept, so hash once more rather than hold all; in one piece of memory,
+    # which goes back as a whole
     common = held_by >= max(2, len(texts) // ROWS_BY_DOC)
-    rows = []
+    flat, ends = array("i"), [0]
     for text in texts:
         found = features(text)
-        rows.append(np.append(np.unique(found[common[found]]), size).astype(np.int32))
+        flat.frombytes(np.append(np.unique(found[common[found]]), size).astype(np.int32).tobytes())
+        ends.append(len(flat))
+    kept = np.frombuffer(flat, np.int32)
+    rows = [kept[a:b] for a, b in zip(ends, ends[1:])]
     l1 = L1_BY_ROOT * np.sqrt(len(rows))
 
     def weights(at: np.ndarray) -> np.ndarray:
@@ -80,14 +101,14 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "toxic", bound: int
         return {}
     shards = max(1, round(n / SHARD_ROWS))
 
-    def fit(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["doc_id", "text"])
-        order = np.random.default_rng(0).permutation(len(group))
-        found = learn(group.text.to_numpy()[order].tolist(), group.y.to_numpy()[order].tolist())
-        return pd.DataFrame({"at": list(found), "weight": list(found.values())})
+    def fit(group: pa.Table) -> pa.Table:
+        ordered = pc.sort_indices(group, [("doc_id", "ascending"), ("text", "ascending")]).to_numpy()
+        order = ordered[np.random.default_rng(0).permutation(len(group))]
+        found = learn(_Texts(group["text"], order), group["y"].to_numpy()[order].tolist())
+        return pa.table({"at": pa.array(list(found), pa.int64()), "weight": pa.array(list(found.values()), pa.float64())})
 
     dealt = chosen.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)))
-    learned = dealt.groupBy("shard").applyInPandas(fit, "at long, weight double")
+    learned = dealt.groupBy("shard").applyInArrow(fit, "at long, weight double")
     # a shard's weights other than zero are summed; the others count as zero
     totals = learned.groupBy("at").agg(F.sum("weight").alias("weight")).collect()
     return {r["at"]: r["weight"] / shards for r in totals}
