@@ -20,6 +20,7 @@ from snapledger.operators.scd2 import scd2_invariants
 from snapledger.plans import dims, facts, reports, tables
 from snapledger.sources import normalize, scan
 from snapledger.sources.columns import schema_checks, schema_rules
+from snapledger.sources.footers import file_checks, file_report, file_schemas
 from snapledger.storage.publish import Commit, latest_commit, publish, read_table, ready_checks
 from snapledger.storage.workdir import write_once
 
@@ -87,14 +88,24 @@ def open_drops(
 
 
 def drop_checks(drop: Drop) -> DataFrame:
-    """Source schema rules of one drop."""
+    """Source schema rules of one drop; where its path is known, of every single file of it.
+
+    A file that calls or stores a column otherwise than the rest would be read as NULL.
+    """
     school = {r: a for r, a in normalize.SCHOOL_ROLES.items() if a.required}
     enrollment = {**normalize.ENROLLMENT_ROLES, **normalize.REQUIRED_METRICS}
     found = [(drop.school_table, school), ("sch_enr_fresh", enrollment)]
     if TEACHER_TABLE in drop.tables:
         found.append((TEACHER_TABLE, normalize.TEACHER_ROLES))
-    return schema_checks([
+    spark = drop.tables[drop.school_table].sparkSession
+    merged = schema_checks([
         schema_rules(f"{drop.period}/{table}", drop.tables[table], roles) for table, roles in found])
+    if not drop.path:
+        return merged
+    return union_checks(merged, *[
+        file_checks(file_report(
+            f"{drop.period}/{table}", file_schemas(spark, f"{drop.path}/{table}"), roles))
+        for table, roles in found])
 
 
 def drop_manifest(drops: list[Drop]) -> DataFrame:

@@ -6,10 +6,13 @@ import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from snapledger.sources.footers import column_types, file_schemas
+
 LAYOUT = "{root}/{period}/{table}"
 PRESENCE = "period string, run string, table string"
 
@@ -18,6 +21,10 @@ class SourceMissing(RuntimeError):
     pass
 
 
+class SchemaDrift(RuntimeError):
+    """Files of one drop store a column in types that cannot be read together."""
+
+
 def scan_annual(
     spark: SparkSession, root: str, period: str, table: str, layout: str = LAYOUT,
     merge_schema: bool = False,
@@ -25,7 +32,7 @@ def scan_annual(
     """One period's drop of one table.
 
     ``merge_schema`` opens the footer of every file; schema rules need it, plain reads of a
-    drop that passed them do not.
+    drop that passed them do not. Files whose types differ are then refused by column.
     """
     path = layout.format(root=root, period=period, table=table)
     try:
@@ -34,6 +41,14 @@ def scan_annual(
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         raise SourceMissing(f"{period}: no drop of {table} at {path}") from error
+    except (PySparkException, Py4JJavaError) as error:
+        if "CANNOT_MERGE_SCHEMAS" not in str(error):
+            raise
+        # as many rows as the table has columns and types
+        several = column_types(file_schemas(spark, path)).groupBy("column").agg(
+            F.sort_array(F.collect_list("type")).alias("types")).filter(F.size("types") > 1).collect()
+        found = sorted((r["column"], r["types"]) for r in several)
+        raise SchemaDrift(f"{period}: files of {table} differ in {found}") from error
 
 
 def scan_periods(

@@ -17,7 +17,7 @@ from snapledger.functions.labels import ALL_GEOGRAPHIES, ALL_MANAGEMENT
 from snapledger.functions.periods import period_label, period_start
 from snapledger.operators import checks, corrections, history, reconcile, scd2, totals
 from snapledger.plans import dims, facts, reports
-from snapledger.sources import columns, normalize, scan
+from snapledger.sources import columns, footers, normalize, scan
 from snapledger.sources.columns import Alias
 from snapledger.storage import publish, workdir
 from snapledger.storage.contracts import Contract, Field
@@ -119,6 +119,18 @@ def src_schema_contract(spark, sf_dir):
     return parts[0].unionByName(parts[1])
 
 
+@query
+def src_file_schema(spark, sf_dir):
+    """What each file's own footer says of the roles, files counted by what they hold."""
+    parts = [
+        footers.file_report(name, footers.file_schemas(spark, f"{sf_dir}/{name}.parquet"), rules)
+        for name, rules in SCHEMA_RULES.items()
+    ]
+    return parts[0].unionByName(parts[1]).groupBy(
+        "source_table", "role", "column_name", "column_type", "status").agg(
+        F.count(F.lit(1)).alias("n_files"))
+
+
 def _drop(spark, sf_dir, name):
     root, _, period = sf_dir.rstrip("/").rpartition("/")
     return spark, root, period, f"{name}.parquet"

@@ -138,6 +138,24 @@ def test_enrollment_of_unknown_schools_stops_the_snapshots(spark, built, tmp_pat
     assert latest_commit(spark, str(tmp_path)) is None
 
 
+def test_one_file_with_another_name_of_the_code_stops_the_snapshots(spark, built, tmp_path):
+    """Merged schemas have both names; rows of the second file would lose their code."""
+    drop = built[1][1]
+    path = tmp_path / "2025-26" / "sch_enr_fresh"
+    raw = drop.tables["sch_enr_fresh"]
+    code = next(c for c in raw.columns if c.lower() in ("udise_sch_code", "school_code"))
+    other = "school_code" if code.lower() == "udise_sch_code" else "udise_sch_code"
+    raw.coalesce(1).write.parquet(str(path))
+    raw.withColumnRenamed(code, other).coalesce(1).write.mode("append").parquet(str(path))
+    for table in (drop.school_table, "tch_summary"):
+        drop.tables[table].write.parquet(str(tmp_path / "2025-26" / table))
+    tables = drop.tables | {"sch_enr_fresh": spark.read.option("mergeSchema", True).parquet(str(path))}
+    broken = w.Drop(drop.period, drop.source_db, drop.source_schema, drop.school_table, tables,
+                    str(tmp_path / "2025-26"))
+    with pytest.raises(CheckFailed, match="2025-26/sch_enr_fresh:one_type_per_column"):
+        w.publish_snapshots(spark, str(tmp_path / "out"), "r", [broken], "2026-01-01 00:00:00")
+
+
 def test_missing_required_metric_stops_before_reading(spark, built, tmp_path):
     drop = built[1][1]
     broken = w.Drop(drop.period, drop.source_db, drop.source_schema, drop.school_table, dict(drop.tables))
