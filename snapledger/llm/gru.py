@@ -17,6 +17,8 @@ import numpy as np
 HIDDEN, STEPS, LANES, WORD_CLASSES = 16, 32, 512, 47
 PART, BATCH = 2_048, 16_384
 RATE, CLIP = 0.08, 5.0
+CHUNK = 1_024  # rows whose class probabilities stay in a core's cache
+WIDEST = 60.0  # exponentials of 32 bits and their sums are finite up to here
 
 
 def classes_of(counts: np.ndarray, n_classes: int = WORD_CLASSES) -> np.ndarray:
@@ -72,20 +74,13 @@ def lay_out(sizes: list[int], lanes: int = LANES) -> list[list[int]]:
     return sorted(out, key=lambda docs: -sum(sizes[d] for d in docs))
 
 
-def _choose(logits: np.ndarray, goal: np.ndarray, learn: bool) -> np.ndarray:
-    """Log-probability of each row's goal; for learning, ``logits`` become the gradient.
-
-    Clipping keeps sums finite without a pass for each row's greatest logit.
-    """
-    rows = np.arange(len(goal))
-    np.clip(logits, -60, 60, out=logits)
-    own = logits[rows, goal]
+def _exp(logits: np.ndarray, wide: bool) -> np.ndarray | float:
+    """Exponentials in place. Returns what the logarithm of a row's sum lacks: only ``wide`` logits are moved first."""
+    top = logits.max(axis=1, keepdims=True) if wide else 0.0
+    if wide:
+        logits -= top
     np.exp(logits, out=logits)
-    total = logits @ np.ones(logits.shape[1], "f4")
-    if learn:
-        logits /= total[:, None]
-        logits[rows, goal] -= 1
-    return own.astype(float) - np.log(total)
+    return top[:, 0] if wide else top
 
 
 def _summed(rows: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
@@ -97,15 +92,6 @@ def _summed(rows: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
-def _logistic(x: np.ndarray) -> None:
-    """In place. Numpy's vectorised exponential takes half the time of its hyperbolic tangent."""
-    np.maximum(x, -60, out=x)
-    np.negative(x, out=x)
-    np.exp(x, out=x)
-    x += 1
-    np.divide(1, x, out=x)
-
-
 class Gru:
     def __init__(self, shape: Shape, params: dict[str, np.ndarray]):
         self.shape, self.p = shape, params
@@ -155,15 +141,17 @@ class Gru:
             at, inside = np.where(inside, at, offset[:active, None]).T, inside.T
             states, kept = self._states(before[at], fresh[at], state[:active])
             state[:active] = states[-1]
+            rows = np.flatnonzero(inside)  # of the window, time first
+            places, hidden = at.ravel()[rows], states.reshape(-1, HIDDEN)[rows]
             if learn:
-                logs, d_hidden, grads = self._output(states[inside], target[at[inside]], True)
-                out += np.bincount(owner[at[inside]], logs, len(docs))
+                logs, d_hidden, grads = self._output(hidden, target[places], True)
+                out += np.bincount(owner[places], logs, len(docs))
                 d_states = np.zeros_like(states)
-                d_states[inside] = d_hidden
+                d_states.reshape(-1, HIDDEN)[rows] = d_hidden
                 self._learn(before[at], *kept, d_states, grads, len(logs))
                 continue
-            held.append((states[inside], at[inside]))
-            n_held += len(held[-1][1])
+            held.append((hidden, places))
+            n_held += len(places)
             if n_held >= BATCH:
                 settle()
                 held, n_held = [], 0
@@ -172,89 +160,143 @@ class Gru:
         return out
 
     def _states(self, before, fresh, state):
-        """States after each token of a window, and what learning needs of the way there."""
+        """States after each token of a window, and what learning needs of the way there.
+
+        Each gate has its own block of memory, and weights are scaled once a window, so that the
+        logistic function is 1 / (1 + exp(x)) and the hyperbolic tangent 2 / (1 + exp(x)) - 1.
+        """
         p, h = self.p, HIDDEN
         steps, lanes = before.shape
-        keep = (~fresh).astype("f4")[:, :, None]
-        x = p["x"][before]
+        scaled = p["x"] * np.repeat(np.array([-1, -1, -2], "f4"), h)
+        x = np.empty((3, steps, lanes, h), "f4")
+        for k in range(3):
+            np.take(scaled[:, k * h:(k + 1) * h].copy(), before, axis=0, out=x[k], mode="clip")
+        to_gates = -p["gates"].reshape(h, 2, h).transpose(1, 0, 2).copy()
+        to_new = p["new"] * -2
         olds = np.empty((steps, lanes, h), "f4")
-        gates = np.empty((steps, lanes, 2 * h), "f4")
+        gates = np.empty((steps, 2, lanes, h), "f4")
         news = np.empty((steps, lanes, h), "f4")
         states = np.empty((steps, lanes, h), "f4")
-        for t in range(steps):
-            old = np.multiply(state, keep[t], out=olds[t])
-            g = np.matmul(old, p["gates"], out=gates[t])
-            g += x[t, :, :2 * h]
-            _logistic(g)
-            new = np.matmul(g[:, h:] * old, p["new"], out=news[t])
-            new += x[t, :, 2 * h:]
-            new *= 2
-            _logistic(new)  # the hyperbolic tangent is the logistic function of the double, stretched
-            new *= 2
-            new -= 1
-            state = np.subtract(old, new, out=states[t])
-            state *= g[:, :h]
-            state += new
-        return states, (olds, gates, news, keep)
+        with np.errstate(over="ignore"):  # 1 / (1 + inf) is 0
+            for t in range(steps):
+                old = olds[t]
+                old[:] = state
+                old[fresh[t]] = 0
+                g = np.matmul(old, to_gates, out=gates[t])
+                g += x[:2, t]
+                np.exp(g, out=g)
+                g += 1
+                np.reciprocal(g, out=g)
+                z, r = g
+                new = np.matmul(r * old, to_new, out=news[t])
+                new += x[2, t]
+                np.exp(new, out=new)
+                new += 1
+                np.divide(2, new, out=new)
+                new -= 1
+                state = np.subtract(old, new, out=states[t])
+                state *= z
+                state += new
+        return states, (olds, gates, news, fresh)
 
     def _output(self, hidden, goal, learn):
-        """Log-probabilities of the goals; the rows are worked on in the order of their goals' classes."""
+        """Log-probabilities of the goals; the rows are worked on in the order of their goals.
+
+        A last column of ones carries the biases. Of a gradient, probabilities less the goal's one,
+        the ones are sums over equal goals; dividing by a row's sum is left to its narrow side.
+        States lie between -1 and 1, so the weights tell whether exponentials may overflow.
+        """
         p, shape = self.p, self.shape
-        of_class = shape.class_of[goal]
-        order = np.argsort(of_class.astype(np.int16), kind="stable")
-        of_class, goal, hidden = of_class[order], goal[order], hidden[order]
-        probs = hidden @ p["classes"]
-        probs += p["class_bias"]
-        logs = _choose(probs, of_class, learn)
-        grads, d_hidden = {}, None
-        if learn:
-            grads["classes"], grads["class_bias"] = hidden.T @ probs, probs.sum(axis=0)
-            d_hidden = probs @ p["classes"].T
-            grads["words"] = np.zeros_like(p["words"])
-            grads["word_bias"] = np.zeros_like(p["word_bias"])
-        ends = np.searchsorted(of_class, np.arange(shape.n_word_classes + 1))
-        for c in range(shape.n_word_classes):
-            low, high = shape.first[c], shape.first[c + 1]
-            own = slice(ends[c], ends[c + 1])
-            if high - low < 2 or ends[c] == ends[c + 1]:
-                continue
-            part = hidden[own]
-            probs = part @ p["words"][low:high].T
-            probs += p["word_bias"][low:high]
-            logs[own] += _choose(probs, goal[own] - low, learn)
+        n, h = len(goal), HIDDEN
+        order = np.argsort(goal.astype(np.int16 if len(p["x"]) <= 32_767 else goal.dtype), kind="stable")
+        goal = goal[order]
+        rows = np.ones((n, h + 1), "f4")
+        rows[:, :h] = hidden[order]
+        to_class = np.vstack([p["classes"], p["class_bias"]])
+        to_word = np.hstack([p["words"], p["word_bias"][:, None]])
+        several = np.diff(shape.first) > 1  # a class of one word leaves nothing to choose
+        chosen = several[shape.class_of[:shape.n_words]]
+        own = to_class.T[shape.class_of]
+        own[:shape.n_words][chosen] += to_word[chosen]
+        own = np.take(own, goal, axis=0)
+        logs = np.einsum("ij,ij->i", rows, own).astype(float)
+        back = np.negative(own, out=own) if learn else None
+        wide = np.abs(to_class).sum(axis=0).max() > WIDEST
+        class_sums, word_sums = np.zeros_like(to_class), np.zeros_like(to_word)
+        ones = np.ones(max(shape.n_classes, shape.n_words), "f4")
+        for start in range(0, n, CHUNK):
+            here = slice(start, start + CHUNK)
+            part = rows[here]
+            e = part @ to_class
+            top = _exp(e, wide)
+            total = e @ ones[:shape.n_classes]
+            logs[here] -= np.log(total) + top
+            if learn:
+                total = np.reciprocal(total)[:, None]
+                class_sums += (part * total).T @ e
+                back[here] += (e @ to_class.T) * total
+        wide = bool(chosen.any()) and np.abs(to_word[chosen]).sum(axis=1).max() > WIDEST
+        ends = np.searchsorted(goal, shape.first)
+        for c in np.flatnonzero(several & (np.diff(ends) > 0)):
+            words, here = slice(shape.first[c], shape.first[c + 1]), slice(ends[c], ends[c + 1])
+            part, weights = rows[here], to_word[words]
+            e = part @ weights.T
+            top = _exp(e, wide)
+            total = e @ ones[:len(weights)]
+            logs[here] -= np.log(total) + top
             if learn:
-                grads["words"][low:high] = probs.T @ part
-                grads["word_bias"][low:high] = probs.sum(axis=0)
-                d_hidden[own] += probs @ p["words"][low:high]
+                total = np.reciprocal(total)[:, None]
+                word_sums[words] = e.T @ (part * total)
+                back[here] += (e @ weights) * total
         out = np.empty_like(logs)
         out[order] = logs
-        if learn:
-            back = np.empty_like(d_hidden)
-            back[order] = d_hidden
-            d_hidden = back
-        return out, d_hidden, grads
+        if not learn:
+            return out, None, {}
+        goals, starts = np.unique(goal, return_index=True)
+        seen = np.zeros((len(shape.class_of), h + 1), "f4")
+        seen[goals] = np.add.reduceat(rows, starts, axis=0)
+        word_sums[chosen] -= seen[:shape.n_words][chosen]
+        class_sums -= np.add.reduceat(seen, np.searchsorted(shape.class_of, np.arange(shape.n_classes)), axis=0).T
+        d_hidden = np.empty((n, h), "f4")
+        d_hidden[order] = back[:, :h]
+        return out, d_hidden, {"classes": class_sums[:h], "class_bias": class_sums[h],
+                               "words": word_sums[:, :h], "word_bias": word_sums[:, h]}
 
-    def _learn(self, before, olds, gates, news, keep, d_states, grads, n):
+    def _learn(self, before, olds, gates, news, fresh, d_states, grads, n):
         p, h = self.p, HIDDEN
         steps, lanes = before.shape
-        d_x = np.empty((steps, lanes, 3 * h), "f4")
+        d_x = np.empty((3, steps, lanes, h), "f4")
         d_next = np.zeros((lanes, h), "f4")
-        gates_back, new_back = p["gates"].T.copy(), p["new"].T.copy()
+        z_back, r_back = p["gates"].T[:h].copy(), p["gates"].T[h:].copy()
+        new_back = p["new"].T.copy()
         for t in range(steps - 1, -1, -1):
-            old, new, z, r = olds[t], news[t], gates[t, :, :h], gates[t, :, h:]
-            d = d_states[t] + d_next
-            d_new = d * (1 - z) * (1 - new * new)
+            old, new, (z, r) = olds[t], news[t], gates[t]
+            d_z, d_r, d_new = d_x[:, t]
+            d = d_states[t]
+            d += d_next
+            less = 1 - z
+            less *= d
+            np.multiply(new, new, out=d_new)
+            np.subtract(1, d_new, out=d_new)
+            d_new *= less
             d_mixed = d_new @ new_back
-            d_gates = d_x[t, :, :2 * h]
-            d_gates[:, :h] = d * (old - new) * z * (1 - z)
-            d_gates[:, h:] = d_mixed * old * r * (1 - r)
-            d_x[t, :, 2 * h:] = d_new
-            d_next = (d * z + d_mixed * r + d_gates @ gates_back) * keep[t]
-        flat = d_x.reshape(-1, 3 * h)
+            np.subtract(old, new, out=d_z)
+            d_z *= z
+            d_z *= less
+            d_mixed *= r
+            np.subtract(1, r, out=d_r)
+            d_r *= old
+            d_r *= d_mixed
+            d_next = np.multiply(d, z, out=d)
+            d_next += d_mixed
+            d_next += d_z @ z_back
+            d_next += d_r @ r_back
+            d_next[fresh[t]] = 0
+        d_x = d_x.reshape(3, -1, h)
         old = olds.reshape(-1, h)
-        grads["gates"] = old.T @ flat[:, :2 * h]
-        grads["new"] = (gates[:, :, h:].reshape(-1, h) * old).T @ flat[:, 2 * h:]
-        grads["x"] = _summed(flat, before.reshape(-1), len(p["x"]))
+        grads["gates"] = np.hstack([old.T @ d_x[0], old.T @ d_x[1]])
+        grads["new"] = (gates[:, 1].reshape(-1, h) * old).T @ d_x[2]
+        grads["x"] = _summed(np.hstack(list(d_x)), before.reshape(-1), len(p["x"]))
         for name, grad in grads.items():
             grad *= 1 / np.sqrt(n)
             np.clip(grad, -CLIP, CLIP, out=grad)

@@ -6,8 +6,10 @@ where each task goes through its texts from the round's parameters and the resul
 token. The frequent words are modelled one by one; every other word belongs to one of ``TAILS``
 classes by its last bytes, where it has its smoothed share of the class, as has one unknown word.
 
-Only tables of fixed size are broadcast: the counts of at most ``KNOWN`` of the most frequent words
-and the parameters. Rarer words meet their counts in a join of the (document, word) pairs that have them.
+Texts are cut into words twice, by Arrow's kernels: to count, and to store each text as the model's
+ids. Learning and scoring read the ids. Only tables of fixed size are broadcast: the counts of at most
+``KNOWN`` of the most frequent words and the parameters. Rarer words are stored beside the ids and meet
+their counts in a join.
 
 Null texts count as empty: the end alone. Rows with equal id and text have equal results, each is
 returned. Without training text the counts are zero and the scores finite.
@@ -16,18 +18,17 @@ returned. Without training text the counts are zero and the scores finite.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import filterfalse, repeat
 
 import numpy as np
 import pandas as pd
-import xxhash
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapledger.llm.common import fold, pick, text_of, words, write_once
+from snapledger.llm.common import fold, pick, text_of, write_once
 from snapledger.llm.gru import Gru, Shape
 
 FOLDS = 10
@@ -36,41 +37,54 @@ SMOOTH = 0.1
 ROUNDS = (0.1, 0.4, 1.0)  # a round ends at this share of the training texts
 _PART = 4_096
 _SHARES = 1_000
-_FLUSH = 200_000
+_COUNTED, _CODED = 32 << 20, 8 << 20  # bytes of texts, or of ids, that a task works on at once
 _STEPS = 16  # to each doubling of a count
 
 
-def tail_class(word: bytes) -> int:
-    return zlib.crc32(word[-3:]) % TAILS
-
-
 def _tokens(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return pick(docs, doc_id=id_col, text=text_col).select(
         F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"),
         (fold("doc_id", FOLDS) == 0).alias("held_out"))
 
 
-def vocabulary(texts: DataFrame) -> DataFrame:
-    """(word, tail, c) of the training texts, stored; the end is not among the words."""
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        found: Counter[bytes] = Counter()
+def _slices(batches: Iterator[pa.RecordBatch], column: str, size: int) -> Iterator[pa.RecordBatch]:
+    """Rows some at a time: a slice holds less than ``size`` bytes of the column, its first row apart."""
+    for batch in batches:
+        ends = np.cumsum(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False), dtype=np.int64)
+        cuts = [0, *(np.flatnonzero(np.diff(ends // size)) + 1), len(ends)]
+        for low, high in zip(cuts[:-1], cuts[1:], strict=True):
+            if low < high:
+                yield batch.slice(low, high - low)
+
 
-        def rows() -> pd.DataFrame:
-            out = pd.DataFrame({"word": list(found), "tail": [tail_class(w) for w in found],
-                                "c": list(found.values())})
-            found.clear()
-            return out
+def _words(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Of each word its text's place, and the words: A-Z lower-cased, between ASCII white spaces."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    owner = np.repeat(np.arange(len(texts)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+    found = lists.flatten()
+    full = pc.binary_length(found).to_numpy(zero_copy_only=False) > 0  # white space at an end leaves an empty one
+    if not full.all():
+        owner, found = owner[full], found.filter(pa.array(full))
+    return owner, found.cast(pa.binary())
 
-        for df in frames:
-            for text in df.text:
-                found.update(words(text))
-                if len(found) > _FLUSH:
-                    yield rows()
-        yield rows()
 
-    counted = texts.filter(~F.col("held_out")).select("text").mapInPandas(
-        count, "word binary, tail int, c long")
-    return write_once(counted.groupBy("word", "tail").agg(F.sum("c").alias("c")), "vocabulary")
+def _tails(words: pa.Array) -> np.ndarray:
+    ends = pc.binary_slice(words, -3).dictionary_encode()
+    classes = np.array([zlib.crc32(end) % TAILS for end in ends.dictionary.to_pylist()], np.int64)
+    return classes[ends.indices.to_numpy()]
+
+
+def vocabulary(texts: DataFrame) -> DataFrame:
+    """(word, tail, c) of the training texts, stored; the end is not among the words."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _slices(batches, "text", _COUNTED):
+            found = _words(part.column("text"))[1].value_counts()
+            yield pa.RecordBatch.from_arrays([found.field("values"), found.field("counts")], ["word", "c"])
+
+    counted = texts.filter(~F.col("held_out")).select("text").mapInArrow(count, "word binary, c long")
+    tail = (F.crc32(F.substring("word", -3, 3)) % TAILS).cast("int")
+    return write_once(counted.groupBy("word").agg(F.sum("c").alias("c")).select("word", tail.alias("tail"), "c"),
+                      "vocabulary")
 
 
 @dataclass
@@ -79,36 +93,51 @@ class Corpus:
 
     tokens: int
     distinct: int
-    known: dict[bytes, int]  # place in falling order of counts
-    counts: np.ndarray  # by place
+    words: pa.Array  # the known ones, by falling count
+    counts: np.ndarray  # of the known ones
+    tail_of: np.ndarray  # of the known ones
     ends: int
     tail_masses: np.ndarray  # smoothed counts of all words but the modelled ones, and one unknown
 
     def __post_init__(self):
         self.modelled = min(MODELLED, len(self.counts))
-        self.tail_of = np.array([tail_class(w) for w in self.known], np.int64)
         self.log_counts = np.log10(self.counts + SMOOTH)
+        self.log_masses = np.log10(self.tail_masses)
         self.log_total = float(np.log10(self.tokens + SMOOTH * (self.distinct + 1)))
         self.log_end = float(np.log10(self.ends + SMOOTH))
 
     def shape(self) -> Shape:
         return Shape(np.concatenate([[self.ends], self.counts[:self.modelled]]).astype(float), self.tail_masses)
 
-    def places(self, tokens: list[bytes]) -> np.ndarray:
-        """Of each word its place, or -1."""
-        return np.fromiter(map(self.known.get, tokens, repeat(-1)), np.int64, len(tokens))
-
-    def ids(self, tokens: list[bytes], places: np.ndarray) -> np.ndarray:
-        """The model's ids, with the end."""
-        first_tail = 1 + self.modelled
-        out = np.zeros(len(tokens) + 1, np.int32)
-        inner = places + 1
-        if len(self.tail_of):
-            inner = np.where(places >= self.modelled, first_tail + self.tail_of[places], inner)
-        for at in np.flatnonzero(places < 0):
-            inner[at] = first_tail + tail_class(tokens[at])
-        out[:-1] = inner
-        return out
+    def code(self, texts: pa.Array) -> dict[str, pa.Array]:
+        """Of each text what a score needs: the model's ids with the end, counts, sums, and the rare words."""
+        n = len(texts)
+        owner, found = _words(texts)
+        encoded = found.dictionary_encode()
+        at, distinct = encoded.indices.to_numpy(), encoded.dictionary
+        place = pc.fill_null(pc.index_in(distinct, value_set=self.words), -1).to_numpy()
+        tail = np.append(self.tail_of, 0)[place]
+        tail[place < 0] = _tails(distinct.filter(pa.array(place < 0)))
+        modelled = (place >= 0) & (place < self.modelled)
+        logs = np.append(self.log_counts, 0.0)[place]  # a rare word adds its logarithm later
+        inner = np.where(modelled, 0.0, logs - self.log_masses[tail])
+        n_tokens = np.bincount(owner, minlength=n) + 1
+        ids = np.zeros(len(at) + n, "<i2")
+        ids[np.arange(len(at)) + owner] = np.where(modelled, place + 1, 1 + self.modelled + tail).astype("<i2")[at]
+        spans = np.concatenate([[0], np.cumsum(n_tokens)]).astype(np.int32) * ids.itemsize
+        rare = np.flatnonzero(place[at] < 0)
+        pairs, times = np.unique(owner[rare] * np.int64(len(distinct)) + at[rare], return_counts=True)
+        holder, word = np.divmod(pairs, max(1, len(distinct)))
+        lists = np.concatenate([[0], np.cumsum(np.bincount(holder, minlength=n))]).astype(np.int32)
+        known = np.bincount(owner, place[at] >= 0, n).astype(np.int64) + (self.ends > 0)
+        base = np.bincount(owner, logs[at], n) + self.log_end - n_tokens * self.log_total
+        return {
+            "n_tokens": pa.array(n_tokens), "n_known": pa.array(known), "base": pa.array(base),
+            "inner": pa.array(np.bincount(owner, inner[at], n)),
+            "ids": pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(spans), pa.py_buffer(ids)]),
+            "rare": pa.ListArray.from_arrays(lists, pa.StructArray.from_arrays(
+                [distinct.take(pa.array(word)), pa.array(times.astype(np.int32))], ["word", "n"])),
+        }
 
 
 def describe(texts: DataFrame, counted: DataFrame) -> Corpus:
@@ -129,8 +158,9 @@ def describe(texts: DataFrame, counted: DataFrame) -> Corpus:
     masses = np.array([sums.get(k, 0.0) + SMOOTH for k in range(TAILS)])
     for r in top[:MODELLED]:
         masses[r["tail"]] -= r["c"] + SMOOTH
-    return Corpus(total["n"] + ends, total["v"] + (ends > 0), {bytes(r["word"]): i for i, r in enumerate(top)},
-                  np.array([r["c"] for r in top], float), ends, np.maximum(masses, SMOOTH))
+    return Corpus(total["n"] + ends, total["v"] + (ends > 0),
+                  pa.array([bytes(r["word"]) for r in top], pa.binary()), np.array([r["c"] for r in top], float),
+                  np.array([r["tail"] for r in top], np.int64), ends, np.maximum(masses, SMOOTH))
 
 
 def _flat(params: dict[str, np.ndarray]) -> np.ndarray:
@@ -145,41 +175,58 @@ def _unflat(flat: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarr
     return out
 
 
-def train(texts: DataFrame, corpus: Corpus) -> dict[str, np.ndarray]:
+def store_codes(texts: DataFrame, corpus: Corpus) -> DataFrame:
+    """Every row's ids and sums, stored, under a number of its own."""
+    told = texts.sparkSession.sparkContext.broadcast(corpus)
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _slices(batches, "text", _CODED):
+            columns = {c: part.column(c) for c in ("row", "doc_id", "held_out")}
+            yield pa.RecordBatch.from_pydict(columns | told.value.code(part.column("text")))
+
+    return write_once(texts.withColumn("row", F.monotonically_increasing_id()).mapInArrow(
+        code, "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, inner double, "
+        "ids binary, rare array<struct<word: binary, n: int>>"), "codes")
+
+
+def _ids(column: pa.Array) -> list[np.ndarray]:
+    return [np.frombuffer(ids.as_buffer(), "<i2") for ids in column]
+
+
+def train(codes: DataFrame, corpus: Corpus) -> dict[str, np.ndarray]:
     """Parameters after all rounds; a round's averages are taken part by part in the cluster."""
     params = corpus.shape().fresh()
     if not corpus.tokens:
         return params
-    spark = texts.sparkSession
+    spark = codes.sparkSession
     told = spark.sparkContext.broadcast(corpus)
     share = F.pmod(F.xxhash64("doc_id", F.lit("round")), F.lit(_SHARES)) / _SHARES
     low = 0.0
     for high in ROUNDS:
         now = spark.sparkContext.broadcast(params)
 
-        def learn(frames: Iterator[pd.DataFrame], now=now) -> Iterator[pd.DataFrame]:
-            known = told.value
-            model = Gru(known.shape(), {k: v.copy() for k, v in now.value.items()})
-            n, mark = 0, 0
-            for df in frames:
-                docs = []
-                for text in df.text:
-                    tokens = words(text)
-                    docs.append(known.ids(tokens, known.places(tokens)))
-                    mark ^= xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass"))
+        def learn(batches: Iterator[pa.RecordBatch], now=now) -> Iterator[pa.RecordBatch]:
+            model = Gru(told.value.shape(), {k: v.copy() for k, v in now.value.items()})
+            n, task = 0, 0
+            for part in _slices(batches, "ids", _CODED):
+                if not n:
+                    task = (part.column("row")[0].as_py() >> 33) % 64  # of the task that stored it
+                docs = _ids(part.column("ids"))
                 model.run(docs, learn=True)
                 n += sum(map(len, docs))
-            flat = _flat(model.p).astype(float) * n
             if n:
+                flat = _flat(model.p).astype(float) * n
                 parts = [flat[at:at + _PART] for at in range(0, len(flat), _PART)]
-                yield pd.DataFrame({"part": range(len(parts)), "task": mark % 64, "n": n, "weighted": parts})
+                yield pa.RecordBatch.from_pydict({
+                    "part": pa.array(range(len(parts)), pa.int32()), "task": pa.array([task] * len(parts), pa.int32()),
+                    "n": pa.array([n] * len(parts)), "weighted": pa.array(parts, pa.list_(pa.float64()))})
 
         def add(group: pd.DataFrame) -> pd.DataFrame:
             return pd.DataFrame({"part": group.part[:1], "task": 0, "n": [group.n.sum()],
                                  "weighted": [np.sum(np.stack(group.weighted), axis=0)]})
 
         rows = "part int, task int, n long, weighted array<double>"
-        learned = texts.filter(~F.col("held_out") & (share >= low) & (share < high)).select("text").mapInPandas(
+        learned = codes.filter(~F.col("held_out") & (share >= low) & (share < high)).select("row", "ids").mapInArrow(
             learn, rows)
         some = learned.groupBy("part", "task").applyInPandas(add, rows)
         means = {r["part"]: np.array(r["weighted"]) / r["n"] for r in
@@ -190,66 +237,31 @@ def train(texts: DataFrame, corpus: Corpus) -> dict[str, np.ndarray]:
     return params
 
 
-def _digest(text: str) -> str:
-    return xxhash.xxh3_128_hexdigest(text.encode("utf-8", "surrogatepass"))
-
-
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row."""
     texts = _tokens(docs, id_col, text_col)
     counted = vocabulary(texts)
     corpus = describe(texts, counted)
-    params = train(texts, corpus)
+    codes = store_codes(texts, corpus)
+    params = train(codes, corpus)
     spark = docs.sparkSession
     told, learned = spark.sparkContext.broadcast(corpus), spark.sparkContext.broadcast(params)
+    kept = ["row", "doc_id", "held_out", "n_tokens", "n_known", "base"]
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Gru(told.value.shape(), learned.value)
+        for part in _slices(batches, "ids", _CODED):
+            inner = part.column("inner").to_numpy() + model.run(_ids(part.column("ids"))) / np.log(10)
+            yield pa.RecordBatch.from_pydict({c: part.column(c) for c in kept} | {"inner": pa.array(inner)})
 
-    def judge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = told.value
-        model = Gru(known.shape(), learned.value)
-        log_masses = np.log10(known.tail_masses)
-        for df in frames:
-            ids, rows = [], []
-            for text in df.text:
-                tokens = words(text)
-                places = known.places(tokens)
-                here = places[places >= 0]
-                own = known.ids(tokens, places)
-                ids.append(own)
-                tails = own[own > known.modelled] - known.modelled - 1
-                rest = here[here >= known.modelled]
-                inner = known.log_counts[rest].sum() - log_masses[tails].sum()
-                base = known.log_counts[here].sum() + known.log_end - len(own) * known.log_total
-                rows.append((_digest(text), len(own), len(here) + (known.ends > 0), base, inner))
-            out = pd.DataFrame(rows, columns=["digest", "n_tokens", "n_known", "base", "inner"])
-            out.insert(0, "doc_id", df.doc_id.to_numpy())
-            out.insert(1, "held_out", df.held_out.to_numpy())
-            out["inner"] += model.run(ids) / np.log(10)
-            yield out
-
-    def rare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = told.value.known
-        for df in frames:
-            out: list[tuple] = []
-            for text in df.text:
-                found = Counter(filterfalse(known.__contains__, words(text)))
-                if found:
-                    digest = _digest(text)
-                    out += [(digest, w, n) for w, n in found.items()]
-            yield pd.DataFrame(out, columns=["digest", "word", "n"])
-
-    judged = write_once(texts.mapInPandas(
-        judge, "doc_id long, held_out boolean, digest string, n_tokens long, n_known long, base double, inner double"),
+    judged = write_once(codes.select(*kept, "inner", "ids").mapInArrow(
+        judge, "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, inner double"),
         "judged")
-    # texts that occur more than once sum their rare words as often
-    times = judged.groupBy("digest").agg(F.count(F.lit(1)).alias("times"))
-    pairs = texts.select("text").mapInPandas(rare, "digest string, word binary, n long")
-    rest = pairs.join(counted.select("word", "c"), "word", "left").groupBy("digest").agg(
+    pairs = codes.select("row", F.inline("rare"))
+    rest = pairs.join(counted.select("word", "c"), "word", "left").groupBy("row").agg(
         F.sum(F.col("n") * F.log10(F.coalesce(F.col("c"), F.lit(0)) + SMOOTH)).alias("logs"),
         F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("known"))
-    rest = rest.join(times, "digest").select(
-        "digest", (F.col("logs") / F.col("times")).alias("logs"),
-        (F.col("known") / F.col("times")).cast("long").alias("known"))
-    return judged.join(rest, "digest", "left").select(
+    return judged.join(rest, "row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
         F.lit(corpus.tokens).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("logs", F.lit(0.0))).alias("base_score"),
